@@ -331,7 +331,7 @@ def generation_documents(events: DataFrame) -> DataFrame:
 
 
 def persistence(features: DataFrame) -> DataFrame:
-    """Deterministic scores for the forecast fact: tomorrow repeats the hour a day ago."""
-    return features.withColumn("prediction", F.col("carbon_lag_24h"))
+    """Deterministic scores for the forecast fact: tomorrow repeats the hour a week ago."""
+    return features.withColumn("prediction", F.col("carbon_lag_168h"))
 
 

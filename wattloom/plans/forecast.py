@@ -122,7 +122,11 @@ def latest_version(runs: DataFrame, model_name: str = MODEL_NAME) -> Column:
 def regression_metrics(
     scored: DataFrame, prediction: str = PREDICTION, target: str = TARGET, by: str = CATEGORICAL
 ) -> DataFrame:
-    """MAE, RMSE, R2, MAPE and relative error per entity and pooled (`by` = 'ALL'), in one pass."""
+    """MAE, RMSE, R2, MAPE and relative error per entity and pooled (`by` = 'ALL'), in one pass.
+
+    Rows without a prediction or a target have no error and are left out.
+    """
+    scored = scored.dropna(subset=[prediction, target])
     y, p = F.col(target), F.col(prediction)
     error = F.abs(y - p)
     rows = F.count(F.lit(1))

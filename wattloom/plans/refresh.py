@@ -40,14 +40,14 @@ def refresh_silver(tables: Tables, feed: Feed, bronze: DataFrame, run_id: str) -
     return observed.get
 
 
-def refresh_dimensions(tables: Tables, calendar_of: str, ts: str) -> None:
-    """Overwrites the literal dimensions, and the calendar over the span of a table."""
+def refresh_dimensions(tables: Tables, spanned: DataFrame, ts: str) -> None:
+    """Overwrites the literal dimensions, and the calendar over the hours `spanned` covers."""
     spark = tables.spark
     tables.overwrite("silver.country_dim", dims.country_bridge(spark))
     tables.overwrite("gold.dim_country", dims.dim_country(spark))
     tables.overwrite("gold.dim_fuel_type", dims.dim_fuel_type(spark))
     tables.overwrite("gold.dim_uk_region", dims.dim_uk_region(spark))
-    tables.overwrite("gold.dim_time", dims.dim_time_spanning(tables.read(calendar_of), ts))
+    tables.overwrite("gold.dim_time", dims.dim_time_spanning(spanned, ts))
 
 
 def refresh_grid_state(tables: Tables) -> None:
@@ -62,33 +62,39 @@ def refresh_grid_state(tables: Tables) -> None:
     )
 
 
-def refresh_facts(tables: Tables, run_id: str) -> None:
-    fuels = tables.read("gold.dim_fuel_type")
-    fuel, unknown_fuel = facts.fact_generation_fuel(tables.read(f"silver.{GENERATION.table}"), fuels)
-    carbon, unknown_region = facts.fact_carbon_30min(
-        tables.read(f"silver.{CARBON.table}"), tables.read("gold.dim_uk_region")
+def _quarantine_orphans(tables: Tables, name: str, orphans: DataFrame, run_id: str) -> None:
+    tables.replace_partitions(
+        f"quarantine.{name}", orphans.withColumn("run_id", F.lit(run_id)), "run_id"
     )
-    grid = facts.fact_grid_hourly(tables.read("silver.grid_state"), fuels)
-    tables.upsert(
-        "gold.fact_generation_fuel_hourly",
-        with_day(fuel, "hour_utc"),
-        ["country_code", "hour_utc", "fuel_key"],
-        DAY,
+
+
+def refresh_fact_fuel(tables: Tables, run_id: str) -> None:
+    fact, orphans = facts.fact_generation_fuel(
+        tables.read(f"silver.{GENERATION.table}"), tables.read("gold.dim_fuel_type")
+    )
+    key = ["country_code", "hour_utc", "fuel_key"]
+    tables.upsert("gold.fact_generation_fuel_hourly", with_day(fact, "hour_utc"), key, DAY)
+    _quarantine_orphans(tables, "orphan_fuel", orphans, run_id)
+
+
+def refresh_fact_carbon(tables: Tables, run_id: str) -> None:
+    fact, orphans = facts.fact_carbon_30min(
+        tables.read(f"silver.{CARBON.table}"), tables.read("gold.dim_uk_region")
     )
     tables.upsert(
         "gold.fact_carbon_intensity_30min",
-        with_day(carbon, "period_start"),
+        with_day(fact, "period_start"),
         ["region_id", "period_start"],
         DAY,
         ["ingested_at", "source_event_id"],
     )
-    tables.upsert(
-        "gold.fact_grid_hourly", with_day(grid, "hour_utc"), ["country_code", "hour_utc"], DAY
-    )
-    for name, orphans in (("orphan_fuel", unknown_fuel), ("orphan_region", unknown_region)):
-        tables.replace_partitions(
-            f"quarantine.{name}", orphans.withColumn("run_id", F.lit(run_id)), "run_id"
-        )
+    _quarantine_orphans(tables, "orphan_region", orphans, run_id)
+
+
+def refresh_fact_grid(tables: Tables) -> None:
+    fact = facts.fact_grid_hourly(tables.read("silver.grid_state"), tables.read("gold.dim_fuel_type"))
+    key = ["country_code", "hour_utc"]
+    tables.upsert("gold.fact_grid_hourly", with_day(fact, "hour_utc"), key, DAY)
 
 
 def refresh_features(tables: Tables, mode: str = "create_or_replace") -> None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,11 +24,10 @@ class Tables:
         return f"{self.root}/{name.replace('.', '/')}"
 
     def exists(self, name: str) -> bool:
-        try:
-            self.spark.read.parquet(self.path(name))
-        except AnalysisException:
-            return False
-        return True
+        """Whether a write of the table has ever been committed."""
+        sc = self.spark.sparkContext
+        marker = sc._jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/_SUCCESS")
+        return marker.getFileSystem(sc._jsc.hadoopConfiguration()).exists(marker)
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
