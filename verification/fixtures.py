@@ -29,7 +29,11 @@ def _pick(index: Column, values: list[str]) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    """The events table. One small file is one scan task, so it is spread over the cores for the
+    text work behind it; a large table has splits enough and is read as it is."""
+    table = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    cores = spark.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
 
 
 def points(events: DataFrame) -> DataFrame:

@@ -29,6 +29,16 @@ _LABELS = [(code, name) for _, tax, code, name, *_ in dims.FUELS if tax == "ents
 # Latest-wins order shared by the silver tables.
 _LATEST = "ORDER BY ingested_at DESC NULLS LAST, kafka_timestamp DESC NULLS LAST, event_id DESC NULLS LAST"
 
+_TOTAL = "CAST(round(sum(CAST(mean_mw AS DECIMAL(18, 6))), 2) AS DOUBLE)"
+_SUM_MW = "CAST(round(sum(CAST(value_mw AS DECIMAL(18, 6))), 0) AS DOUBLE)"
+_SUM_GRAMS = "CAST(sum(CAST(estimated_gco2_per_hour AS DECIMAL(28, 6))) AS DOUBLE)"
+
+
+def _rounded(value: str, digits: int) -> str:
+    """Half-up on the decimal digits a double prints as, which is how Spark rounds."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
+
+
 PARTS = {
     "countries": _values(
         dims.COUNTRIES,
@@ -178,10 +188,10 @@ PARTS = {
         SELECT country_code, hour_utc, psr_type, avg(value_mw) AS mean_mw, max(ingested_at) AS ingested_at,
                max(event_id) AS event_id
         FROM points GROUP BY ALL""",
-    "generation": """
-        SELECT country_code, hour_utc, round(sum(mean_mw), 2) AS total_generation_mw,
+    "generation": f"""
+        SELECT country_code, hour_utc, {_TOTAL} AS total_generation_mw,
                CAST(count(*) AS INTEGER) AS fuels, max(ingested_at) AS ingested_at, max(event_id) AS event_id
-        FROM hourly_means GROUP BY ALL HAVING round(sum(mean_mw), 2) BETWEEN 0 AND 200000""",
+        FROM hourly_means GROUP BY ALL HAVING {_TOTAL} BETWEEN 0 AND 200000""",
     "mix": """
         SELECT h.country_code, h.hour_utc, h.psr_type, l.name, round(h.mean_mw, 2) AS value_mw, g.ingested_at
         FROM hourly_means h JOIN generation g USING (country_code, hour_utc) JOIN labels l USING (psr_type)""",
@@ -334,11 +344,11 @@ _FEATURES = """
            month, is_weekend, carbon_lag_1h, carbon_lag_24h, carbon_lag_168h,
            round(carbon_rolling_24h_mean, 6) AS carbon_rolling_24h_mean,
            round(temp_rolling_24h_mean, 6) AS temp_rolling_24h_mean, target_t24h"""
-_LATEST_FORECAST = """
+_LATEST_FORECAST = f"""
     SELECT country_code, base_hour_utc AS prediction_made_from, target_hour_utc AS forecast_for,
-           round(carbon_current_at_base, 1) AS current_gco2_per_kwh,
-           round(predicted_carbon_gco2_kwh, 1) AS forecast_gco2_per_kwh_t24h,
-           round(predicted_carbon_gco2_kwh - carbon_current_at_base, 1) AS expected_change_gco2,
+           {_rounded('carbon_current_at_base', 1)} AS current_gco2_per_kwh,
+           {_rounded('predicted_carbon_gco2_kwh', 1)} AS forecast_gco2_per_kwh_t24h,
+           {_rounded('predicted_carbon_gco2_kwh - carbon_current_at_base', 1)} AS expected_change_gco2,
            model_name, model_version
     FROM forecast
     QUALIFY row_number() OVER (PARTITION BY country_code ORDER BY base_hour_utc DESC) = 1"""
@@ -385,7 +395,8 @@ def _metrics(prediction: str) -> str:
             FROM (SELECT country_code, target_t24h AS y, {prediction} AS p FROM feature_rows
                   WHERE {prediction} IS NOT NULL) m {group}"""
 
-    return f"{stats('country_code', 'GROUP BY country_code')} UNION ALL {stats(chr(39) + 'ALL' + chr(39), '')}"
+    pooled = stats("'ALL'", "HAVING count(*) > 0")
+    return f"{stats('country_code', 'GROUP BY country_code')} UNION ALL {pooled}"
 
 
 def _distribution(part: str, value: str, low: str, median: str, high: str, spread: str) -> str:
@@ -490,11 +501,11 @@ ORACLES = {
         SELECT country_code, hour_utc, psr_type, round(sum(m), 6) AS mean_mw
         FROM (SELECT country_code, hour_utc, psr_type, series_id, avg(value_mw) AS m FROM points GROUP BY ALL) s
         GROUP BY ALL""",
-    "nest_mix": """
+    "nest_mix": f"""
         SELECT country_code, hour_utc, string_agg(psr_type, ',' ORDER BY psr_type) AS codes,
                string_agg(name, ',' ORDER BY psr_type) AS names,
                string_agg(CAST(CAST(round(round(mean_mw, 2) * 100) AS BIGINT) AS VARCHAR), ',' ORDER BY psr_type) AS centi_mw,
-               round(sum(mean_mw), 2) AS total_generation_mw
+               {_TOTAL} AS total_generation_mw
         FROM hourly_means JOIN labels USING (psr_type) GROUP BY ALL""",
     "fuel_labels": """
         SELECT c.psr_type, row_count, coalesce(l.name, 'Unknown') AS name
@@ -582,12 +593,12 @@ ORACLES = {
     "local_time": """
         SELECT country_code, hour_utc, hour_utc + to_hours(timezone_offset_winter_hours) AS hour_local
         FROM grid_fact JOIN countries USING (country_code)""",
-    "fuel_category_summary": """
+    "fuel_category_summary": f"""
         SELECT d.*, s.fact_rows, s.observed_mw
         FROM (SELECT fuel_category, count(*) AS row_count, count(*) FILTER (is_renewable) AS renewables,
                      count(*) FILTER (is_low_carbon) AS low_carbon,
                      round(avg(typical_gco2_per_kwh), 0) AS avg_gco2_per_kwh FROM fuels GROUP BY ALL) d
-        LEFT JOIN (SELECT fuel_category, count(*) AS fact_rows, round(sum(value_mw), 0) AS observed_mw
+        LEFT JOIN (SELECT fuel_category, count(*) AS fact_rows, {_SUM_MW} AS observed_mw
                    FROM fuel_fact GROUP BY ALL) s USING (fuel_category)""",
     # --- reports ---
     "eu_rankings": f"""
@@ -599,9 +610,9 @@ ORACLES = {
                round(renewable_generation_mw, 0) AS renewable_mw, round(low_carbon_generation_mw, 0) AS low_carbon_mw,
                renewable_share_pct, low_carbon_share_pct, estimated_lifecycle_gco2_per_kwh AS gco2_per_kwh,
                round({_TONS}, 0) AS tons_co2_per_hour, uk_carbon_intensity_forecast FROM grid_fact WHERE {_NEWEST_GRID}""",
-    "grid_state_latest": """
-        SELECT hour_utc, country_code, round(temperature_c, 1) AS temp_c, round(wind_speed_kmh, 1) AS wind_kmh,
-               cloud_cover_pct, round(solar_radiation_wm2, 0) AS solar_wm2, round(total_generation_mw, 0) AS gen_mw,
+    "grid_state_latest": f"""
+        SELECT hour_utc, country_code, {_rounded('temperature_c', 1)} AS temp_c, {_rounded('wind_speed_kmh', 1)} AS wind_kmh,
+               cloud_cover_pct, {_rounded('solar_radiation_wm2', 0)} AS solar_wm2, round(total_generation_mw, 0) AS gen_mw,
                uk_carbon_intensity_forecast AS uk_co2_gpkwh
         FROM state WHERE hour_utc = (SELECT max(hour_utc) FROM state)""",
     "trend_24h": """
@@ -609,27 +620,27 @@ ORACLES = {
                estimated_lifecycle_gco2_per_kwh AS gco2_per_kwh FROM grid_fact
         WHERE country_code = 'FR' AND hour_utc >= (SELECT max(hour_utc) - INTERVAL 24 HOUR FROM grid_fact)""",
     "fuel_mix_latest": f"""
-        SELECT country_code, fuel_category, round(sum(value_mw), 0) AS total_mw,
-               round(sum(estimated_gco2_per_hour) / 1e6, 0) AS tons_co2_per_hour,
+        SELECT country_code, fuel_category, {_SUM_MW} AS total_mw,
+               round({_SUM_GRAMS} / 1e6, 0) AS tons_co2_per_hour,
                bool_or(is_renewable) AS is_renewable_category, max(hour_utc) AS hour_utc
         FROM fuel_fact WHERE {_NEWEST_FUEL} GROUP BY country_code, fuel_category""",
     "eu_kpis": f"""
-        SELECT round(sum(value_mw), 0) AS total_mw, round(sum(estimated_gco2_per_hour) / 1e6, 0) AS total_tons_co2_per_hour,
+        SELECT {_SUM_MW} AS total_mw, round({_SUM_GRAMS} / 1e6, 0) AS total_tons_co2_per_hour,
                round(100.0::DOUBLE * sum(CASE WHEN is_renewable THEN value_mw ELSE 0 END) / sum(value_mw), 1) AS renewable_pct,
                round(sum(value_mw * typical_gco2_per_kwh) / sum(value_mw), 0) AS eu_avg_gco2_per_kwh,
                count(DISTINCT country_code) AS countries_reporting FROM fuel_fact WHERE {_NEWEST_FUEL}""",
-    "co2_24h_by_country": """
-        SELECT country_code, hour_utc, round(sum(estimated_gco2_per_hour) / 1e6, 0) AS tons_co2_per_hour,
-               round(sum(value_mw), 0) AS total_mw FROM fuel_fact
+    "co2_24h_by_country": f"""
+        SELECT country_code, hour_utc, round({_SUM_GRAMS} / 1e6, 0) AS tons_co2_per_hour,
+               {_SUM_MW} AS total_mw FROM fuel_fact
         WHERE hour_utc >= (SELECT max(hour_utc) - INTERVAL 24 HOUR FROM fuel_fact) GROUP BY ALL""",
-    "country_fuel_mix": """
-        SELECT fuel_category, fuel_display_name, round(sum(value_mw), 0) AS mw,
-               round(sum(estimated_gco2_per_hour) / 1e6, 1) AS tons_co2_per_hour,
+    "country_fuel_mix": f"""
+        SELECT fuel_category, fuel_display_name, {_SUM_MW} AS mw,
+               round({_SUM_GRAMS} / 1e6, 1) AS tons_co2_per_hour,
                max(typical_gco2_per_kwh) AS gco2_per_kwh_factor FROM fuel_fact
         WHERE country_code = 'IT' AND hour_utc = (SELECT max(hour_utc) FROM fuel_fact WHERE country_code = 'IT')
         GROUP BY ALL""",
-    "germany_mix": """
-        SELECT country_code, fuel_category, fuel_display_name, hour_utc, round(value_mw, 1) AS mw, typical_gco2_per_kwh,
+    "germany_mix": f"""
+        SELECT country_code, fuel_category, fuel_display_name, hour_utc, {_rounded('value_mw', 1)} AS mw, typical_gco2_per_kwh,
                round(estimated_gco2_per_hour / 1e6, 1) AS estimated_tco2_per_hour FROM fuel_fact
         WHERE country_code = 'DE' AND time_key = (SELECT max(time_key) FROM fuel_fact WHERE country_code = 'DE')""",
     "uk_rankings": f"""
@@ -681,8 +692,8 @@ ORACLES = {
         "weather",
         "time_utc",
         "city",
-        "round(avg(temperature_c), 1) AS avg_temp_c, round(max(temperature_c), 1) AS peak_temp_c, "
-        "round(min(temperature_c), 1) AS min_temp_c",
+        "round(avg(temperature_c), 1) AS avg_temp_c, "
+        f"{_rounded('max(temperature_c)', 1)} AS peak_temp_c, {_rounded('min(temperature_c)', 1)} AS min_temp_c",
     ),
     "coverage_by_year_features": _coverage(
         "feature_rows",
@@ -716,12 +727,12 @@ ORACLES = {
         SELECT count(*) AS row_count, count(DISTINCT (country_code, hour_utc)) AS distinct_natural_keys,
                min(hour_utc) AS earliest, max(hour_utc) AS latest, count(DISTINCT country_code) AS countries,
                count(temperature_c) AS rows_with_weather, count(uk_carbon_intensity_forecast) AS rows_with_uk_carbon FROM state""",
-    "profile_fact_fuel": """
+    "profile_fact_fuel": f"""
         SELECT count(*) AS row_count, count(DISTINCT (country_code, hour_utc, fuel_key)) AS distinct_natural_keys,
                min(hour_utc) AS earliest, max(hour_utc) AS latest, count(DISTINCT country_code) AS countries,
                count(DISTINCT fuel_key) AS fuels_seen, count(DISTINCT hour_utc) AS hours,
-               round(sum(value_mw), 0) AS total_mw_summed,
-               round(sum(estimated_gco2_per_hour) / 1e12, 2) AS total_megatons_co2_eq FROM fuel_fact""",
+               {_SUM_MW} AS total_mw_summed,
+               round({_SUM_GRAMS} / 1e12, 2) AS total_megatons_co2_eq FROM fuel_fact""",
     "profile_fact_grid": """
         SELECT count(*) AS row_count, count(DISTINCT (country_code, hour_utc)) AS distinct_natural_keys,
                min(hour_utc) AS earliest, max(hour_utc) AS latest, count(DISTINCT country_code) AS countries,
@@ -794,10 +805,11 @@ ORACLES = {
         SELECT country_code, hour_utc, carbon_current, target_t24h FROM feature_rows
         WHERE hour_utc > (SELECT max(hour_utc) FROM feature_rows WHERE hour_utc < TIMESTAMP '2024-01-26 00:00:00')""",
     "temporal_split": """
-        SELECT part, count(*) AS row_count, min(hour_utc) AS earliest, max(hour_utc) AS latest
-        FROM (SELECT hour_utc, CASE WHEN hour_utc < TIMESTAMP '2024-01-24 00:00:00' THEN 'train'
-                                    WHEN hour_utc < TIMESTAMP '2024-01-26 00:00:00' THEN 'validation'
-                                    ELSE 'test' END AS part FROM feature_rows) t GROUP BY ALL""",
+        SELECT p.part, count(f.hour_utc) AS row_count, min(f.hour_utc) AS earliest, max(f.hour_utc) AS latest
+        FROM (VALUES ('train', TIMESTAMP '2000-01-01 00:00:00', TIMESTAMP '2024-01-24 00:00:00'),
+                     ('validation', TIMESTAMP '2024-01-24 00:00:00', TIMESTAMP '2024-01-26 00:00:00'),
+                     ('test', TIMESTAMP '2024-01-26 00:00:00', TIMESTAMP '2100-01-01 00:00:00')) AS p(part, lo, hi)
+        LEFT JOIN feature_rows f ON f.hour_utc >= p.lo AND f.hour_utc < p.hi GROUP BY p.part""",
     "regression_metrics": _metrics("carbon_lag_168h"),
     "persistence_metrics": _metrics("carbon_current"),
     "inference_window": """

@@ -44,6 +44,11 @@ def freshness(age: Column) -> Column:
     return label
 
 
+def exact_sum(value: Column | str) -> Column:
+    """SUM in decimals: the same to the last digit whatever order the rows arrive in."""
+    return F.sum((F.col(value) if isinstance(value, str) else value).cast("decimal(28,6)"))
+
+
 def array_total(values: Column) -> Column:
     """SUM over an array, with SQL's treatment of NULL: skipped, and NULL when none is left."""
     present = F.filter(values, lambda v: v.isNotNull())

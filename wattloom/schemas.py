@@ -91,16 +91,18 @@ TOPIC_FRAME = struct(
         "timestamp": T.TimestampType(),
     }
 )
-BRONZE_COLUMNS = [
-    "envelope_json",
-    "kafka_key",
-    "topic",
-    "partition",
-    "offset",
-    "kafka_timestamp",
-    "ingested_at_ts",
-    "event_date",
-]
+BRONZE = struct(
+    {
+        "envelope_json": STRING,
+        "kafka_key": STRING,
+        "topic": STRING,
+        "partition": INT,
+        "offset": LONG,
+        "kafka_timestamp": T.TimestampType(),
+        "ingested_at_ts": T.TimestampType(),
+        "event_date": T.DateType(),
+    }
+)
 
 
 def envelope(payload: T.StructType) -> T.StructType:

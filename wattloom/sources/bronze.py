@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.functions.envelopes import measurement_date
-from wattloom.schemas import BRONZE_COLUMNS
+from wattloom.schemas import BRONZE
 
 
 def topic_options(
@@ -74,7 +74,7 @@ def backfill_rows(enveloped: DataFrame, topic: str, written_at: Column | None =
         now.alias("kafka_timestamp"),
         now.alias("ingested_at_ts"),
         measurement_date(json).alias("event_date"),
-    ).select(*BRONZE_COLUMNS)
+    ).select(*BRONZE.names)
 
 
 def backfill_summary(rows: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,50 +14,78 @@ from wattloom.operators.keys import latest_per_key, upsert_frame
 class Tables:
     """Named tables: read, overwrite, append and upsert.
 
-    Tables with a partition column are written through a rebalance, which gives a partition one
-    writer while it is small and several once it is large.
+    A table's schema is kept beside it, so a table without rows can be read and a read needs no
+    inference job. Tables with a partition column are written through a rebalance, which gives a
+    partition one writer while it is small and several once it is large.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._schemas: dict[str, T.StructType] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
 
+    def _schema_path(self, name: str) -> str:
+        return f"{self.root}/schemas/{name}"
+
     def exists(self, name: str) -> bool:
-        """Whether a write of the table has ever been committed."""
+        """Whether a write of the table has ever been completed, its schema included."""
         sc = self.spark.sparkContext
-        marker = sc._jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/_SUCCESS")
+        marker = sc._jvm.org.apache.hadoop.fs.Path(f"{self._schema_path(name)}/_SUCCESS")
         return marker.getFileSystem(sc._jsc.hadoopConfiguration()).exists(marker)
 
+    def schema(self, name: str) -> T.StructType:
+        if name not in self._schemas:
+            text = self.spark.read.text(self._schema_path(name), wholetext=True).first()[0]
+            self._schemas[name] = T.StructType.fromJson(json.loads(text))
+        return self._schemas[name]
+
+    def _keep_schema(self, name: str, schema: T.StructType) -> None:
+        if self._schemas.get(name) != schema:
+            row = self.spark.createDataFrame([(schema.json(),)], "json STRING")
+            row.coalesce(1).write.mode("overwrite").text(self._schema_path(name))
+            self._schemas[name] = schema
+
+    def _widened(self, name: str, schema: T.StructType) -> T.StructType:
+        """The stored schema with the columns it does not have yet."""
+        if not self.exists(name):
+            return schema
+        stored = self.schema(name)
+        return T.StructType(stored.fields + [f for f in schema.fields if f.name not in stored.names])
+
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return self.spark.read.schema(self.schema(name)).parquet(self.path(name))
 
     def register_views(self, names: list[str]) -> None:
         """Temp views `layer_name`, for SQL and for the catalog's listings."""
         for name in names:
             self.read(name).createOrReplaceTempView(name.replace(".", "_"))
 
-    def _writer(self, df: DataFrame, mode: str, partition_by: str | None):
+    def _writer(self, df: DataFrame, mode: str, partition_by: str | None) -> DataFrameWriter:
         if partition_by is None:
             return df.write.mode(mode)
         return df.hint("rebalance", partition_by).write.mode(mode).partitionBy(partition_by)
 
     def overwrite(self, name: str, df: DataFrame, partition_by: str | None = None) -> None:
         """Replaces the table, schema included."""
-        self._writer(df, "overwrite", partition_by).option(
-            "partitionOverwriteMode", "static"
-        ).parquet(self.path(name))
+        writer = self._writer(df, "overwrite", partition_by)
+        writer.option("partitionOverwriteMode", "static").parquet(self.path(name))
+        self._keep_schema(name, df.schema)
 
     def append(self, name: str, df: DataFrame, partition_by: str | None = None) -> None:
+        """Appends rows; columns the table lacks are added to it."""
+        schema = self._widened(name, df.schema)
         self._writer(df, "append", partition_by).parquet(self.path(name))
+        self._keep_schema(name, schema)
 
     def replace_partitions(self, name: str, df: DataFrame, partition_by: str) -> None:
         """Replaces only the partitions that occur in `df`; running it again changes nothing."""
-        self._writer(df, "overwrite", partition_by).option(
-            "partitionOverwriteMode", "dynamic"
-        ).parquet(self.path(name))
+        schema = self._widened(name, df.schema)
+        writer = self._writer(df, "overwrite", partition_by)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
+        self._keep_schema(name, schema)
 
     def upsert(
         self,
@@ -73,9 +103,8 @@ class Tables:
         """
         if not isinstance(source.schema[partition_by].dataType, T.DateType):
             raise ValueError(f"{partition_by} must be a date")
-        source = latest_per_key(source, keys, order_by)
         if not self.exists(name):
-            self.overwrite(name, source, partition_by)
+            self.overwrite(name, latest_per_key(source, keys, order_by), partition_by)
             return
         touched = F.broadcast(source.select(partition_by).distinct())
         target = self.read(name).join(touched, partition_by, "left_semi")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wattloom import schemas
 from wattloom.plans.refresh import refresh_silver
 from wattloom.sources.feeds import Feed
 from wattloom.sources.tables import Tables
@@ -34,7 +35,7 @@ def write_bronze(
 
 def read_bronze_stream(spark: SparkSession, path: str) -> DataFrame:
     """Bronze as a stream: each row is delivered once, so silver never re-reads old rows."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    return spark.readStream.schema(schemas.BRONZE).parquet(path)
 
 
 def silver_stream(
