@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,8 +119,15 @@ DAYTIME_HOURS = (6, 17)
 DEFAULT_CALENDAR = ("2026-01-01 00:00:00", "2028-01-01 00:00:00")
 
 
+def _literal(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Rows as a local relation: its size is known to the planner and reading it starts no job."""
+    names = [column.split()[0] for column in schema.split(", ")]
+    columns = dict(zip(names, zip(*rows, strict=True), strict=True))
+    return spark.createDataFrame(pa.table(columns), schema)
+
+
 def dim_country(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(COUNTRIES, COUNTRY_SCHEMA)
+    return _literal(spark, COUNTRIES, COUNTRY_SCHEMA)
 
 
 def country_bridge(spark: SparkSession) -> DataFrame:
@@ -128,21 +136,21 @@ def country_bridge(spark: SparkSession) -> DataFrame:
 
 
 def country_zones(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(COUNTRY_ZONES, "country_code STRING, zone STRING")
+    return _literal(spark, COUNTRY_ZONES, "country_code STRING, zone STRING")
 
 
 def dim_fuel_type(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(FUELS, FUEL_SCHEMA)
+    return _literal(spark, FUELS, FUEL_SCHEMA)
 
 
 def dim_uk_region(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(UK_REGIONS, UK_REGION_SCHEMA)
+    return _literal(spark, UK_REGIONS, UK_REGION_SCHEMA)
 
 
 def fuel_labels(spark: SparkSession) -> DataFrame:
     """Every code the generation feed may send, with its label."""
     rows = [(code, name) for _, taxonomy, code, name, *_ in FUELS if taxonomy == "entsoe"]
-    return spark.createDataFrame(rows + OTHER_CODE_LABELS, "psr_type STRING, name STRING")
+    return _literal(spark, rows + OTHER_CODE_LABELS, "psr_type STRING, name STRING")
 
 
 def _between(col: Column, bounds: tuple[int, int]) -> Column:

@@ -11,8 +11,10 @@ from wattloom.functions.instants import iso_instant, settlement_instant, weather
 
 
 def _parse(bronze: DataFrame, payload: T.StructType, columns: dict[str, Column]) -> DataFrame:
+    # Behind a generator the JSON is read once per row. As a plain column the optimizer would
+    # copy the parse into every rule of a later filter on the reject reason.
     env = F.from_json(F.col("envelope_json"), schemas.envelope(payload))
-    return bronze.withColumn("env", env).select(
+    return bronze.select("*", F.explode(F.array(env)).alias("env")).select(
         F.col("env.event_id").alias("event_id"),
         F.col("env.source").alias("source"),
         F.col("env.source_version").alias("source_version"),

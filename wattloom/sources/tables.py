@@ -44,8 +44,8 @@ class Tables:
 
     def _keep_schema(self, name: str, schema: T.StructType) -> None:
         if self._schemas.get(name) != schema:
-            row = self.spark.createDataFrame([(schema.json(),)], "json STRING")
-            row.coalesce(1).write.mode("overwrite").text(self._schema_path(name))
+            row = self.spark.range(1, numPartitions=1).select(F.lit(schema.json()).alias("json"))
+            row.write.mode("overwrite").text(self._schema_path(name))
             self._schemas[name] = schema
 
     def _widened(self, name: str, schema: T.StructType) -> T.StructType:
