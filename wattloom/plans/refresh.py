@@ -1,12 +1,13 @@
 """The layers' refresh jobs: bronze rows to silver, silver to gold, gold to forecast.
 
 Each job is an ordered upsert, so a re-run, a replay or a late batch leaves the tables right.
-Every table is partitioned by the date of its own natural key.
+Every table is partitioned by the date of its own natural key. `since`, a date, bounds a job to the
+days from it on: only those partitions are read and rewritten, which is what a scheduled run does.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.operators import dims
@@ -50,11 +51,16 @@ def refresh_dimensions(tables: Tables, spanned: DataFrame, ts: str) -> None:
     tables.overwrite("gold.dim_time", dims.dim_time_spanning(spanned, ts))
 
 
-def refresh_grid_state(tables: Tables) -> None:
+def _read(tables: Tables, name: str, since: Column | None) -> DataFrame:
+    df = tables.read(name)
+    return df if since is None else df.filter(F.col(DAY) >= since)
+
+
+def refresh_grid_state(tables: Tables, since: Column | None = None) -> None:
     state = integrate.grid_state(
-        tables.read(f"silver.{GENERATION.table}"),
-        tables.read(f"silver.{WEATHER.table}"),
-        tables.read(f"silver.{CARBON.table}"),
+        _read(tables, f"silver.{GENERATION.table}", since),
+        _read(tables, f"silver.{WEATHER.table}", since),
+        _read(tables, f"silver.{CARBON.table}", since),
         tables.read("silver.country_dim"),
     )
     tables.upsert(
@@ -68,18 +74,18 @@ def _quarantine_orphans(tables: Tables, name: str, orphans: DataFrame, run_id: s
     )
 
 
-def refresh_fact_fuel(tables: Tables, run_id: str) -> None:
+def refresh_fact_fuel(tables: Tables, run_id: str, since: Column | None = None) -> None:
     fact, orphans = facts.fact_generation_fuel(
-        tables.read(f"silver.{GENERATION.table}"), tables.read("gold.dim_fuel_type")
+        _read(tables, f"silver.{GENERATION.table}", since), tables.read("gold.dim_fuel_type")
     )
     key = ["country_code", "hour_utc", "fuel_key"]
     tables.upsert("gold.fact_generation_fuel_hourly", with_day(fact, "hour_utc"), key, DAY)
     _quarantine_orphans(tables, "orphan_fuel", orphans, run_id)
 
 
-def refresh_fact_carbon(tables: Tables, run_id: str) -> None:
+def refresh_fact_carbon(tables: Tables, run_id: str, since: Column | None = None) -> None:
     fact, orphans = facts.fact_carbon_30min(
-        tables.read(f"silver.{CARBON.table}"), tables.read("gold.dim_uk_region")
+        _read(tables, f"silver.{CARBON.table}", since), tables.read("gold.dim_uk_region")
     )
     tables.upsert(
         "gold.fact_carbon_intensity_30min",
@@ -91,8 +97,10 @@ def refresh_fact_carbon(tables: Tables, run_id: str) -> None:
     _quarantine_orphans(tables, "orphan_region", orphans, run_id)
 
 
-def refresh_fact_grid(tables: Tables) -> None:
-    fact = facts.fact_grid_hourly(tables.read("silver.grid_state"), tables.read("gold.dim_fuel_type"))
+def refresh_fact_grid(tables: Tables, since: Column | None = None) -> None:
+    fact = facts.fact_grid_hourly(
+        _read(tables, "silver.grid_state", since), tables.read("gold.dim_fuel_type")
+    )
     key = ["country_code", "hour_utc"]
     tables.upsert("gold.fact_grid_hourly", with_day(fact, "hour_utc"), key, DAY)
 
@@ -119,3 +127,13 @@ def refresh_forecast(tables: Tables, rows: DataFrame, mode: str = "merge") -> No
         tables.upsert(name, dated, ["country_code", "base_hour_utc"], DAY, ["generated_at"])
     else:
         raise ValueError("mode must be 'merge' or 'overwrite'")
+
+
+def refresh_gold(tables: Tables, run_id: str, since: Column | None = None) -> None:
+    """From the silver feeds to the features, in order; dimensions first."""
+    refresh_dimensions(tables, tables.read(f"silver.{CARBON.table}"), CARBON.ts)
+    refresh_grid_state(tables, since)
+    refresh_fact_fuel(tables, run_id, since)
+    refresh_fact_carbon(tables, run_id, since)
+    refresh_fact_grid(tables, since)
+    refresh_features(tables, "create_or_replace" if since is None else "incremental")

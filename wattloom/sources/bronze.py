@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.envelopes import measurement_date
 from wattloom.schemas import BRONZE
+from wattloom.sources.tables import Tables
 
 
 def topic_options(
@@ -86,6 +87,17 @@ def backfill_summary(rows: DataFrame) -> DataFrame:
     )
 
 
+def append_backfill(
+    tables: Tables, table: str, rows: DataFrame, dry_run: bool = False
+) -> dict[str, int]:
+    """Appends backfilled rows to a bronze table, and says how many rows, dates and keys they
+    are; with dry_run it only says so."""
+    summary = backfill_summary(rows).first().asDict()
+    if not dry_run:
+        tables.append(f"bronze.{table}", rows, "event_date")
+    return summary
+
+
 def ingested_since(bronze: DataFrame, high_water: Column | None, day: Column | None = None) -> DataFrame:
     """Bronze rows past a high-water mark of ingested_at_ts; `day` also bounds the partitions."""
     rows = bronze if high_water is None else bronze.filter(F.col("ingested_at_ts") > high_water)

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wattloom import schemas
 from wattloom.plans.refresh import refresh_silver
+from wattloom.sources import bronze
 from wattloom.sources.feeds import Feed
 from wattloom.sources.tables import Tables
 
@@ -33,13 +34,26 @@ def write_bronze(
     return query
 
 
+def ingest_feed(
+    topic: DataFrame, tables: Tables, feed: Feed, available_now: bool = True, await_end: bool = True
+) -> StreamingQuery:
+    """One feed's topic stream into its bronze table, under its own checkpoint."""
+    return write_bronze(
+        bronze.enrich(topic, date_from="measurement"),
+        tables.path(f"bronze.{feed.topic}"),
+        tables.path(f"checkpoints.bronze-{feed.topic}"),
+        available_now,
+        await_end,
+    )
+
+
 def read_bronze_stream(spark: SparkSession, path: str) -> DataFrame:
     """Bronze as a stream: each row is delivered once, so silver never re-reads old rows."""
     return spark.readStream.schema(schemas.BRONZE).parquet(path)
 
 
 def silver_stream(
-    bronze: DataFrame, tables: Tables, feed: Feed, checkpoint: str, await_end: bool = True
+    rows: DataFrame, tables: Tables, feed: Feed, checkpoint: str, await_end: bool = True
 ) -> StreamingQuery:
     """Parses, validates and upserts each micro-batch of bronze rows.
 
@@ -51,7 +65,7 @@ def silver_stream(
         refresh_silver(tables, feed, batch, run_id=f"batch-{batch_id}")
 
     query = (
-        bronze.writeStream.foreachBatch(apply)
+        rows.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
