@@ -29,10 +29,10 @@ def landed_stream(tables):
 
 def test_topic_to_bronze_to_silver(tables):
     spark = tables.spark
-    path, checkpoints = tables.path("bronze.weather"), tables.path("checkpoints.x")
     stream = landed_stream(tables)
+    path = tables.path(f"bronze.{WEATHER.topic}")
     for _ in range(2):
-        ingest.write_bronze(bronze.enrich(stream, date_from="measurement"), path, f"{checkpoints}-bronze")
+        ingest.ingest_feed(stream, tables, WEATHER)
         table = spark.read.schema(BRONZE).parquet(path)
         assert table.count() == messages(spark).count()
         assert rows(table, *BRONZE.names[:6]) == rows(bronze.enrich(messages(spark)), *BRONZE.names[:6])
@@ -40,10 +40,11 @@ def test_topic_to_bronze_to_silver(tables):
     batch = Layers(spark, SF_SMALL)
     for _ in range(2):
         ingest.silver_stream(
-            ingest.read_bronze_stream(spark, path), tables, WEATHER, f"{checkpoints}-silver"
+            ingest.read_bronze_stream(spark, path, 20_000), tables, WEATHER, tables.path("checkpoints.silver")
         )
         assert rows(tables.read("silver.weather"), *COLUMNS) == rows(batch.silver(WEATHER), *COLUMNS)
         assert tables.read("quarantine.weather").count() == batch.quarantine(WEATHER).count()
+    assert tables.read("quarantine.weather").select("run_id").distinct().count() > 1
 
 
 def test_a_batch_delivered_twice_changes_nothing(tables):

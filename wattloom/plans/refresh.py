@@ -37,7 +37,8 @@ def refresh_silver(tables: Tables, feed: Feed, bronze: DataFrame, run_id: str) -
     tables.replace_partitions(
         f"quarantine.{feed.table}", quarantine_rows(invalid, run_id), "run_id"
     )
-    tables.upsert(f"silver.{feed.table}", with_day(valid, feed.ts), feed.key, DAY)
+    dated = with_day(valid, feed.ts)
+    tables.upsert(f"silver.{feed.table}", dated, feed.key, DAY, days=dated.select(DAY))
     return observed.get
 
 
@@ -57,15 +58,15 @@ def _read(tables: Tables, name: str, since: Column | None) -> DataFrame:
 
 
 def refresh_grid_state(tables: Tables, since: Column | None = None) -> None:
+    generation = _read(tables, f"silver.{GENERATION.table}", since)
     state = integrate.grid_state(
-        _read(tables, f"silver.{GENERATION.table}", since),
+        generation,
         _read(tables, f"silver.{WEATHER.table}", since),
         _read(tables, f"silver.{CARBON.table}", since),
         tables.read("silver.country_dim"),
     )
-    tables.upsert(
-        "silver.grid_state", with_day(state, "hour_utc"), ["country_code", "hour_utc"], DAY
-    )
+    key = ["country_code", "hour_utc"]
+    tables.upsert("silver.grid_state", with_day(state, "hour_utc"), key, DAY, days=generation)
 
 
 def _quarantine_orphans(tables: Tables, name: str, orphans: DataFrame, run_id: str) -> None:
@@ -75,34 +76,32 @@ def _quarantine_orphans(tables: Tables, name: str, orphans: DataFrame, run_id: s
 
 
 def refresh_fact_fuel(tables: Tables, run_id: str, since: Column | None = None) -> None:
-    fact, orphans = facts.fact_generation_fuel(
-        _read(tables, f"silver.{GENERATION.table}", since), tables.read("gold.dim_fuel_type")
-    )
-    key = ["country_code", "hour_utc", "fuel_key"]
-    tables.upsert("gold.fact_generation_fuel_hourly", with_day(fact, "hour_utc"), key, DAY)
+    generation = _read(tables, f"silver.{GENERATION.table}", since)
+    fact, orphans = facts.fact_generation_fuel(generation, tables.read("gold.dim_fuel_type"))
+    name, key = "gold.fact_generation_fuel_hourly", ["country_code", "hour_utc", "fuel_key"]
+    tables.upsert(name, with_day(fact, "hour_utc"), key, DAY, days=generation)
     _quarantine_orphans(tables, "orphan_fuel", orphans, run_id)
 
 
 def refresh_fact_carbon(tables: Tables, run_id: str, since: Column | None = None) -> None:
-    fact, orphans = facts.fact_carbon_30min(
-        _read(tables, f"silver.{CARBON.table}", since), tables.read("gold.dim_uk_region")
-    )
+    carbon = _read(tables, f"silver.{CARBON.table}", since)
+    fact, orphans = facts.fact_carbon_30min(carbon, tables.read("gold.dim_uk_region"))
     tables.upsert(
         "gold.fact_carbon_intensity_30min",
         with_day(fact, "period_start"),
         ["region_id", "period_start"],
         DAY,
         ["ingested_at", "source_event_id"],
+        days=carbon,
     )
     _quarantine_orphans(tables, "orphan_region", orphans, run_id)
 
 
 def refresh_fact_grid(tables: Tables, since: Column | None = None) -> None:
-    fact = facts.fact_grid_hourly(
-        _read(tables, "silver.grid_state", since), tables.read("gold.dim_fuel_type")
-    )
+    state = _read(tables, "silver.grid_state", since)
+    fact = facts.fact_grid_hourly(state, tables.read("gold.dim_fuel_type"))
     key = ["country_code", "hour_utc"]
-    tables.upsert("gold.fact_grid_hourly", with_day(fact, "hour_utc"), key, DAY)
+    tables.upsert("gold.fact_grid_hourly", with_day(fact, "hour_utc"), key, DAY, days=state)
 
 
 def refresh_features(tables: Tables, mode: str = "create_or_replace") -> None:

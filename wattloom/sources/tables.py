@@ -107,23 +107,33 @@ class Tables:
         keys: list[str],
         partition_by: str,
         order_by: list[str] | None = None,
+        days: DataFrame | None = None,
     ) -> None:
         """Ordered upsert, rewriting only the partitions the source touches.
 
         `partition_by` must be a date that follows from the key, so that a correction lands in
-        the partition of the row it corrects. The touched dates are a calendar's worth of rows
-        at most, hence the broadcast, which also prunes the target's partitions at run time.
+        the partition of the row it corrects. `days` is a frame with that column that covers the
+        source's dates and is cheaper to read, such as the table the source is computed from;
+        without it the source is computed twice.
         """
         if not isinstance(source.schema[partition_by].dataType, T.DateType):
             raise ValueError(f"{partition_by} must be a date")
         if not self.exists(name):
             self.overwrite(name, latest_per_key(source, keys, order_by), partition_by, keys)
             return
-        touched = F.broadcast(source.select(partition_by).distinct())
-        target = self.read(name).join(touched, partition_by, "left_semi")
+        target = self._touched(name, partition_by, source if days is None else days)
         merged = upsert_frame(target, source, keys, order_by)
         self.replace_partitions(name, merged, partition_by, keys)
 
+    def _touched(self, name: str, day: str, days: DataFrame) -> DataFrame:
+        """The table's partitions for the dates in `days`, pruned at run time.
+
+        The dates are a calendar's worth of rows at most, hence the broadcast. Pruning is only
+        planned for a side with a comparison in it, which the lower bound provides.
+        """
+        dates = days.select(day).filter(F.col(day) >= F.lit("0001-01-01").cast("date")).distinct()
+        return self.read(name).join(F.broadcast(dates), day, "left_semi")
+
     def append_newer(self, name: str, df: DataFrame, ts: str, partition_by: str | None = None) -> None:
         """Appends rows past the table's newest `ts`; writes all of them when it has none."""
         if not self.exists(name):

@@ -47,9 +47,17 @@ def ingest_feed(
     )
 
 
-def read_bronze_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Bronze as a stream: each row is delivered once, so silver never re-reads old rows."""
-    return spark.readStream.schema(schemas.BRONZE).parquet(path)
+def read_bronze_stream(
+    spark: SparkSession, path: str, max_bytes_per_trigger: int | None = None
+) -> DataFrame:
+    """Bronze as a stream: each row is delivered once, so silver never re-reads old rows.
+
+    `max_bytes_per_trigger` cuts a long backlog into several micro-batches.
+    """
+    reader = spark.readStream.schema(schemas.BRONZE)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
+    return reader.parquet(path)
 
 
 def silver_stream(
