@@ -6,11 +6,12 @@ needs them; where no shared folder is named, `Layers` gives the same tables as p
 
 from __future__ import annotations
 
+import hashlib
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from xxhash import xxh64_hexdigest
 
 from verification import fixtures as fx
 from wattloom.operators import dims
@@ -111,11 +112,13 @@ class Lake(Layers):
         super().__init__(spark, sf_dir)
         self.tables = Tables(spark, root)
         self._done: set[str] = set()
+        self._building = threading.RLock()
 
     def _table(self, name: str, build) -> DataFrame:
-        if name not in self._done:
-            build()
-            self._done.add(name)
+        with self._building:
+            if name not in self._done:
+                build()
+                self._done.add(name)
         return self.tables.read(name)
 
     def bronze(self, feed: Feed) -> DataFrame:
@@ -136,12 +139,11 @@ class Lake(Layers):
         return self.tables.read(f"quarantine.{feed.table}")
 
     def _dimension(self, name: str) -> DataFrame:
-        if name not in self._done:
-            refresh.refresh_dimensions(self.tables, self.events, "ts")
-            self._done.update(
-                ["silver.country_dim", "gold.dim_country", "gold.dim_fuel_type"]
-                + ["gold.dim_uk_region", "gold.dim_time"]
-            )
+        self._table(name, lambda: refresh.refresh_dimensions(self.tables, self.events, "ts"))
+        self._done.update(
+            ["silver.country_dim", "gold.dim_country", "gold.dim_fuel_type"]
+            + ["gold.dim_uk_region", "gold.dim_time"]
+        )
         return self.tables.read(name)
 
     def country_dim(self) -> DataFrame:
@@ -213,6 +215,6 @@ def lake(spark: SparkSession, sf_dir: str) -> Layers:
         folder = shared_folder(spark)
         if folder is None:
             return Layers(spark, sf_dir)
-        root = f"{folder.rstrip('/')}/wattloom/{key[0]}-{xxh64_hexdigest(sf_dir)}"
+        root = f"{folder.rstrip('/')}/wattloom/{key[0]}-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
         _lakes[key] = Lake(spark, sf_dir, root)
     return _lakes[key]
