@@ -47,6 +47,20 @@ def test_incremental_features_append_past_the_newest_hour(spark, lake):
     assert got.agg(F.max("hour_utc")).first() == Layers(spark, SF).features().agg(F.max("hour_utc")).first()
 
 
+def test_incremental_features_in_hours_read_a_bounded_past(spark, lake):
+    store = Tables(spark, lake.root + "-hours")
+    grid = lake.read("gold.fact_grid_hourly")
+    for bound in (F.col("date_utc") < CUT, F.lit(True)):
+        store.overwrite("gold.fact_grid_hourly", grid.filter(bound), "date_utc")
+        refresh.refresh_features(store, "incremental", lags="hours")
+    got = store.read("gold.feature_carbon_forecast")
+    newest = features.training_features(grid.filter(F.col("date_utc") < CUT), "hours").agg(F.max("hour_utc")).first()[0]
+    whole = features.training_features(grid, "hours").filter(F.col("hour_utc") > newest)
+    columns = ["country_code", "hour_utc", "carbon_lag_168h", "carbon_rolling_24h_mean", "target_t24h"]
+    assert rows(got.filter(F.col("hour_utc") > newest), *columns) == rows(whole, *columns)
+    assert whole.count() > 0
+
+
 def test_orphans_and_rejects_are_kept_per_run(lake):
     runs = lake.read("quarantine.orphan_fuel").groupBy("run_id").count()
     assert {r.run_id for r in runs.collect()} == {"first", "second"}

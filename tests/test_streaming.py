@@ -6,7 +6,7 @@ from tests.conftest import SF_SMALL, rows
 from verification import fixtures as fx
 from verification.lake import Layers
 from wattloom.plans.refresh import refresh_silver
-from wattloom.schemas import BRONZE
+from wattloom.schemas import BRONZE, TOPIC_FRAME
 from wattloom.sources import bronze
 from wattloom.sources.feeds import WEATHER
 from wattloom.sources.tables import Tables
@@ -23,8 +23,7 @@ def landed_stream(tables):
     """A folder of messages standing in for the topic, read two files at a time."""
     path = tables.path("topic.weather")
     messages(tables.spark).repartition(6).write.mode("overwrite").parquet(path)
-    schema = tables.spark.read.parquet(path).schema
-    return tables.spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(path)
+    return tables.spark.readStream.schema(TOPIC_FRAME).option("maxFilesPerTrigger", 2).parquet(path)
 
 
 def test_topic_to_bronze_to_silver(tables):

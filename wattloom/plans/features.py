@@ -33,10 +33,12 @@ NUMERIC = [
 ]
 STATE = NUMERIC[:7]
 
+REACH_BACK = 168  # steps the longest lag looks back
+
 SERIES = {
     "carbon_lag_1h": Shift("carbon_current", -1),
     "carbon_lag_24h": Shift("carbon_current", -24),
-    "carbon_lag_168h": Shift("carbon_current", -168),
+    "carbon_lag_168h": Shift("carbon_current", -REACH_BACK),
     "carbon_rolling_24h_mean": TrailingMean("carbon_current", 24),
     "temp_rolling_24h_mean": TrailingMean("temperature_c", 24),
     TARGET: Shift("carbon_current", HORIZON_HOURS),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from wattloom.operators import dims
 from wattloom.operators.quality import counted, quarantine_rows, split_valid
+from wattloom.operators.slices import newest
 from wattloom.plans import facts, features, integrate
 from wattloom.sources.feeds import CARBON, GENERATION, WEATHER, Feed
 from wattloom.sources.tables import Tables
@@ -104,16 +105,25 @@ def refresh_fact_grid(tables: Tables, since: Column | None = None) -> None:
     tables.upsert("gold.fact_grid_hourly", with_day(fact, "hour_utc"), key, DAY, days=state)
 
 
-def refresh_features(tables: Tables, mode: str = "create_or_replace") -> None:
-    """Rebuilds the feature table, or appends the hours past its newest ('incremental')."""
-    rows = with_day(features.training_features(tables.read("gold.fact_grid_hourly")), "hour_utc")
-    name = "gold.feature_carbon_forecast"
-    if mode == "create_or_replace":
-        tables.overwrite(name, rows, DAY)
-    elif mode == "incremental":
-        tables.append_newer(name, rows, "hour_utc", DAY)
-    else:
+def refresh_features(tables: Tables, mode: str = "create_or_replace", lags: str = "rows") -> None:
+    """Rebuilds the feature table, or appends the hours past its newest ('incremental').
+
+    With lags='hours' an incremental run reads only the days its frames reach back to; a lag in
+    rows may reach back over any gap, so there the whole series is read.
+    """
+    name, ts = "gold.feature_carbon_forecast", "hour_utc"
+    if mode not in ("create_or_replace", "incremental"):
         raise ValueError("mode must be 'create_or_replace' or 'incremental'")
+    grid = tables.read("gold.fact_grid_hourly")
+    append = mode == "incremental" and tables.exists(name)
+    if append and lags == "hours":
+        reach = F.timestamp_add("HOUR", F.lit(-features.REACH_BACK), newest(tables.read(name), ts, DAY))
+        grid = grid.filter(reach.isNull() | (F.col(DAY) >= F.to_date(reach)))
+    rows = with_day(features.training_features(grid, lags), ts)
+    if append:
+        tables.append_newer(name, rows, ts, DAY)
+    else:
+        tables.overwrite(name, rows, DAY, ["country_code", ts])
 
 
 def refresh_forecast(tables: Tables, rows: DataFrame, mode: str = "merge") -> None:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.measures import exact_sum, tons
 from wattloom.operators.dims import NATIONAL_REGION_ID
-from wattloom.operators.slices import latest_slice, newest, trailing_slice
+from wattloom.operators.slices import latest_slice, trailing_slice
 
 # Countries the per-country reports answer for.
 REPORT_COUNTRIES = ["DE", "ES", "FR", "IT", "NL"]
@@ -364,7 +364,3 @@ def rows_per_entity(df: DataFrame, entity: str, ts: str) -> DataFrame:
 def newest_rows(df: DataFrame, ts: str, tie: list[str], limit: int = 15) -> DataFrame:
     """The report's newest rows: a top-k, planned without a full sort."""
     return df.orderBy(F.desc(ts), *tie).limit(limit)
-
-
-def newest_timestamp(df: DataFrame, ts: str, day: str | None = None) -> DataFrame:
-    return df.sparkSession.range(1).select(newest(df, ts, day).alias(ts))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime settings every plan in this package relies on. They are safe to set on a
 # session somebody else created, because none of them is a static configuration.
@@ -53,10 +53,3 @@ def shared_folder(spark: SparkSession) -> str | None:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         named = sc.getCheckpointDir()
     return named
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so a result used twice is computed once and survives executors."""
-    if shared_folder(df.sparkSession) is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return df.checkpoint(eager=True)
