@@ -39,6 +39,22 @@ def test_point_instant_is_one_based(spark):
     assert got == datetime(2026, 5, 14, 1, 0)
 
 
+def test_absurd_points_do_not_fail_the_job(spark):
+    start = F.lit("2026-05-14 00:00:00").cast("timestamp")
+    far = instants.point_instant(start, F.lit(2_000_000_000), F.lit(3600))
+    assert one(spark, far > start) is True
+    assert one(spark, instants.resolution_seconds(F.lit("PT2000000000M"))) == 3600
+    assert one(spark, instants.resolution_seconds(F.lit("PT99999999999999999999M"))) == 3600
+
+
+def test_stable_sum_is_exact_and_survives_freak_values(spark):
+    df = spark.createDataFrame([(0.1,)] * 10 + [(None,)], "v DOUBLE")
+    assert df.agg(measures.stable_sum("v")).first()[0] == 1.0
+    assert df.limit(0).agg(measures.stable_sum("v")).first()[0] is None
+    freak = df.union(spark.createDataFrame([(1e30,)], "v DOUBLE"))
+    assert freak.agg(measures.stable_sum("v")).first()[0] == 1e30
+
+
 def test_time_key_and_weekday(spark):
     sunday = F.lit("2026-05-17 07:10:00").cast("timestamp")
     assert one(spark, instants.time_key(sunday)) == 2026051707

@@ -12,7 +12,7 @@ from verification.lake import GENERATED_AT, RUN, Layers, lake
 from wattloom import schemas
 from wattloom.functions.envelopes import verify_checksum
 from wattloom.functions.instants import local_time
-from wattloom.functions.measures import age_minutes, exact_sum, freshness
+from wattloom.functions.measures import age_minutes, freshness, stable_sum
 from wattloom.operators import dims, flatten, keys, quality, slices
 from wattloom.plans import facts, features, forecast, health, integrate, reports
 from wattloom.session import configure
@@ -658,10 +658,8 @@ def _(lk: Layers) -> DataFrame:
         keys=["country_code", "hour_utc", "fuel_key"],
         distinct={"countries": "country_code", "fuels_seen": "fuel_key", "hours": "hour_utc"},
         measures={
-            "total_mw_summed": F.round(exact_sum("value_mw"), 0).cast("double"),
-            "total_megatons_co2_eq": F.round(
-                exact_sum("estimated_gco2_per_hour").cast("double") / 1e12, 2
-            ),
+            "total_mw_summed": F.round(stable_sum("value_mw"), 0),
+            "total_megatons_co2_eq": F.round(stable_sum("estimated_gco2_per_hour") / 1e12, 2),
         },
     )
 

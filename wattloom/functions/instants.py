@@ -49,12 +49,15 @@ def hour_index(ts: Column) -> Column:
 def resolution_seconds(resolution: Column) -> Column:
     """PT15M / PT30M / PT60M ... in seconds; an hour when absent or written otherwise."""
     minutes = F.regexp_extract(resolution, r"^PT(\d+)M", 1).try_cast("int")
-    return F.coalesce(minutes * 60, F.lit(HOUR_SECONDS))
+    return F.coalesce(F.try_multiply(minutes, F.lit(60)), F.lit(HOUR_SECONDS))
 
 
 def point_instant(start: Column, position: Column, step_seconds: Column) -> Column:
-    """Instant of the 1-based point `position` in a period that begins at `start`."""
-    return F.timestamp_add("SECOND", (position - 1) * step_seconds, start)
+    """Instant of the 1-based point `position` in a period that begins at `start`.
+
+    Counted in long seconds, so that an absurd position gives an absurd instant and no overflow.
+    """
+    return F.timestamp_seconds(F.unix_timestamp(start) + (position.cast("bigint") - 1) * step_seconds)
 
 
 def local_time(ts: Column, zone: Column | str) -> Column:

@@ -17,11 +17,11 @@ from wattloom.functions.instants import (
     resolution_seconds,
     settlement_instant,
 )
+from wattloom.functions.measures import stable_sum
 
 HOURLY_RESOLUTION = "PT60M"
 ISO_OFFSET_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
 UNKNOWN_LABEL = "Unknown"
-EXACT_MW = "decimal(18,6)"
 
 
 def regional_payloads(df: DataFrame, response: str = "response") -> DataFrame:
@@ -60,7 +60,7 @@ def _weather_payload(city: str, doc: Column, hour: Column) -> Column:
         hour["time"].alias("time"),
         hour["temperature_2m"].alias("temperature_2m"),
         hour["wind_speed_10m"].alias("wind_speed_10m"),
-        hour["cloud_cover"].cast("int").alias("cloud_cover"),
+        hour["cloud_cover"].try_cast("int").alias("cloud_cover"),
         hour["shortwave_radiation"].alias("shortwave_radiation"),
         F.struct(*[doc["hourly_units"][u].alias(u) for u in schemas.READINGS]).alias("units"),
     )
@@ -189,8 +189,7 @@ def nest_mix(hourly: DataFrame, entity: list[str], carry: dict[str, Column] | No
     """Fuel rows of an hour to one row with the mix array, sorted by code, and its total.
 
     A group holds at most one row per fuel code, so the collected array is bounded by the code
-    list. `carry` adds further aggregates, such as the latest ingestion time. The total is summed
-    in decimals, so it does not depend on the order rows arrive in.
+    list. `carry` adds further aggregates, such as the latest ingestion time.
     """
     item = F.struct(
         F.col("psr_type"), F.col("name"), F.round("mean_mw", 2).alias("value_mw")
@@ -198,7 +197,7 @@ def nest_mix(hourly: DataFrame, entity: list[str], carry: dict[str, Column] | No
     extra = [agg.alias(name) for name, agg in (carry or {}).items()]
     return hourly.groupBy(*entity, "hour_utc").agg(
         F.sort_array(F.collect_list(item)).alias("generation_mix"),
-        F.round(F.sum(F.col("mean_mw").cast(EXACT_MW)), 2).cast("double").alias("total_generation_mw"),
+        F.round(stable_sum("mean_mw"), 2).alias("total_generation_mw"),
         *extra,
     )
 

@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.functions.measures import exact_sum, tons
+from wattloom.functions.measures import stable_sum, tons
 from wattloom.operators.dims import NATIONAL_REGION_ID
 from wattloom.operators.slices import latest_slice, trailing_slice
 
@@ -27,11 +27,11 @@ def checked_country(country: str) -> str:
 
 
 def _sum_mw(digits: int = 0) -> Column:
-    return F.round(exact_sum("value_mw"), digits).cast("double")
+    return F.round(stable_sum("value_mw"), digits)
 
 
 def _sum_tons(digits: int) -> Column:
-    return F.round(tons(exact_sum("estimated_gco2_per_hour").cast("double")), digits)
+    return F.round(tons(stable_sum("estimated_gco2_per_hour")), digits)
 
 
 # --- grid fact --------------------------------------------------------------------------------
@@ -124,9 +124,9 @@ def fuel_mix_latest(fuel: DataFrame, day: str | None = None) -> DataFrame:
 
 def eu_kpis(fuel: DataFrame, day: str | None = None) -> DataFrame:
     """Headline figures of the newest hour over all countries, one row."""
-    mw = exact_sum("value_mw").cast("double")
-    renewable = exact_sum(F.when(F.col("is_renewable"), F.col("value_mw")).otherwise(0)).cast("double")
-    weighted = exact_sum(F.col("value_mw") * F.col("typical_gco2_per_kwh")).cast("double")
+    mw = stable_sum("value_mw")
+    renewable = stable_sum(F.when(F.col("is_renewable"), F.col("value_mw")).otherwise(0.0))
+    weighted = stable_sum(F.col("value_mw") * F.col("typical_gco2_per_kwh"))
     return latest_slice(fuel, "hour_utc", day).agg(
         _sum_mw().alias("total_mw"),
         _sum_tons(0).alias("total_tons_co2_per_hour"),
