@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF
+from verification import oracle, registry
 from verification.compare import difference, duck, oracle_rows
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.queries()
+SQL = oracle.oracle_sql()
 ROWS_ONLY = {"gbt_forecast", "gbt_metrics", "gbt_importance"}
 
 
