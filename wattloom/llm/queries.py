@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import byte_bpe, common, packing, shards, token_counts, topk
+from wattloom.llm import byte_bpe, classifier, common, lines, packing, rules, shards, simhash, token_counts, topk
 from wattloom.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +100,23 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Written, as it is counted and then read twice.
     vectors = common.written(topk.integer_vectors(table(spark, sf_dir, "embeddings")), "vectors")
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
+@query("op3_simhash_near_dedup")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op1_line_dedup")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.decisions_by_document(table(spark, sf_dir, "documents"))
+
+
+@query("op6_risk_controlled_rules")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_ftrl_quality")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
