@@ -173,7 +173,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def line_components(docs: DataFrame, text: str = "text") -> DataFrame:
     """(node, root) for the lines, by hash, that are near to others but aren't their component's
     least."""
-    content = docs.select(whole_text(text))
+    content = docs.select(whole_text(text).alias("text"))
     bands = content.mapInArrow(_sign, "key bigint, line bigint")
     met = bands.repartition("key").sortWithinPartitions("key", "line")
     met = written(met.mapInArrow(_meet, "leader bigint, line bigint").distinct(), "met")

@@ -101,7 +101,7 @@ def pieces(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
             )
 
-    return docs.select(F.col(doc_id).alias("doc_id"), whole_text(text)).mapInArrow(cut, PIECES)
+    return docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text")).mapInArrow(cut, PIECES)
 
 
 def fullest(lengths: list[int], counts: dict[int, int], room: int) -> list[int]:

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import byte_bpe, classifier, common, lines, packing, rules, shards, simhash, token_counts, topk
+from wattloom.llm import (
+    byte_bpe,
+    classifier,
+    common,
+    lines,
+    packing,
+    pages,
+    rules,
+    shards,
+    simhash,
+    token_counts,
+    topk,
+)
 from wattloom.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +132,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_ftrl_quality")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_page_wrappers")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_texts(table(spark, sf_dir, "pages"))
