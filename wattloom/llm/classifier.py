@@ -154,7 +154,9 @@ def train(
 
     made = rows.mapInArrow(vectors, "id bigint, label int, slots array<bigint>, values array<double>")
     made = made.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id", "label", "slots")
-    return np.array(made.mapInArrow(fit, "weights array<double>").first()[0])
+    found = made.mapInArrow(fit, "weights array<double>").first()
+    # Without a row there may be no task.
+    return np.zeros(1 << bits) if found is None else np.array(found[0])
 
 
 def score_column(weights):

@@ -236,6 +236,11 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return docs.join(decisions, on, "left").withColumn(text, changed).select(*docs.columns)
 
 
+def with_length(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
+    """`docs` with the text's characters counted anew in an existing column."""
+    return docs.withColumn(name, F.length(text).cast(docs.schema[name].dataType))
+
+
 def decisions_by_document(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row's doc_id, n_lines, n_dropped, dropped and kept_by."""
     decisions = line_decisions(docs, doc_id, text).withColumnRenamed("doc_id", "own")

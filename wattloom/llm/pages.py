@@ -69,7 +69,7 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<|[^<]+", re.S
 )
 ATTRIBUTE = re.compile(r"""([A-Za-z_:][-\w:.]*)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
-NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+NAME_PARTS = re.compile(r"[A-Z]?[a-z]+\d*|[A-Z]+\d*(?![a-z])")
 TEXT = "#"
 
 
@@ -92,7 +92,8 @@ def key_of(tag: str, attributes: str) -> str:
     found = {k.lower(): html.unescape(v.strip("\"'")) for k, v in ATTRIBUTE.findall(attributes)} if attributes else {}
     said = f"{found.get('class', '')} {found.get('id', '')}"
     names = {p.lower() for p in NAME_PARTS.findall(said)}
-    apart = tag in APART or names & APART_NAMES or found.get("role", "").lower() in APART_ROLES
+    plain = {n.rstrip("0123456789") for n in names}
+    apart = tag in APART or bool(plain & APART_NAMES) or found.get("role", "").lower() in APART_ROLES
     # The page's own containers may be named after a part of theirs.
     if tag in ("html", "body") or (tag in ARTICLE and not names & {"comment", "comments", "ad", "advert"}):
         apart = False
@@ -101,7 +102,7 @@ def key_of(tag: str, attributes: str) -> str:
     mark = "-" if apart else ""
     if not apart and (tag in ARTICLE or found.get("itemprop", "").lower() == "articlebody" or found.get("role") == "main"):
         mark = "+"
-    elif not apart and tag in ("div", "section") and names & BODY_NAMES:
+    elif not apart and tag in ("div", "section") and plain & BODY_NAMES:
         mark = "~"
     return f"{tag}{mark}:{'.'.join(sorted(names))}"
 
@@ -161,7 +162,13 @@ def parse(page: str) -> Node:
             skip = 0
         if skip:
             continue
-        if name in INLINE:
+        # Marked-up phrases that stand apart (an advert in a span) are elements of their own.
+        phrase = name in INLINE and name not in VOID
+        if phrase and kind == "open":
+            phrase = not rest or _mark(key_of(name, rest)) != "-"
+        elif phrase:
+            phrase = tags[-1] != name
+        if phrase or name == "br":
             if name == "a":
                 links = 1 if kind == "open" else 0
             elif name == "br":
