@@ -30,8 +30,8 @@ ROOT = 0
 START = -1
 NO_TOKEN = -1
 WHAT = -1
-STEPS = 300_000
-MEMO = 400_000
+STEPS = 500_000
+MEMO = 1_200_000
 DECODED_AT_ONCE = 65_536
 
 
