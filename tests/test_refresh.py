@@ -47,18 +47,34 @@ def test_incremental_features_append_past_the_newest_hour(spark, lake):
     assert got.agg(F.max("hour_utc")).first() == Layers(spark, SF).features().agg(F.max("hour_utc")).first()
 
 
-def test_incremental_features_in_hours_read_a_bounded_past(spark, lake):
+def test_incremental_features_keep_a_country_that_lags(spark, lake):
     store = Tables(spark, lake.root + "-hours")
     grid = lake.read("gold.fact_grid_hourly")
-    for bound in (F.col("date_utc") < CUT, F.lit(True)):
-        store.overwrite("gold.fact_grid_hourly", grid.filter(bound), "date_utc")
+    german = F.col("country_code") == "DE"
+    corrected = F.when(german & (F.col("date_utc") >= "2024-01-26"), F.col("temperature_c") + 1)
+    whole = grid.withColumn("temperature_c", F.coalesce(corrected, F.col("temperature_c")))
+    for part in (grid.filter(F.col("date_utc") < F.when(german, F.lit("2024-01-25")).otherwise(F.lit(CUT))), whole):
+        store.overwrite("gold.fact_grid_hourly", part, "date_utc")
         refresh.refresh_features(store, "incremental", lags="hours")
     got = store.read("gold.feature_carbon_forecast")
-    newest = features.training_features(grid.filter(F.col("date_utc") < CUT), "hours").agg(F.max("hour_utc")).first()[0]
-    whole = features.training_features(grid, "hours").filter(F.col("hour_utc") > newest)
-    columns = ["country_code", "hour_utc", "carbon_lag_168h", "carbon_rolling_24h_mean", "target_t24h"]
-    assert rows(got.filter(F.col("hour_utc") > newest), *columns) == rows(whole, *columns)
-    assert whole.count() > 0
+    columns = ["country_code", "hour_utc", "temperature_c", "carbon_lag_168h", "carbon_rolling_24h_mean", "target_t24h"]
+    assert rows(got, *columns) == rows(features.training_features(whole, "hours"), *columns)
+
+
+def test_late_inputs_show_after_the_next_refresh(spark, lake):
+    store = Tables(spark, lake.root + "-late")
+    for name in ("silver.generation", "silver.carbon_intensity"):
+        store.overwrite(name, lake.read(name), "date_utc")
+    store.overwrite("silver.country_dim", lake.read("silver.country_dim"))
+    weather = lake.read("silver.weather")
+    for part in (weather.filter(F.lit(False)), weather):
+        store.overwrite("silver.weather", part, "date_utc")
+        refresh.refresh_grid_state(store)
+    got = store.read("silver.grid_state")
+    assert rows(got, "country_code", "hour_utc", "temperature_c") == rows(
+        lake.read("silver.grid_state"), "country_code", "hour_utc", "temperature_c"
+    )
+    assert got.filter("temperature_c IS NOT NULL").count() > 0
 
 
 def test_orphans_and_rejects_are_kept_per_run(lake):
@@ -79,6 +95,10 @@ def test_model_versions_and_scoring(spark, lake):
     assert pooled.mae > 0 and pooled.row_count == parts["test"].count()
     assert [models.save(lake, model, metrics={"mae": pooled.mae}) for _ in range(2)] == [1, 2]
     assert models.resolve(lake) == 2
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(models, "resolve", lambda *_: 1)  # as a run that started with another one
+        with pytest.raises(Exception, match="exists"):
+            models.save(lake, model)
     loaded = models.load(lake)
     scored = forecast.predict(loaded, forecast.inference_window(rows_in, days=2))
     version = F.lit(models.resolve(lake))
@@ -122,6 +142,7 @@ def test_backfill_counts_first_and_appends_when_told(tables):
     assert table.count() == counted["row_count"] == 10_000
     later = bronze.ingested_since(table, F.current_timestamp())
     assert later.count() == 0
+    assert table.filter("event_date IS NULL").count() == 0
     recent = bronze.ingested_since(table, None, F.to_date(F.lit("2024-01-30")))
     assert 0 < recent.count() < table.count()
 

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows
 from wattloom.operators.keys import upsert_frame
+from wattloom.sources.tables import Tables
 
 SCHEMA = "k INT, day DATE, ingested_at TIMESTAMP, event_id STRING, v INT"
 
@@ -98,8 +99,57 @@ def test_replacing_a_run_does_not_repeat_it(tables):
     assert rows(tables.read("quarantine.t").groupBy("run_id").count()) == [("a", 2), ("b", 1)]
 
 
-def test_append_newer(tables):
+def test_append_newer_goes_by_entity(tables):
+    def hours(**upto):
+        pairs = [(e, h) for e, n in upto.items() for h in range(n)]
+        return tables.spark.createDataFrame(pairs, "e STRING, h INT")
+
+    for part in (hours(fr=4, de=2), hours(fr=5, de=5), hours(fr=5, de=5, it=1)):
+        tables.append_newer("gold.t", part, "h", "e")
+    want = [("de", h) for h in range(5)] + [("fr", h) for h in range(5)] + [("it", 0)]
+    assert rows(tables.read("gold.t")) == want
+
+
+def test_a_column_keeps_its_type(tables):
     spark = tables.spark
-    for upto in (3, 5, 5):
-        tables.append_newer("gold.t", spark.range(upto), "id")
-    assert rows(tables.read("gold.t")) == [(0,), (1,), (2,), (3,), (4,)]
+    narrow = spark.range(2).select(F.col("id").cast("int").alias("n"), F.to_date(F.lit("2026-01-01")).alias("day"))
+    wide = narrow.withColumn("n", F.col("n").cast("bigint"))
+    tables.append("s.t", narrow, "day")
+    for write in (
+        lambda: tables.append("s.t", wide, "day"),
+        lambda: tables.replace_partitions("s.t", wide, "day"),
+        lambda: tables.upsert("s.t", wide, ["n"], "day", ["n"]),
+    ):
+        with pytest.raises(ValueError, match="is int, not bigint"):
+            write()
+    tables.append("s.t", narrow.withColumn("more", F.lit("x")), "day")
+    assert rows(tables.read("s.t"), "n", "more") == sorted([(0, None), (1, None), (0, "x"), (1, "x")], key=repr)
+
+
+def test_a_run_that_dies_between_delete_and_rename_is_completed(tables, monkeypatch):
+    spark, day = tables.spark, "2026-01-01"
+    tables.upsert("s.t", batch(spark, *[(k, day, f"{day} 00:00:00", k) for k in range(5)]), ["k"], "day")
+    real = Tables.replace_partitions
+
+    def dies(self, name, df, partition_by, sort_by=None):
+        df.count()
+        gone = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/day={day}")
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(Tables, "replace_partitions", dies)
+    with pytest.raises(RuntimeError):
+        tables.upsert("s.t", batch(spark, (1, day, "2026-01-02 00:00:00", 11)), ["k"], "day")
+    assert tables.read("s.t").count() == 0
+    monkeypatch.setattr(Tables, "replace_partitions", real)
+    other = Tables(spark, tables.root)  # as a new run, with a batch of its own
+    other.upsert("s.t", batch(spark, (7, "2026-02-01", "2026-02-01 00:00:00", 7)), ["k"], "day")
+    assert rows(other.read("s.t"), "k", "v") == [(0, 0), (1, 11), (2, 2), (3, 3), (4, 4), (7, 7)]
+
+
+def test_dates_before_the_common_era_are_upserted_too(tables):
+    old = F.date_from_unix_date(F.lit(-800_000))
+    for k in (1, 2):
+        df = batch(tables.spark, (k, "2026-01-01", "2026-01-01 00:00:00", k)).withColumn("day", old)
+        tables.upsert("s.t", df, ["k"], "day")
+    assert rows(tables.read("s.t"), "k") == [(1,), (2,)]

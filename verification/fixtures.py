@@ -29,11 +29,8 @@ def _pick(index: Column, values: list[str]) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table. One small file is one scan task, so it is spread over the cores for the
-    text work behind it; a large table has splits enough and is read as it is."""
-    table = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
-    cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    """The events table."""
+    return spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def points(events: DataFrame) -> DataFrame:
@@ -76,8 +73,8 @@ def carbon_periods(events: DataFrame) -> DataFrame:
 
 
 def weather_readings(events: DataFrame) -> DataFrame:
-    """One hourly weather reading per view, click or signup."""
-    return events.filter(F.col("event_type").isin("view", "click", "signup")).select(
+    """One hourly weather reading per event."""
+    return events.select(
         "event_id",
         F.col("ts").alias("ingested_at"),
         hour_of(F.col("ts")).alias("time_utc"),

@@ -1,7 +1,7 @@
 """The layers' tables, built from the `events` table by the library's own refresh jobs.
 
 Tables are written once per application under the shared folder and only when a query first
-needs them; where no shared folder is named, `Layers` gives the same tables as plans.
+needs them. `Layers` gives the same tables as plans.
 """
 
 from __future__ import annotations
@@ -208,13 +208,13 @@ class Lake(Layers):
 _lakes: dict[tuple[str, str], Lake] = {}
 
 
-def lake(spark: SparkSession, sf_dir: str) -> Layers:
-    """The application's lake over a data folder; plans only where nothing is shared."""
+def lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """The application's lake over a data folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _lakes:
         folder = shared_folder(spark)
         if folder is None:
-            return Layers(spark, sf_dir)
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = f"{folder.rstrip('/')}/wattloom/{key[0]}-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
         _lakes[key] = Lake(spark, sf_dir, root)
     return _lakes[key]

@@ -90,7 +90,7 @@ PARTS = {
                                 WHEN 3 THEN 'Madrid' WHEN 4 THEN 'Rome' ELSE 'Amsterdam' END AS city,
                value - 10 AS temperature_c, value * 2 AS wind_speed_kmh,
                CAST(event_id % 101 AS INTEGER) AS cloud_cover_pct, CAST(event_id % 800 AS DOUBLE) AS solar_radiation_wm2
-        FROM events WHERE event_type IN ('view', 'click', 'signup')""",
+        FROM events""",
     # --- parsed, with the injected defects ---
     "carbon_parsed": """
         SELECT id, ingested_at AS kafka_timestamp,
@@ -441,12 +441,15 @@ ORACLES = {
     "bronze_measurement_date": """
         SELECT date_trunc('day', ingested_at) AS event_date, count(*) AS row_count FROM carbon_raw GROUP BY ALL""",
     "backfill_rows": """
-        SELECT CASE WHEN id % 83 <> 0 THEN date_trunc('day', period_start) END AS event_date,
+        SELECT CASE WHEN id % 83 <> 0 THEN date_trunc('day', period_start)
+                    ELSE TIMESTAMP '2024-02-01 00:00:00' END AS event_date,
                'carbon-intensity' AS topic, 0 AS partition, CAST(0 AS BIGINT) AS offset,
                TIMESTAMP '2024-02-01 00:00:00' AS kafka_timestamp, count(*) AS row_count,
                count(DISTINCT region_code) AS regions FROM carbon_raw GROUP BY ALL""",
     "backfill_dry_run": """
-        SELECT count(*) AS row_count, count(DISTINCT CASE WHEN id % 83 <> 0 THEN date_trunc('day', time_utc) END) AS event_dates,
+        SELECT count(*) AS row_count,
+               count(DISTINCT CASE WHEN id % 83 <> 0 THEN date_trunc('day', time_utc)
+                                   ELSE TIMESTAMP '2024-02-01 00:00:00' END) AS event_dates,
                count(DISTINCT city) AS kafka_keys FROM weather_raw""",
     "envelope_build": f"""
         SELECT 'evt-' || id AS event_id,
@@ -801,9 +804,14 @@ ORACLES = {
     "scoring_features": f"{_FEATURES} FROM scoring",
     "features_time_true": f"""{_FEATURES} FROM hour_features
         WHERE carbon_lag_168h IS NOT NULL AND target_t24h IS NOT NULL AND carbon_rolling_24h_mean IS NOT NULL""",
-    "features_incremental": """
-        SELECT country_code, hour_utc, carbon_current, target_t24h FROM feature_rows
-        WHERE hour_utc > (SELECT max(hour_utc) FROM feature_rows WHERE hour_utc < TIMESTAMP '2024-01-26 00:00:00')""",
+    "features_incremental": f"""{_FEATURES} FROM hour_features
+        WHERE carbon_lag_168h IS NOT NULL AND target_t24h IS NOT NULL AND carbon_rolling_24h_mean IS NOT NULL""",
+    "features_newer": """
+        SELECT country_code, hour_utc, carbon_current, target_t24h
+        FROM (SELECT *, max(hour_utc) FILTER (WHERE hour_utc < TIMESTAMP '2024-01-26 00:00:00'
+                - CASE WHEN country_code = 'DE' THEN INTERVAL 3 DAY ELSE INTERVAL 0 DAY END)
+                OVER (PARTITION BY country_code) AS newest FROM feature_rows) f
+        WHERE newest IS NULL OR hour_utc > newest""",
     "temporal_split": """
         SELECT p.part, count(f.hour_utc) AS row_count, min(f.hour_utc) AS earliest, max(f.hour_utc) AS latest
         FROM (VALUES ('train', TIMESTAMP '2000-01-01 00:00:00', TIMESTAMP '2024-01-24 00:00:00'),
@@ -843,7 +851,40 @@ ORACLES = {
                ingested_at AS kafka_timestamp, date_trunc('day', ingested_at) AS event_date FROM weather_raw""",
     "stream_silver": """
         SELECT event_id, city, time_utc, temperature_c, wind_speed_kmh, cloud_cover_pct, solar_radiation_wm2 FROM weather""",
-    "stream_dedup": "SELECT DISTINCT region_id, period_start FROM carbon_raw",
+    "stream_dedup": """
+        SELECT region_id, period_start, id AS event_id FROM carbon_raw
+        QUALIFY row_number() OVER (PARTITION BY region_id, period_start ORDER BY ingested_at DESC, id DESC) = 1""",
+    "bronze_live_and_backfill": """
+        SELECT o.write_order, w.*
+        FROM (VALUES ('live_first'), ('backfill_first')) AS o(write_order),
+             (SELECT 'stream' AS written_by, count(*) AS row_count, count(DISTINCT city) AS kafka_keys FROM weather_raw
+              UNION ALL
+              SELECT 'backfill', count(*), count(DISTINCT region_code) FROM carbon_raw) w""",
+    "grid_state_late_weather": """
+        SELECT country_code, hour_utc, s.temperature_c, s.cloud_cover_pct,
+               round(s.uk_carbon_intensity_forecast, 6) AS uk_carbon_intensity_forecast,
+               f.temperature_c AS fact_temperature_c
+        FROM state s FULL JOIN grid_fact f USING (country_code, hour_utc)""",
+    "fact_fuel_new_factor": """
+        SELECT country_code, hour_utc, fuel_key, value_mw,
+               round(CASE WHEN source_psr_type = 'B04' THEN value_mw * 1000 * 999 ELSE estimated_gco2_per_hour END, 2)
+                 AS estimated_gco2_per_hour
+        FROM fuel_fact""",
+    "gbt_forecast": """
+        SELECT country_code, hour_utc AS base_hour_utc, hour_utc + INTERVAL 24 HOUR AS target_hour_utc, 24 AS horizon_h,
+               carbon_current AS carbon_current_at_base, '1' AS model_version, 'carbon_forecast_gbt' AS model_name,
+               TRUE AS in_range
+        FROM feature_rows WHERE hour_utc >= (SELECT max(hour_utc) - INTERVAL 7 DAY FROM feature_rows)""",
+    "gbt_metrics": """
+        SELECT coalesce(country_code, 'ALL') AS country_code, count(*) AS row_count, round(avg(target_t24h), 4) AS avg_target,
+               CASE WHEN country_code IS NULL THEN TRUE END AS beats_persistence
+        FROM feature_rows WHERE hour_utc >= TIMESTAMP '2024-01-26 00:00:00' GROUP BY ROLLUP (country_code)""",
+    "gbt_importance": """
+        SELECT unnest(['country_code', 'temperature_c', 'wind_speed_kmh', 'cloud_cover_pct', 'solar_radiation_wm2',
+                       'total_generation_mw', 'renewable_share_pct', 'low_carbon_share_pct', 'carbon_current', 'hour_of_day',
+                       'day_of_week', 'month', 'is_weekend', 'carbon_lag_1h', 'carbon_lag_24h', 'carbon_lag_168h',
+                       'carbon_rolling_24h_mean', 'temp_rolling_24h_mean']) AS feature, TRUE AS is_share, 1.0 AS total
+        FROM (SELECT 1 FROM feature_rows LIMIT 1)""",
 }
 
 

@@ -33,18 +33,25 @@ def upsert_frame(
     return latest_per_key(both, keys, order)
 
 
+def past_newest(df: DataFrame, existing: DataFrame, ts: str, entity: str) -> DataFrame:
+    """Rows past the newest `ts` that `existing` has of the same entity; all of an entity it lacks."""
+    marks = existing.groupBy(F.col(entity).alias("_entity")).agg(F.max(ts).alias("_newest"))
+    joined = df.join(marks, F.col(entity).eqNullSafe(F.col("_entity")), "left")
+    past = F.col("_newest").isNull() | (F.col(ts) > F.col("_newest"))
+    return joined.filter(past).select(*df.columns)
+
+
 def match_dimension(
     df: DataFrame, dim: DataFrame, key: str, dim_key: str, on_orphan: str = "quarantine"
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Joins a literal dimension (tens of rows) and says what happens to rows it does not know.
+    """Joins a dimension and says what happens to rows it does not know.
 
     'quarantine': (matched, orphans); 'drop': (matched, None); 'fail': the job fails when an
     orphan row is read. The dimension's key column is not kept.
     """
-    small = F.broadcast(dim)
     on = F.col(key) == F.col(dim_key)
     if on_orphan == "fail":
-        joined = df.join(small, on, "left").withColumn(
+        joined = df.join(dim, on, "left").withColumn(
             key,
             F.when(F.col(dim_key).isNotNull(), F.col(key)).otherwise(
                 F.raise_error(
@@ -53,26 +60,27 @@ def match_dimension(
             ),
         )
         return joined.drop(dim_key), None
-    matched = df.join(small, on, "inner").drop(dim_key)
+    matched = df.join(dim, on, "inner").drop(dim_key)
     if on_orphan == "drop":
         return matched, None
     if on_orphan == "quarantine":
-        return matched, df.join(small, on, "left_anti")
+        return matched, df.join(dim, on, "left_anti")
     raise ValueError("on_orphan must be 'quarantine', 'drop' or 'fail'")
 
 
 def orphan_counts(fact: DataFrame, checks: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
     """One row; per check, how many fact rows have no partner in a dimension.
 
-    `checks` maps output name to (dimension, fact key, dimension key). Fact keys are counted
-    before the join, so what is shuffled or broadcast is one row per distinct key.
+    `checks` maps output name to (dimension, fact key, dimension key). The fact is read once and
+    counted per combination of its keys; what is joined to the dimensions is those counts.
     """
-    columns = []
+    columns = list(dict.fromkeys(fact_key for _, fact_key, _ in checks.values()))
+    counted = fact.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    missing = []
     for name, (dim, fact_key, dim_key) in checks.items():
-        per_key = fact.groupBy(F.col(fact_key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-        known = dim.select(F.col(dim_key).alias("_key")).distinct()
-        missing = per_key.join(known, "_key", "left_anti").agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias(name)
-        )
-        columns.append(missing.scalar().alias(name))
-    return fact.sparkSession.range(1).select(*columns)
+        own, known = f"_key_{name}", f"_known_{name}"
+        dimension = dim.select(F.col(dim_key).alias(own)).distinct().withColumn(known, F.lit(True))
+        counted = counted.join(dimension, F.col(fact_key) == F.col(own), "left")
+        orphans = F.sum(F.when(F.col(known).isNull(), F.col("_n")))
+        missing.append(F.coalesce(orphans, F.lit(0)).alias(name))
+    return counted.agg(*missing)

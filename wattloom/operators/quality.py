@@ -16,6 +16,9 @@ def _missing(name: str) -> Column:
     return F.col(name).isNull()
 
 
+# The reasons below and their order are fixed values as well.
+
+
 def carbon_rules() -> list[Rule]:
     return [
         (_missing("region_code"), "missing region_code"),
@@ -130,19 +133,31 @@ def profile(
     """Table profile: row count, natural keys, time range, distinct and non-null counts, measures.
 
     `distinct` and `not_null` map output name to column; `measures` maps output name to an
-    aggregate expression.
+    aggregate expression. Distinct counts of the whole table come from its rows grouped once by the
+    columns they are about, so that no row is ever multiplied.
     """
-    aggs = [F.count(F.lit(1)).alias("row_count")]
+    counted = {name: [c] for name, c in (distinct or {}).items()}
     if keys:
-        aggs.append(F.count_distinct(*[F.col(k) for k in keys]).alias("distinct_natural_keys"))
+        counted["distinct_natural_keys"] = keys
+    aggs = [F.count(F.lit(1)).alias("row_count")]
+    if by:
+        aggs += [F.count_distinct(*map(F.col, columns)).alias(name) for name, columns in counted.items()]
     if ts:
         aggs += [F.min(ts).alias("earliest"), F.max(ts).alias("latest")]
     if ts and span_days:
         aggs.append(F.datediff(F.max(ts), F.min(ts)).alias("span_days"))
-    aggs += [F.count_distinct(c).alias(name) for name, c in (distinct or {}).items()]
     aggs += [F.count(c).alias(name) for name, c in (not_null or {}).items()]
     aggs += [expr.alias(name) for name, expr in (measures or {}).items()]
-    return df.groupBy(*(by or [])).agg(*aggs)
+    out = df.groupBy(*(by or [])).agg(*aggs)
+    if by or not counted:
+        return out
+    grouped = df.groupBy(*dict.fromkeys(c for columns in counted.values() for c in columns)).agg(F.lit(1).alias("_one"))
+    return out.select("*", *[_distinct_count(grouped, columns).alias(name) for name, columns in counted.items()])
+
+
+def _distinct_count(df: DataFrame, columns: list[str]) -> Column:
+    """Distinct combinations without a NULL among them, as a scalar."""
+    return df.select(*columns).dropna().distinct().agg(F.count(F.lit(1))).scalar()
 
 
 def null_counts(df: DataFrame, columns: dict[str, str]) -> DataFrame:

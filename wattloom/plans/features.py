@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.operators import series
+from wattloom.operators.keys import past_newest
 from wattloom.operators.series import Shift, TrailingMean
 
 HORIZON_HOURS = 24
@@ -85,9 +86,8 @@ def training_features(
 
 
 def newer_than(features: DataFrame, existing: DataFrame, ts: str = "hour_utc") -> DataFrame:
-    """Rows past the newest hour of `existing`; all of them when it is empty."""
-    newest = existing.agg(F.max(ts)).scalar()
-    return features.filter(newest.isNull() | (F.col(ts) > newest))
+    """Each country's rows past the newest hour `existing` has of it; all where it has none."""
+    return past_newest(features, existing, ts, "country_code")
 
 
 def temporal_split(features: DataFrame, split: str, validation_days: int = 0) -> dict[str, DataFrame]:

@@ -29,8 +29,8 @@ def grid_state(
 ) -> DataFrame:
     """One row per (country, hour). Weather and carbon are optional for every row.
 
-    Broadcast are the six-row bridge and the hourly carbon of one region, which is 24 rows a day
-    whatever the feed sends. Weather grows with its cities and is left to the size-based choice.
+    Broadcast is the six-row bridge. Weather grows with its cities and carbon with its history;
+    how they are joined is left to their size.
     """
     g = generation.select(
         F.col("period_start").alias("hour_utc"),
@@ -55,7 +55,7 @@ def grid_state(
     return (
         g.join(F.broadcast(bridge), "country_code", "left")
         .join(w, ["capital_city", "hour_utc"], "left")
-        .join(F.broadcast(c), gb_hour, "left")
+        .join(c, gb_hour, "left")
         .select(
             "hour_utc",
             "country_code",

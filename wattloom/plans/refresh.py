@@ -1,8 +1,10 @@
 """The layers' refresh jobs: bronze rows to silver, silver to gold, gold to forecast.
 
-Each job is an ordered upsert, so a re-run, a replay or a late batch leaves the tables right.
-Every table is partitioned by the date of its own natural key. `since`, a date, bounds a job to the
-days from it on: only those partitions are read and rewritten, which is what a scheduled run does.
+Silver feeds are ordered upserts, so a replay or a late batch leaves them right. What is derived from
+them is computed anew and replaces its days as a whole: a changed weather row, carbon row or dimension
+shows after the next run over its day. Every table is partitioned by the date of its own natural
+key. `since`, a date, bounds a job to the days from it on: only those partitions are read and rewritten,
+which is what a scheduled run does; it must not lie after the earliest day that changed.
 """
 
 from __future__ import annotations
@@ -11,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.operators import dims
+from wattloom.operators.keys import latest_per_key
 from wattloom.operators.quality import counted, quarantine_rows, split_valid
-from wattloom.operators.slices import newest
 from wattloom.plans import facts, features, integrate
 from wattloom.sources.feeds import CARBON, GENERATION, WEATHER, Feed
 from wattloom.sources.tables import Tables
@@ -66,8 +68,14 @@ def refresh_grid_state(tables: Tables, since: Column | None = None) -> None:
         _read(tables, f"silver.{CARBON.table}", since),
         tables.read("silver.country_dim"),
     )
-    key = ["country_code", "hour_utc"]
-    tables.upsert("silver.grid_state", with_day(state, "hour_utc"), key, DAY, days=generation)
+    _replace_days(tables, "silver.grid_state", with_day(state, "hour_utc"), ["country_code", "hour_utc"])
+
+
+def _replace_days(
+    tables: Tables, name: str, rows: DataFrame, key: list[str], order_by: list[str] | None = None
+) -> None:
+    """Derived rows in place of their days; the newest ingestion of a key wins among them."""
+    tables.replace_partitions(name, latest_per_key(rows, key, order_by or ["ingested_at"]), DAY, key)
 
 
 def _quarantine_orphans(tables: Tables, name: str, orphans: DataFrame, run_id: str) -> None:
@@ -80,50 +88,57 @@ def refresh_fact_fuel(tables: Tables, run_id: str, since: Column | None = None)
     generation = _read(tables, f"silver.{GENERATION.table}", since)
     fact, orphans = facts.fact_generation_fuel(generation, tables.read("gold.dim_fuel_type"))
     name, key = "gold.fact_generation_fuel_hourly", ["country_code", "hour_utc", "fuel_key"]
-    tables.upsert(name, with_day(fact, "hour_utc"), key, DAY, days=generation)
+    _replace_days(tables, name, with_day(fact, "hour_utc"), key)
     _quarantine_orphans(tables, "orphan_fuel", orphans, run_id)
 
 
 def refresh_fact_carbon(tables: Tables, run_id: str, since: Column | None = None) -> None:
     carbon = _read(tables, f"silver.{CARBON.table}", since)
     fact, orphans = facts.fact_carbon_30min(carbon, tables.read("gold.dim_uk_region"))
-    tables.upsert(
-        "gold.fact_carbon_intensity_30min",
-        with_day(fact, "period_start"),
-        ["region_id", "period_start"],
-        DAY,
-        ["ingested_at", "source_event_id"],
-        days=carbon,
-    )
+    rows = with_day(fact, "period_start")
+    key, order = ["region_id", "period_start"], ["ingested_at", "source_event_id"]
+    _replace_days(tables, "gold.fact_carbon_intensity_30min", rows, key, order)
     _quarantine_orphans(tables, "orphan_region", orphans, run_id)
 
 
 def refresh_fact_grid(tables: Tables, since: Column | None = None) -> None:
     state = _read(tables, "silver.grid_state", since)
     fact = facts.fact_grid_hourly(state, tables.read("gold.dim_fuel_type"))
-    key = ["country_code", "hour_utc"]
-    tables.upsert("gold.fact_grid_hourly", with_day(fact, "hour_utc"), key, DAY, days=state)
+    _replace_days(tables, "gold.fact_grid_hourly", with_day(fact, "hour_utc"), ["country_code", "hour_utc"])
 
 
 def refresh_features(tables: Tables, mode: str = "create_or_replace", lags: str = "rows") -> None:
-    """Rebuilds the feature table, or appends the hours past its newest ('incremental').
+    """Rebuilds the feature table, or brings it up to date ('incremental') by replacing days.
 
-    With lags='hours' an incremental run reads only the days its frames reach back to; a lag in
-    rows may reach back over any gap, so there the whole series is read.
+    With lags='hours' an incremental run reads back from the day that the country furthest behind
+    needs, and replaces the days from there on. A lag in rows may reach back over any gap, so there the
+    whole series is read.
     """
-    name, ts = "gold.feature_carbon_forecast", "hour_utc"
+    name, ts, key = "gold.feature_carbon_forecast", "hour_utc", ["country_code", "hour_utc"]
     if mode not in ("create_or_replace", "incremental"):
         raise ValueError("mode must be 'create_or_replace' or 'incremental'")
     grid = tables.read("gold.fact_grid_hourly")
-    append = mode == "incremental" and tables.exists(name)
-    if append and lags == "hours":
-        reach = F.timestamp_add("HOUR", F.lit(-features.REACH_BACK), newest(tables.read(name), ts, DAY))
-        grid = grid.filter(reach.isNull() | (F.col(DAY) >= F.to_date(reach)))
-    rows = with_day(features.training_features(grid, lags), ts)
-    if append:
-        tables.append_newer(name, rows, ts, DAY)
+    update = mode == "incremental" and tables.exists(name)
+    recent = F.lit(True)
+    if update and lags == "hours":
+        first_day = F.to_date(_earliest_needed(grid, tables.read(name), ts))
+        read_from = F.date_sub(first_day, features.REACH_BACK // 24)
+        grid = grid.filter(first_day.isNull() | (F.col(DAY) >= read_from))
+        recent = first_day.isNull() | (F.col(DAY) >= first_day)
+    rows = with_day(features.training_features(grid, lags), ts).filter(recent)
+    if update:
+        tables.replace_partitions(name, rows, DAY, key)
     else:
-        tables.overwrite(name, rows, DAY, ["country_code", ts])
+        tables.overwrite(name, rows, DAY, key)
+
+
+def _earliest_needed(grid: DataFrame, existing: DataFrame, ts: str) -> Column:
+    """The newest hour of the country that is furthest behind, as a scalar; NULL where a country
+    of the grid has no features yet and the whole past is needed."""
+    marks = existing.groupBy("country_code").agg(F.max(ts).alias("_newest"))
+    seen = grid.select("country_code").distinct().join(marks, "country_code", "left")
+    missing = F.count_if(F.col("_newest").isNull())
+    return seen.agg(F.when(missing == 0, F.min("_newest"))).scalar()
 
 
 def refresh_forecast(tables: Tables, rows: DataFrame, mode: str = "merge") -> None:

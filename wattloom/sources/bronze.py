@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,9 @@ from wattloom.functions.envelopes import measurement_date
 from wattloom.schemas import BRONZE
 from wattloom.sources.tables import Tables
 
+# Second partition column of bronze tables: which write a row came with.
+WRITE_ID = "write_id"
+
 
 def topic_options(
     bootstrap: str,
@@ -74,7 +79,8 @@ def backfill_rows(enveloped: DataFrame, topic: str, written_at: Column | None =
         F.lit(0).cast("bigint").alias("offset"),
         now.alias("kafka_timestamp"),
         now.alias("ingested_at_ts"),
-        measurement_date(json).alias("event_date"),
+        # As in `enrich`: a row without a readable time falls under the day it is written.
+        F.coalesce(measurement_date(json), F.to_date(now)).alias("event_date"),
     ).select(*BRONZE.names)
 
 
@@ -87,14 +93,21 @@ def backfill_summary(rows: DataFrame) -> DataFrame:
     )
 
 
+def write_rows(tables: Tables, table: str, rows: DataFrame, write_id: str) -> None:
+    """Bronze rows into their table under the id of the write. Streams and backfills share the
+    table; a write that is done again under its id replaces what it wrote."""
+    marked = rows.withColumn(WRITE_ID, F.lit(write_id))
+    tables.replace_partitions(f"bronze.{table}", marked, ["event_date", WRITE_ID])
+
+
 def append_backfill(
-    tables: Tables, table: str, rows: DataFrame, dry_run: bool = False
+    tables: Tables, table: str, rows: DataFrame, dry_run: bool = False, write_id: str | None = None
 ) -> dict[str, int]:
     """Appends backfilled rows to a bronze table, and says how many rows, dates and keys they
-    are; with dry_run it only says so."""
+    are; with dry_run it only says so. A backfill that names its `write_id` can be run again."""
     summary = backfill_summary(rows).first().asDict()
     if not dry_run:
-        tables.append(f"bronze.{table}", rows, "event_date")
+        write_rows(tables, table, rows, write_id or f"backfill-{uuid.uuid4().hex}")
     return summary
 
 

@@ -31,12 +31,15 @@ def resolve(tables: Tables, name: str = MODEL_NAME, version: int | str = "latest
 def save(
     tables: Tables, model: PipelineModel, name: str = MODEL_NAME, metrics: dict[str, float] | None = None
 ) -> int:
-    """Saves the model under the next version and records the run with its metrics."""
+    """Saves the model under the next version and records the run with its metrics.
+
+    Fails where another run has taken that version meanwhile; nothing is replaced.
+    """
     try:
         version = resolve(tables, name) + 1
     except LookupError:
         version = 1
-    model.write().overwrite().save(_path(tables, name, version))
+    model.write().save(_path(tables, name, version))
     pairs = [F.lit(x) for k, v in (metrics or {}).items() for x in (k, float(v))]
     run = tables.spark.range(1, numPartitions=1).select(
         F.lit(name).alias("model_name"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattloom.operators.keys import latest_per_key, upsert_frame
+from wattloom.operators.keys import latest_per_key, past_newest, upsert_frame
 
 
 class Tables:
@@ -30,29 +30,50 @@ class Tables:
     def _schema_path(self, name: str) -> str:
         return f"{self.root}/schemas/{name}"
 
-    def exists(self, name: str) -> bool:
-        """Whether a write of the table has ever been completed, its schema included."""
+    def _text(self, path: str) -> str | None:
+        """A small text kept beside the tables, or None where it was never written."""
+        # Asked of the file system: a read that fails would show up in every query listener.
         sc = self.spark.sparkContext
-        marker = sc._jvm.org.apache.hadoop.fs.Path(f"{self._schema_path(name)}/_SUCCESS")
-        return marker.getFileSystem(sc._jsc.hadoopConfiguration()).exists(marker)
+        marker = sc._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        if not marker.getFileSystem(sc._jsc.hadoopConfiguration()).exists(marker):
+            return None
+        row = self.spark.read.text(path, wholetext=True).first()
+        return None if row is None else row[0].strip()
 
-    def schema(self, name: str) -> T.StructType:
+    def _put_text(self, path: str, text: str) -> None:
+        row = self.spark.range(1, numPartitions=1).select(F.lit(text).alias("text"))
+        row.write.mode("overwrite").text(path)
+
+    def exists(self, name: str) -> bool:
+        """Whether a write of the table has ever been completed, its schema included."""
         if name not in self._schemas:
-            text = self.spark.read.text(self._schema_path(name), wholetext=True).first()[0]
+            text = self._text(self._schema_path(name))
+            if text is None:
+                return False
             self._schemas[name] = T.StructType.fromJson(json.loads(text))
+        return True
+
+    def schema(self, name: str) -> T.StructType:
+        if not self.exists(name):
+            raise LookupError(f"no table {name}")
         return self._schemas[name]
 
     def _keep_schema(self, name: str, schema: T.StructType) -> None:
         if self._schemas.get(name) != schema:
-            row = self.spark.range(1, numPartitions=1).select(F.lit(schema.json()).alias("json"))
-            row.write.mode("overwrite").text(self._schema_path(name))
+            self._put_text(self._schema_path(name), schema.json())
             self._schemas[name] = schema
 
     def _widened(self, name: str, schema: T.StructType) -> T.StructType:
-        """The stored schema with the columns it does not have yet."""
+        """The stored schema with the columns it does not have yet. A column must keep its type:
+        files of two types under one name could not be read any more."""
         if not self.exists(name):
             return schema
         stored = self.schema(name)
+        for field in schema.fields:
+            if field.name in stored.names:
+                was, now = (x.dataType.simpleString() for x in (stored[field.name], field))
+                if was != now:
+                    raise ValueError(f"{name}.{field.name} is {was}, not {now}")
         return T.StructType(stored.fields + [f for f in schema.fields if f.name not in stored.names])
 
     def read(self, name: str) -> DataFrame:
@@ -64,14 +85,15 @@ class Tables:
             self.read(name).createOrReplaceTempView(name.replace(".", "_"))
 
     def _writer(
-        self, df: DataFrame, mode: str, partition_by: str | None, sort_by: list[str] | None = None
+        self, df: DataFrame, mode: str, partition_by: str | list[str] | None, sort_by: list[str] | None = None
     ) -> DataFrameWriter:
         if partition_by is None:
             return df.write.mode(mode)
+        by = [partition_by] if isinstance(partition_by, str) else partition_by
         # A partitioned write sorts by its partition column anyway; sorting on by the key as well
         # makes row groups skippable for filters on entity and time.
-        spread = df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *(sort_by or []))
-        return spread.write.mode(mode).partitionBy(partition_by)
+        spread = df.hint("rebalance", *by).sortWithinPartitions(*by, *(sort_by or []))
+        return spread.write.mode(mode).partitionBy(*by)
 
     def overwrite(
         self,
@@ -85,16 +107,20 @@ class Tables:
         writer.option("partitionOverwriteMode", "static").parquet(self.path(name))
         self._keep_schema(name, df.schema)
 
-    def append(self, name: str, df: DataFrame, partition_by: str | None = None) -> None:
+    def append(self, name: str, df: DataFrame, partition_by: str | list[str] | None = None) -> None:
         """Appends rows; columns the table lacks are added to it."""
         schema = self._widened(name, df.schema)
         self._writer(df, "append", partition_by).parquet(self.path(name))
         self._keep_schema(name, schema)
 
     def replace_partitions(
-        self, name: str, df: DataFrame, partition_by: str, sort_by: list[str] | None = None
+        self, name: str, df: DataFrame, partition_by: str | list[str], sort_by: list[str] | None = None
     ) -> None:
-        """Replaces only the partitions that occur in `df`; running it again changes nothing."""
+        """Replaces only the partitions that occur in `df`; running it again changes nothing.
+
+        A crash may leave a partition deleted and not yet replaced, so `df` must be there for the
+        next run to replace it again; see `upsert` for rows that nothing else holds.
+        """
         schema = self._widened(name, df.schema)
         writer = self._writer(df, "overwrite", partition_by, sort_by)
         writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
@@ -115,29 +141,52 @@ class Tables:
         the partition of the row it corrects. `days` is a frame with that column that covers the
         source's dates and is cheaper to read, such as the table the source is computed from;
         without it the source is computed twice.
+
+        The merged partitions are staged before they replace the old ones. If a run dies in
+        between, the next one puts them in place before it does anything else.
         """
         if not isinstance(source.schema[partition_by].dataType, T.DateType):
             raise ValueError(f"{partition_by} must be a date")
         if not self.exists(name):
             self.overwrite(name, latest_per_key(source, keys, order_by), partition_by, keys)
             return
+        self.recover(name)
+        self._widened(name, source.schema)
         target = self._touched(name, partition_by, source if days is None else days)
         merged = upsert_frame(target, source, keys, order_by)
-        self.replace_partitions(name, merged, partition_by, keys)
+        self.overwrite(f"pending.{name}", merged, partition_by, keys)
+        self._put_text(self._journal_path(name), partition_by)
+        self._finish(name, partition_by, keys)
+
+    def _journal_path(self, name: str) -> str:
+        return f"{self.root}/journal/{name}"
+
+    def _finish(self, name: str, partition_by: str, sort_by: list[str] | None = None) -> None:
+        self.replace_partitions(name, self.read(f"pending.{name}"), partition_by, sort_by)
+        self._put_text(self._journal_path(name), "")
+
+    def recover(self, name: str) -> None:
+        """Completes an upsert that died after its rows were staged."""
+        partition_by = self._text(self._journal_path(name))
+        if partition_by:
+            self._finish(name, partition_by)
 
     def _touched(self, name: str, day: str, days: DataFrame) -> DataFrame:
         """The table's partitions for the dates in `days`, pruned at run time.
 
         The dates are a calendar's worth of rows at most, hence the broadcast. Pruning is only
-        planned for a side with a comparison in it, which the lower bound provides.
+        planned for a side with a comparison in it, so the least date there is bounds it.
         """
-        dates = days.select(day).filter(F.col(day) >= F.lit("0001-01-01").cast("date")).distinct()
+        least = F.date_from_unix_date(F.lit(-80_000_000))
+        dates = days.select(day).filter(F.col(day) >= least).distinct()
         return self.read(name).join(F.broadcast(dates), day, "left_semi")
 
-    def append_newer(self, name: str, df: DataFrame, ts: str, partition_by: str | None = None) -> None:
-        """Appends rows past the table's newest `ts`; writes all of them when it has none."""
+    def append_newer(
+        self, name: str, df: DataFrame, ts: str, entity: str, partition_by: str | None = None
+    ) -> None:
+        """Appends each entity's rows past its own newest `ts`, so that an entity that lags behind
+        the others loses nothing; an entity that the table lacks is appended whole."""
         if not self.exists(name):
             self.overwrite(name, df, partition_by)
             return
-        newest = self.read(name).agg(F.max(ts)).scalar()
-        self.append(name, df.filter(newest.isNull() | (F.col(ts) > newest)), partition_by)
+        self.append(name, past_newest(df, self.read(name), ts, entity), partition_by)
