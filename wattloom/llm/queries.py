@@ -91,9 +91,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TOP_K = """
 WITH vectors AS (
-    SELECT vec_id, min(list_transform(embedding, x -> floor(64 * x::DOUBLE))) AS v FROM embeddings
+    SELECT vec_id, min(list_transform(embedding, lambda x: floor(64 * x::DOUBLE))) AS v FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
     GROUP BY vec_id),
 scored AS (
     SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
