@@ -108,7 +108,7 @@ PARTS = {
                CASE WHEN ok THEN intensity_actual END AS intensity_actual,
                CASE WHEN ok THEN intensity_index END AS intensity_index,
                CASE WHEN ok THEN 'gas,wind' END AS mix_fuels,
-               CASE WHEN ok THEN CAST(id % 101 AS DOUBLE) END AS mix_first_perc
+               CASE WHEN ok THEN 'gas=' || (id % 101) || ',wind=' || (100 - id % 101) END AS mix_items
         FROM (SELECT *, id % 97 <> 0 AS ok FROM carbon_raw) t""",
     "carbon_reasons": """
         SELECT *, list_filter([
@@ -161,7 +161,8 @@ PARTS = {
                     WHEN t.event_id % 61 = 0 THEN CAST(250000 AS DOUBLE)
                     ELSE CAST(value_mw AS DOUBLE) END AS total_generation_mw,
                CASE WHEN NOT ok OR t.event_id % 79 = 0 THEN NULL WHEN t.event_id % 73 = 0 THEN 0 ELSE 1 END AS mix_size,
-               CASE WHEN ok AND t.event_id % 79 <> 0 AND t.event_id % 73 <> 0 THEN l.name END AS mix_first
+               CASE WHEN NOT ok OR t.event_id % 79 = 0 THEN NULL WHEN t.event_id % 73 = 0 THEN ''
+                    ELSE psr_type || ':' || l.name || '=' || value_mw END AS mix_items
         FROM (SELECT *, event_id % 97 <> 0 AS ok FROM points) t
         JOIN countries c USING (country_code) JOIN labels l USING (psr_type)""",
     "point_reasons": """
@@ -239,7 +240,7 @@ PARTS = {
                CASE WHEN c.intensity_actual IS NOT NULL THEN 'actual' ELSE 'forecast' END AS source_type,
                c.intensity_actual IS NOT NULL AS has_actual,
                c.intensity_forecast - c.intensity_actual AS forecast_minus_actual,
-               c.source, c.ingested_at, c.event_id AS source_event_id, 2 AS fuels
+               c.source, c.ingested_at, c.event_id AS source_event_id, c.mix_items
         FROM carbon c JOIN regions r ON r.region_id = c.region_id""",
     "feature_base": """
         SELECT hour_utc, country_code, temperature_c, wind_speed_kmh, cloud_cover_pct, solar_radiation_wm2,
@@ -331,7 +332,7 @@ def _with(sql: str) -> str:
 
 _SILVER_CARBON = """
     SELECT event_id, source, ingested_at, region_id, region_code, region_name, period_start, period_end,
-           intensity_forecast, intensity_actual, intensity_index FROM carbon"""
+           intensity_forecast, intensity_actual, intensity_index, mix_items FROM carbon"""
 _PARSED_ENV = "event_id, source, source_version, ingested_at, kafka_timestamp"
 _TONS = "CAST(estimated_lifecycle_gco2_per_hour AS DOUBLE) / 1e6"
 _NEWEST_GRID = "hour_utc = (SELECT max(hour_utc) FROM grid_fact)"
@@ -517,13 +518,13 @@ ORACLES = {
         LEFT JOIN labels l ON l.psr_type = c.psr_type""",
     "parse_carbon": f"""
         SELECT {_PARSED_ENV}, region_id, region_code, region_name, period_start, period_end, intensity_forecast,
-               intensity_actual, intensity_index, mix_fuels, mix_first_perc FROM carbon_parsed""",
+               intensity_actual, intensity_index, mix_fuels, mix_items FROM carbon_parsed""",
     "parse_weather": f"""
         SELECT {_PARSED_ENV}, city, latitude, longitude, elevation, time_utc, temperature_c, wind_speed_kmh,
                cloud_cover_pct, solar_radiation_wm2 FROM weather_parsed""",
     "parse_generation": f"""
         SELECT {_PARSED_ENV}, country_code, country_name, eic_code, period_start, period_end, resolution,
-               total_generation_mw, mix_size, mix_first FROM point_parsed""",
+               total_generation_mw, mix_size, mix_items FROM point_parsed""",
     "validate_carbon": _validated("carbon_reasons"),
     "validate_weather": _validated("weather_reasons"),
     "validate_generation": _validated("point_reasons"),
@@ -552,7 +553,9 @@ ORACLES = {
         SELECT hour_utc, round(uk_carbon_intensity_forecast, 6) AS uk_carbon_intensity_forecast,
                uk_carbon_intensity_index FROM carbon_by_hour""",
     "grid_state": """
-        SELECT * REPLACE (round(uk_carbon_intensity_forecast, 6) AS uk_carbon_intensity_forecast) FROM state""",
+        SELECT s.* EXCLUDE (fuels) REPLACE (round(uk_carbon_intensity_forecast, 6) AS uk_carbon_intensity_forecast), m.mix_items
+        FROM state s JOIN (SELECT country_code, hour_utc, string_agg(psr_type || '=' || CAST(round(value_mw * 100) AS BIGINT),
+                                  ',' ORDER BY psr_type) AS mix_items FROM mix GROUP BY ALL) m USING (country_code, hour_utc)""",
     "fact_generation_fuel": """
         SELECT * REPLACE (round(estimated_gco2_per_hour, 2) AS estimated_gco2_per_hour) FROM fuel_fact""",
     "orphan_fuels": """

@@ -234,13 +234,19 @@ def _parsed_bronze(lk: Layers, feed: Feed) -> DataFrame:
     return lk.bronze(feed)
 
 
+def _carbon_mix() -> Column:
+    """All items of a carbon row's mix as text."""
+    perc = lambda x: x["perc"].cast("bigint").cast("string")
+    return F.array_join(F.transform("generation_mix", lambda x: F.concat(x["fuel"], F.lit("="), perc(x))), ",")
+
+
 @query("parse_carbon")
 def _(lk: Layers) -> DataFrame:
     mix = F.col("generation_mix")
     return (
         CARBON.parse(lk.bronze(CARBON))
         .withColumn("mix_fuels", F.array_join(F.transform(mix, lambda x: x["fuel"]), ","))
-        .withColumn("mix_first_perc", mix[0]["perc"])
+        .withColumn("mix_items", _carbon_mix())
         .drop("generation_mix", "envelope_json")
     )
 
@@ -256,7 +262,18 @@ def _(lk: Layers) -> DataFrame:
     return (
         GENERATION.parse(_parsed_bronze(lk, GENERATION))
         .withColumn("mix_size", F.size(mix))
-        .withColumn("mix_first", F.get(mix, F.lit(0))["name"])
+        .withColumn(
+            "mix_items",
+            F.array_join(
+                F.transform(
+                    mix,
+                    lambda x: F.concat(
+                        x["psr_type"], F.lit(":"), x["name"], F.lit("="), x["value_mw"].cast("bigint").cast("string")
+                    ),
+                ),
+                ",",
+            ),
+        )
         .drop("generation_mix", "envelope_json")
     )
 
@@ -324,7 +341,7 @@ _CARBON_SCALARS = [
 
 @query("dedup_latest")
 def _(lk: Layers) -> DataFrame:
-    return lk.silver(CARBON).select(*_CARBON_SCALARS)
+    return lk.silver(CARBON).select(*_CARBON_SCALARS, _carbon_mix().alias("mix_items"))
 
 
 def _deliveries(lk: Layers) -> tuple[DataFrame, DataFrame]:
@@ -339,7 +356,8 @@ def _deliveries(lk: Layers) -> tuple[DataFrame, DataFrame]:
 def _(lk: Layers) -> DataFrame:
     older, newer = _deliveries(lk)
     target = keys.latest_per_key(newer, CARBON.key)
-    return keys.upsert_frame(target, older, CARBON.key).select(*_CARBON_SCALARS)
+    merged = keys.upsert_frame(target, older, CARBON.key)
+    return merged.select(*_CARBON_SCALARS, _carbon_mix().alias("mix_items"))
 
 
 @query("upsert_table")
@@ -349,7 +367,7 @@ def _(lk: Layers) -> DataFrame:
     for batch in (newer, older, newer):
         dated = batch.withColumn("date_utc", F.to_date("period_start"))
         lk.tables.upsert(name, dated, CARBON.key, "date_utc")
-    return lk.tables.read(name).select(*_CARBON_SCALARS)
+    return lk.tables.read(name).select(*_CARBON_SCALARS, _carbon_mix().alias("mix_items"))
 
 
 @query("upsert_forecast")
@@ -377,7 +395,9 @@ def _(lk: Layers) -> DataFrame:
 
 @query("grid_state")
 def _(lk: Layers) -> DataFrame:
-    rows = lk.grid_state().withColumn("fuels", F.size("generation_mix"))
+    cents = lambda x: F.round(x["value_mw"] * 100, 0).cast("bigint").cast("string")
+    items = F.transform("generation_mix", lambda x: F.concat(x["psr_type"], F.lit("="), cents(x)))
+    rows = lk.grid_state().withColumn("mix_items", F.array_join(items, ","))
     return rounded(rows.drop("generation_mix", "date_utc"), 6, "uk_carbon_intensity_forecast")
 
 
@@ -438,7 +458,7 @@ def _(lk: Layers) -> DataFrame:
 @query("fact_carbon_30min")
 def _(lk: Layers) -> DataFrame:
     rows = lk.fact_carbon().withColumn("half_hour", F.col("half_hour").cast("int"))
-    return rows.withColumn("fuels", F.size("generation_mix")).drop("generation_mix", "date_utc")
+    return rows.withColumn("mix_items", _carbon_mix()).drop("generation_mix", "date_utc")
 
 
 @query("fact_grid_hourly")
