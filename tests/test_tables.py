@@ -1,8 +1,11 @@
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows
 from wattloom.operators.keys import upsert_frame
+from wattloom.operators.slices import latest_slice
 from wattloom.sources.tables import Tables
 
 SCHEMA = "k INT, day DATE, ingested_at TIMESTAMP, event_id STRING, v INT"
@@ -91,6 +94,18 @@ def test_upsert_prunes_the_target_at_run_time(tables):
     assert "dynamicpruning" in plan(merged)
 
 
+def test_the_newest_day_comes_from_folder_names(tables):
+    assert tables.day("s.t", "day").since is None
+    days = ["2025-12-31", "2026-01-02", "2026-01-01"]
+    tables.overwrite("s.t", batch(tables.spark, *[(i, d, f"{d} 05:00:00", i) for i, d in enumerate(days)]), "day")
+    day = tables.day("s.t", "day")
+    assert (day, day.since) == ("day", date(2026, 1, 2))
+    newest = latest_slice(tables.read("s.t"), "ingested_at", day)
+    assert rows(newest, "k") == [(1,)]
+    assert "max(day" not in plan(newest)
+    assert plan(newest).count("PartitionFilters: [isnotnull(day") == plan(newest).count("PartitionFilters") > 1
+
+
 def test_replacing_a_run_does_not_repeat_it(tables):
     spark = tables.spark
     for run, n in (("a", 2), ("b", 1), ("a", 2)):

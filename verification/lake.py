@@ -17,6 +17,7 @@ from verification import fixtures as fx
 from wattloom.operators import dims
 from wattloom.operators.keys import latest_per_key
 from wattloom.operators.quality import split_valid
+from wattloom.operators.slices import Day
 from wattloom.plans import facts, features, forecast, integrate, refresh
 from wattloom.session import shared_folder
 from wattloom.sources import bronze
@@ -47,8 +48,6 @@ def forecast_fixture(feature_rows: DataFrame) -> DataFrame:
 class Layers:
     """Every table as a plan over `events`; nothing is written."""
 
-    day: str | None = None
-
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
@@ -106,7 +105,13 @@ class Layers:
 class Lake(Layers):
     """The same tables written to the shared folder, partitioned by the date of their key."""
 
-    day = refresh.DAY
+    DATED = {
+        "grid_state": "silver.grid_state",
+        "fact_grid": "gold.fact_grid_hourly",
+        "fact_fuel": "gold.fact_generation_fuel_hourly",
+        "fact_carbon": "gold.fact_carbon_intensity_30min",
+        "features": "gold.feature_carbon_forecast",
+    }
 
     def __init__(self, spark: SparkSession, sf_dir: str, root: str):
         super().__init__(spark, sf_dir)
@@ -121,6 +126,11 @@ class Lake(Layers):
                 self._done.add(name)
         return self.tables.read(name)
 
+    def day(self, table: str) -> Day:
+        """The date column of one of DATED, with the newest day of the table."""
+        getattr(self, table)()
+        return self.tables.day(self.DATED[table], refresh.DAY)
+
     def bronze(self, feed: Feed) -> DataFrame:
         name = f"bronze.{feed.topic}"
         return self._table(

@@ -557,7 +557,7 @@ def _(lk: Layers) -> DataFrame:
 
 
 def _report(name: str, table: str, report, *args, **kwargs) -> None:
-    query(name)(lambda lk: report(getattr(lk, table)(), *args, day=lk.day, **kwargs))
+    query(name)(lambda lk: report(getattr(lk, table)(), *args, day=lk.day(table), **kwargs))
 
 
 _report("eu_rankings", "fact_grid", reports.eu_rankings)
@@ -575,18 +575,18 @@ _report("uk_kpis", "fact_carbon", reports.uk_kpis)
 _report("regional_24h", "fact_carbon", reports.regional_24h)
 _report("regional_24h_dno", "fact_carbon", reports.regional_24h, region_type="DNO")
 query("cleanest_window")(
-    lambda lk: reports.cleanest_window(lk.fact_carbon(), at(UPCOMING_FROM), day=lk.day)
+    lambda lk: reports.cleanest_window(lk.fact_carbon(), at(UPCOMING_FROM), day=lk.day("fact_carbon"))
 )
 query("cleanest_window_by_code")(
     lambda lk: reports.cleanest_window(
-        lk.fact_carbon(), at(UPCOMING_FROM), region="West Midlands", day=lk.day
+        lk.fact_carbon(), at(UPCOMING_FROM), region="West Midlands", day=lk.day("fact_carbon")
     )
 )
 
 
 @query("uk_latest_map")
 def _(lk: Layers) -> DataFrame:
-    return reports.uk_latest_map(lk.fact_carbon(), lk.dim_uk_region(), lk.day)
+    return reports.uk_latest_map(lk.fact_carbon(), lk.dim_uk_region(), lk.day("fact_carbon"))
 
 
 @query("fuel_coverage")
@@ -952,7 +952,8 @@ def _(lk: Layers) -> DataFrame:
 
 @query("inference_window")
 def _(lk: Layers) -> DataFrame:
-    return forecast.inference_window(lk.features()).select("country_code", "hour_utc", "carbon_current")
+    window = forecast.inference_window(lk.features(), day=lk.day("features"))
+    return window.select("country_code", "hour_utc", "carbon_current")
 
 
 @query("forecast_fact")
@@ -1018,7 +1019,7 @@ def _model(lk: Layers):
 def _(lk: Layers) -> DataFrame:
     """Scores vary with the trees; SQL knows the rows, and that a mean of targets lies among them."""
     rows = lk.features()
-    scored = forecast.predict(_model(lk), forecast.inference_window(rows))
+    scored = forecast.predict(_model(lk), forecast.inference_window(rows, day=lk.day("features")))
     fact = forecast.forecast_rows(scored, generated_at=at(GENERATED_AT))
     bounds = [rows.agg(f("target_t24h")).scalar() for f in (F.min, F.max)]
     slack = (bounds[1] - bounds[0]) / 2

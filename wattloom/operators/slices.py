@@ -2,17 +2,35 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+class Day(str):
+    """Name of a table's date partition column, with a day from which on the table is known to
+    hold rows; see `Tables.day`."""
+
+    since: date | None
+
+    def __new__(cls, name: str, since: date | None = None) -> Day:
+        day = super().__new__(cls, name)
+        day.since = since
+        return day
+
+
 def newest(df: DataFrame, ts: str, day: str | None = None) -> Column:
     """The greatest `ts` as a scalar subquery; nothing comes back to the driver.
 
-    With `day`, the table's date partition column, only the newest partition's timestamps are
-    read.
+    With `day`, the table's date partition column, only the newest partition's timestamps are read.
+    Which one that is takes a look at every file, unless `day` is a `Day` that knows; `df` must then
+    be the whole table, as a part of it may end on an earlier day.
     """
-    if day:
+    since = getattr(day, "since", None)
+    if since is not None:
+        df = df.filter(F.col(day) >= F.lit(since))
+    elif day:
         df = df.filter(F.col(day) == df.agg(F.max(day)).scalar())
     return df.agg(F.max(ts)).scalar()
 

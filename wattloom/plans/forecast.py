@@ -8,6 +8,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattloom.operators.slices import trailing_slice
 from wattloom.plans.features import CATEGORICAL, HORIZON_HOURS, NUMERIC, TARGET
 
 PREDICTION = "prediction"
@@ -83,10 +84,10 @@ def feature_importance(model: PipelineModel, features: DataFrame) -> DataFrame:
     )
 
 
-def inference_window(features: DataFrame, days: int = 7) -> DataFrame:
-    """Feature rows of the last `days` days before the newest hour, both ends included."""
-    newest = features.agg(F.max("hour_utc")).scalar()
-    return features.filter(F.col("hour_utc") >= F.timestamp_add("DAY", F.lit(-days), newest))
+def inference_window(features: DataFrame, days: int = 7, day: str | None = None) -> DataFrame:
+    """Feature rows of the last `days` days before the newest hour, both ends included; with `day`,
+    the table's date partition column, only those days are read."""
+    return trailing_slice(features, "hour_utc", 24 * days, day)
 
 
 def forecast_rows(

@@ -18,11 +18,11 @@ FORECAST = "gold.fact_carbon_forecast"
 
 
 def eu_carbon_rankings(tables: Tables) -> DataFrame:
-    return reports.eu_rankings(tables.read(GRID), DAY)
+    return reports.eu_rankings(tables.read(GRID), tables.day(GRID, DAY))
 
 
 def uk_regional_carbon(tables: Tables) -> DataFrame:
-    return reports.uk_rankings(tables.read(CARBON), DAY)
+    return reports.uk_rankings(tables.read(CARBON), tables.day(CARBON, DAY))
 
 
 def country_fuel_mix(tables: Tables, country_code: str) -> DataFrame:
@@ -30,7 +30,7 @@ def country_fuel_mix(tables: Tables, country_code: str) -> DataFrame:
 
 
 def carbon_trend_24h(tables: Tables, country_code: str) -> DataFrame:
-    return reports.trend_24h(tables.read(GRID), country_code, DAY)
+    return reports.trend_24h(tables.read(GRID), country_code, tables.day(GRID, DAY))
 
 
 def cleanest_window_uk(

@@ -149,7 +149,7 @@ def country_fuel_mix(fuel: DataFrame, country: str, day: str | None = None) -> D
     """One country's fuels at its own newest hour, biggest emitter first."""
     own = fuel.filter(F.col("country_code") == checked_country(country))
     return (
-        latest_slice(own, "hour_utc", day)
+        latest_slice(own, "hour_utc", day and str(day))
         .groupBy("fuel_category", "fuel_display_name")
         .agg(
             _sum_mw().alias("mw"),
@@ -164,7 +164,7 @@ def country_lifecycle_mix(fuel: DataFrame, country: str, day: str | None = None)
     """One country's fuel rows at its newest hour, by MW."""
     own = fuel.filter(F.col("country_code") == checked_country(country))
     return (
-        latest_slice(own, "hour_utc", day)
+        latest_slice(own, "hour_utc", day and str(day))
         .select(
             "country_code",
             "fuel_category",

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+from datetime import date
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattloom.operators.keys import latest_per_key, past_newest, upsert_frame
+from wattloom.operators.slices import Day
 
 
 class Tables:
@@ -79,6 +81,20 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.schema(self.schema(name)).parquet(self.path(name))
 
+    def day(self, name: str, column: str) -> Day:
+        """The table's date partition column with its newest day, from the names of the table's
+        folders: no file is opened."""
+        sc = self.spark.sparkContext
+        hadoop = sc._jvm.org.apache.hadoop.fs
+        root = hadoop.Path(self.path(name))
+        system = root.getFileSystem(sc._jsc.hadoopConfiguration())
+        found = system.globStatus(hadoop.Path(root, f"{column}=????-??-??")) or []
+        for folder in sorted((status.getPath() for status in found), key=lambda p: p.getName(), reverse=True):
+            # A run that died may have left a folder without files.
+            if any(status.getLen() for status in system.listStatus(folder)):
+                return Day(column, date.fromisoformat(folder.getName().removeprefix(f"{column}=")))
+        return Day(column)
+
     def register_views(self, names: list[str]) -> None:
         """Temp views `layer_name`, for SQL and for the catalog's listings."""
         for name in names:
