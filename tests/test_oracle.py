@@ -1,5 +1,9 @@
 """Every registered query against its SQL, over the whole sf0.01 tables."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as entry
@@ -31,3 +35,11 @@ def test_flagship(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "country_code"
     assert df.count() > 0
+
+
+def test_entry_without_the_training_data_operators():
+    code = (
+        "import sys; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; "
+        "from verification import registry; assert set(e.queries()) == set(registry.queries()) == set(e.oracle_sql())"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(entry.__file__))

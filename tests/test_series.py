@@ -5,7 +5,9 @@ from datetime import datetime, timedelta
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from tests.conftest import rows
 from wattloom.operators import series
 from wattloom.operators.series import Shift, TrailingMean
 
@@ -69,3 +71,10 @@ def test_block_shorter_than_a_frame_is_refused(spark):
     df, _ = frame(spark, [1])
     with pytest.raises(ValueError):
         series.by_rows(df, "country", "ts", SPECS, block=3)
+
+
+def test_rows_without_entity_or_time_stay(spark):
+    data = [("a", None, 1.0), ("a", "2026-01-01 00:00:00", 2.0), (None, "2026-01-01 00:00:00", 3.0), (None, None, 4.0)]
+    df = spark.createDataFrame(data, "e STRING, t STRING, v DOUBLE").withColumn("t", F.col("t").cast("timestamp"))
+    out = series.row_numbered(df, "e", "t")
+    assert rows(out, "e", "v", "_step") == sorted([("a", 1.0, 0), ("a", 2.0, 1), (None, 4.0, 0), (None, 3.0, 1)], key=repr)

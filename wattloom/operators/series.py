@@ -82,15 +82,19 @@ def row_numbered(df: DataFrame, entity: str, ts: str) -> DataFrame:
     offsets = (
         bucketed.groupBy(entity, "_month")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-        .drop("_rows")
+        .select(
+            F.col(entity).alias("_of"),
+            F.col("_month").alias("_in"),
+            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
+        )
     )
     within = Window.partitionBy(entity, "_month").orderBy(ts)
     return (
         bucketed.withColumn("_rn", F.row_number().over(within))
-        .join(offsets, [entity, "_month"])
+        # Rows without an entity or a time are a series, or the beginning of one, as well.
+        .join(offsets, F.col(entity).eqNullSafe(F.col("_of")) & F.col("_month").eqNullSafe(F.col("_in")))
         .withColumn("_step", F.col("_before") + F.col("_rn") - 1)
-        .drop("_month", "_rn", "_before")
+        .drop("_month", "_rn", "_before", "_of", "_in")
     )
 
 
