@@ -47,13 +47,15 @@ def freshness(age: Column) -> Column:
 def stable_sum(value: Column | str) -> Column:
     """SUM as a double that is the same to the last digit whatever order the rows arrive in.
 
-    It is taken in decimals; where a value does not fit one (NaN, or beyond 1e22) the plain sum
-    of doubles stands in, so that one freak value neither fails the job nor drops out.
+    It is taken in decimals of twelve places; where a value or the sum does not fit one (NaN, or
+    beyond 1e26) the plain sum of doubles stands in, so that one freak value neither fails the job
+    nor drops out.
     """
     col = F.col(value) if isinstance(value, str) else value
-    fixed = col.try_cast("decimal(28,6)")
+    fixed = col.try_cast("decimal(38,12)")
     unfit = F.count_if(col.isNotNull() & fixed.isNull())
-    return F.when(unfit == 0, F.sum(fixed).cast("double")).otherwise(F.sum(col.cast("double")))
+    exact = F.when(unfit == 0, F.try_sum(fixed).cast("double"))
+    return F.coalesce(exact, F.sum(col.cast("double")))
 
 
 def array_total(values: Column) -> Column:
