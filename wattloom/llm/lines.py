@@ -26,13 +26,13 @@ from pyspark.sql import types as T
 
 from wattloom.llm.common import unique_name, whole_text, written
 from wattloom.llm.components import components
-from wattloom.llm.groups import in_block_pairs, whole_groups
+from wattloom.llm.groups import whole_groups
 
 SHINGLE = 8
 ROWS = 4
 BANDS = 14
 SIMILARITY = 0.8
-LINES_A_BLOCK = 2048
+LINES_A_BLOCK = 1000
 CHARACTERS_AT_ONCE = 131_072
 _RANDOM = np.random.default_rng(20_240_131)
 FACTORS = _RANDOM.integers(1, 1 << 32, ROWS * BANDS, dtype=np.uint32) | np.uint32(1)
@@ -41,7 +41,9 @@ BASE = 0x9E3779B1
 
 
 def normal_form(line: str) -> str:
-    return " ".join(line.lower().split())
+    line = line.lower().strip()
+    # A printable line has no white space but the space itself.
+    return line if "  " not in line and line.isprintable() else " ".join(line.split())
 
 
 def line_hash(normal: str) -> int:
@@ -149,43 +151,94 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(lines, pa.string())], ["line", "normal"])
 
 
-def verified(lines: list[int], normals: list[str]) -> list[tuple[int, int]]:
-    """A spanning forest of the near lines of one group."""
-    sets = [shingles(n) for n in normals]
-    label, found = np.arange(len(lines)), []
-    for i, own in enumerate(sets):
-        for j in (np.flatnonzero(label[i + 1 :] != label[i]) + i + 1).tolist():
-            if label[j] != label[i] and similar(own, sets[j]):
-                found.append((lines[i], lines[j]))
+@F.arrow_udf(T.BooleanType())
+def near_column(own: pa.Array, other: pa.Array) -> pa.Array:
+    last, of_last, found = None, set(), []
+    for a, b in zip(own.to_pylist(), other.to_pylist(), strict=True):
+        if a == b:
+            found.append(True)
+            continue
+        if b != last:  # rows come in order of the second text
+            last, of_last = b, shingles(b)
+        found.append(similar(shingles(a), of_last))
+    return pa.array(found, pa.bool_())
+
+
+def verified(lines: list[int], normals: list[str], apart: list[bool]) -> list[tuple[int, int]]:
+    """A spanning forest of the near pairs of a line that stands apart and any other line."""
+    place = {line: i for i, line in enumerate(dict.fromkeys(lines))}
+    text = dict(zip(lines, normals, strict=True))
+    label, names, found = np.arange(len(place)), list(place), []
+    sets: dict[int, set[str]] = {}
+
+    def of(i: int) -> set[str]:
+        if i not in sets:
+            sets[i] = shingles(text[names[i]])
+        return sets[i]
+
+    for i in sorted({place[line] for line, own in zip(lines, apart, strict=True) if own}):
+        for j in np.flatnonzero(label != label[i]).tolist():
+            if label[j] != label[i] and similar(of(i), of(j)):
+                found.append((names[i], names[j]))
                 label[label == label[j]] = label[i]
     return found
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table, group in whole_groups(batches, 3, 2_000):
-        lines, normals = table.column("line").to_pylist(), table.column("normal").to_pylist()
+    for table, group in whole_groups(batches, 3, 500):
+        lines, normals, apart = (table.column(c).to_pylist() for c in ("line", "normal", "apart"))
         cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)]
-        found = [p for s, e in zip(cuts[:-1], cuts[1:], strict=True) for p in verified(lines[s:e], normals[s:e])]
+        found = [
+            p for s, e in zip(cuts[:-1], cuts[1:], strict=True) for p in verified(lines[s:e], normals[s:e], apart[s:e])
+        ]
         a, b = zip(*found, strict=True) if found else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+def cells(members: DataFrame, lines_a_block: int) -> DataFrame:
+    """Rows (leader, i, j, line, apart) such that every line of a group that isn't near its leader
+    meets every other line of the group in some cell (i, j) of at most two blocks."""
+    sizes = members.groupBy("leader").agg(
+        F.ceil(F.count(F.lit(1)) / lines_a_block).cast("int").alias("blocks"),
+        F.ceil(F.count_if(~F.col("near")) / lines_a_block).cast("int").alias("sides"),
+    )
+    own = F.xxhash64("line")
+    mine, side = F.pmod(own, F.col("blocks")).cast("int"), F.pmod(own, F.col("sides")).cast("int")
+
+    def cell(i: F.Column, j: F.Column, apart: bool) -> F.Column:
+        return F.struct(i.alias("i"), j.alias("j"), F.lit(apart).alias("apart"))
+
+    everyone = F.transform(F.sequence(F.lit(0), F.col("sides") - 1), lambda i: cell(i, mine, False))
+    alone = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: cell(side, j, True))
+    places = F.when(F.col("near"), everyone).otherwise(F.concat(everyone, alone))
+    return members.join(sizes, "leader").select("leader", "line", F.inline(places))
+
+
 def line_components(docs: DataFrame, text: str = "text") -> DataFrame:
     """(node, root) for the lines, by hash, that are near to others but aren't their component's
-    least."""
+    least.
+
+    Lines that met under a key are first held against their leader. Those that are near it are
+    joined by that; only the lines that aren't have to be held against the rest of their group. So a
+    group of near copies costs as much as it has lines.
+    """
     content = docs.select(whole_text(text).alias("text"))
     bands = content.mapInArrow(_sign, "key bigint, line bigint")
     met = bands.repartition("key").sortWithinPartitions("key", "line")
     met = written(met.mapInArrow(_meet, "leader bigint, line bigint").distinct(), "met")
-    # The leader is a member of its own group.
-    members = met.union(met.select("leader", F.col("leader").alias("line")).distinct())
-    normal = content.mapInArrow(_texts, "line bigint, normal string")
-    needed = members.select("line").distinct()
-    normal = normal.join(needed, "line").groupBy("line").agg(F.first("normal").alias("normal"))
-    groups = in_block_pairs(members, "leader", "line", LINES_A_BLOCK).join(normal, "line")
-    dealt = groups.select("leader", "_i", "_j", "line", "normal")
-    dealt = dealt.repartition("leader", "_i", "_j").sortWithinPartitions("leader", "_i", "_j")
-    return components(dealt.mapInArrow(_verify, "a bigint, b bigint"))
+    needed = met.select("line").union(met.select("leader")).distinct()
+    normal = content.mapInArrow(_texts, "line bigint, normal string").join(needed, "line")
+    normal = written(normal.groupBy("line").agg(F.first("normal").alias("normal")), "normal")
+    leaders = normal.select(F.col("line").alias("leader"), F.col("normal").alias("other"))
+    # A leader is a member of its own group.
+    met = met.union(met.select("leader", F.col("leader").alias("line")).distinct())
+    star = met.join(normal, "line").join(leaders, "leader")
+    star = written(star.select("leader", "line", near_column("normal", "other").alias("near")), "star")
+    mixed = star.filter(~F.col("near")).select("leader").distinct()
+    dealt = cells(star.join(mixed, "leader"), LINES_A_BLOCK).join(normal, "line").select("leader", "i", "j", "line", "normal", "apart")
+    dealt = dealt.repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j")
+    joined = star.filter("near AND leader <> line").select("leader", "line")
+    return components(joined.union(dealt.mapInArrow(_verify, "a bigint, b bigint")))
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))
