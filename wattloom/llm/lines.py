@@ -165,20 +165,27 @@ def near_column(own: pa.Array, other: pa.Array) -> pa.Array:
 
 
 def verified(lines: list[int], normals: list[str], apart: list[bool]) -> list[tuple[int, int]]:
-    """A spanning forest of the near pairs of a line that stands apart and any other line."""
-    place = {line: i for i, line in enumerate(dict.fromkeys(lines))}
-    text = dict(zip(lines, normals, strict=True))
-    label, names, found = np.arange(len(place)), list(place), []
-    sets: dict[int, set[str]] = {}
-
-    def of(i: int) -> set[str]:
-        if i not in sets:
-            sets[i] = shingles(text[names[i]])
-        return sets[i]
+    """A spanning forest of the near pairs of a line that stands apart and any other line.
 
-    for i in sorted({place[line] for line, own in zip(lines, apart, strict=True) if own}):
-        for j in np.flatnonzero(label != label[i]).tolist():
-            if label[j] != label[i] and similar(of(i), of(j)):
+    Common shingles are counted for a line and all others at once, through the lists of the lines
+    that have each shingle.
+    """
+    text = dict(zip(lines, normals, strict=True))
+    names, number = list(text), {}
+    own = [[number.setdefault(x, len(number)) for x in shingles(text[name])] for name in names]
+    size = np.array([len(x) for x in own])
+    flat = np.concatenate([np.array(x, np.int64) for x in own])
+    order = np.argsort(flat, kind="stable")
+    having = np.repeat(np.arange(len(own)), size)[order]
+    starts = np.searchsorted(flat[order], np.arange(len(number) + 1)).tolist()
+    place = {name: i for i, name in enumerate(names)}
+    label, found = np.arange(len(own)), []
+    for i in sorted({place[line] for line, alone in zip(lines, apart, strict=True) if alone}):
+        lists = [having[starts[x] : starts[x + 1]] for x in own[i]]
+        common = np.bincount(np.concatenate(lists), minlength=len(own))
+        near = (common >= SIMILARITY * (size[i] + size - common)) & (label != label[i])
+        for j in np.flatnonzero(near).tolist():
+            if label[j] != label[i]:
                 found.append((names[i], names[j]))
                 label[label == label[j]] = label[i]
     return found
