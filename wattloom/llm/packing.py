@@ -28,7 +28,7 @@ from wattloom.llm.subwords import PlainWords
 
 CAPACITY = 4096
 END = 1
-MEMO = 400_000
+MEMO = 1_000_000
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, _task int, _nth bigint"
 
 
