@@ -167,3 +167,24 @@ def test_wrappers_find_groups_and_options():
     assert pages.main_slots(whole) == ["body:/div:x2/p:"], "what never changes is the template"
     lone = pages.align(whole["items"], pages.page_wrapper("<body><div class=x2><p>d</p></div>")["items"])
     assert [p[1] for p in lone[0][3]] == [0, 1, 0], "what a page lacks is optional"
+
+
+def texts_of(bodies):
+    """The texts of pages of one host."""
+    whole = None
+    for body in bodies:
+        whole = pages.folded(whole, pages.page_wrapper(body))
+    verdicts = pages.judged(whole["items"])
+    return [pages.extract(body, verdicts) for body in bodies]
+
+
+def test_alignment_tells_template_within_articles():
+    page = "<article><h1>Title {0}</h1><div><p>Body {0}</p>{1}</div><p>Read more from us</p></article>"
+    own = [page.format(n, f"<ul><li>only {n}</ul>" * (n == 2)) for n in range(4)]
+    assert texts_of(own) == [f"Title {n}\nBody {n}" + "\nonly 2" * (n == 2) for n in range(4)]
+    # Both have one tag path; only the alignment tells them apart.
+    same = [f"<article><p>Body {n}</p><ul><li>item {n}</ul><p>Read more from us</p></article>" for n in range(3)]
+    assert texts_of(same) == [f"Body {n}\nitem {n}" for n in range(3)]
+    # Two pages don't tell, nor do pages that are the same throughout.
+    assert texts_of(own[:2])[0] == "Title 0\nBody 0\nRead more from us"
+    assert texts_of(own[:1] * 4)[0] == "Title 0\nBody 0\nRead more from us"

@@ -7,10 +7,15 @@ aligned child list by child list: what matches is merged, what doesn't becomes o
 takes wrappers on both sides, so each task folds its own pages, and the tasks' wrappers of a host are folded
 in turn, first in salted shares. What is gathered for a host is one small wrapper a task, never its pages.
 
-A wrapper then says which of its slots are main text: those under the host's article element, where it has
-one, less those under menus, headers, footers, sidebars, notices, adverts, forms and comments. A host
-without an article element keeps the slots outside of these whose text isn't mostly links and, where
-three or more different pages tell, isn't the same on all of them.
+A wrapper's own items are then judged. A slot whose text is the same on three or more different pages is
+template; within an article element (or one named as the body) only if it is neither optional nor repeated
+there and other text of the element differs between pages. Elements that are menus, headers, footers, asides,
+forms, comments or hidden are apart; a name (sidebar, advert, share, ...) is a hint, and what it holds stays
+if three or more pages show text that differs and isn't mostly links. The hint doesn't reach into an article
+element below. Outside of bodies, slots that are mostly links go too.
+
+Each page's tree is aligned with its host's judged wrapper, and takes what lies in article elements where the host has
+them, else in elements named as the body, else all other text.
 
 Null and empty pages, and pages without main text, give an empty text. A page whose URL has no host falls
 under the host "". Broken nesting is closed as browsers do for the common cases. Repeated rows give the
@@ -203,16 +208,18 @@ def parse(page: str) -> Node:
 # --- wrappers -----------------------------------------------------------------------------------
 # A wrapper item is a list: [key, least, most, children, facts]. `least` 0: optional; `most` 2:
 # repeated. TEXT items are slots; a GROUP item is a repeated run of several items. Facts of a slot are
-# [characters, of these linked, hash of its text or None once texts differ].
+# [characters, of these linked, hash of its text or None once texts differ, hashes of different pages that have
+# it, about TELLING_PAGES of them]; those of a page that is matched have the numbers of its slots as a fifth.
 GROUP = "()"
 
 
-def _slot_facts(slot: Slot) -> list:
-    return [len(slot.text), slot.linked, xxhash.xxh64_hexdigest(slot.text.encode("utf-8", "surrogatepass"))]
+def _slot_facts(slot: Slot, page: str) -> list:
+    return [len(slot.text), slot.linked, xxhash.xxh64_hexdigest(slot.text.encode("utf-8", "surrogatepass")), [page]]
 
 
 def _merge_facts(a: list, b: list) -> list:
-    return [a[0] + b[0], a[1] + b[1], a[2] if a[2] == b[2] else None]
+    seen = a[3] if a[3] == b[3] or len(a[3]) >= TELLING_PAGES else sorted({*a[3], *b[3]})
+    return [a[0] + b[0], a[1] + b[1], a[2] if a[2] == b[2] else None, seen, *([(a[4], b[4])] if len(a) > 4 else [])]
 
 
 def merge_items(a: list, b: list) -> list:
@@ -280,14 +287,19 @@ def align(a: list[list], b: list[list]) -> list[list]:
     return collapse(out)
 
 
-def wrapper_of(node: Node) -> list[list]:
-    """The wrapper of one page's (sub)tree: its child items."""
+def wrapper_of(node: Node, page: str = "", slots: list[Slot] | None = None) -> list[list]:
+    """The wrapper of one page's (sub)tree: its child items. Slots are appended to `slots`, if given, and
+    numbered in the facts."""
     items = []
     for child in node.children:
         if isinstance(child, Slot):
-            items.append([TEXT, 1, 1, [], _slot_facts(child)])
+            facts = _slot_facts(child, page)
+            if slots is not None:
+                facts.append(len(slots))
+                slots.append(child)
+            items.append([TEXT, 1, 1, [], facts])
         else:
-            items.append([child.key, 1, 1, wrapper_of(child), []])
+            items.append([child.key, 1, 1, wrapper_of(child, page, slots), []])
     return collapse(items)
 
 
@@ -302,56 +314,159 @@ def folded(a: dict | None, b: dict) -> dict:
 
 def page_wrapper(page: str) -> dict:
     page_hash = xxhash.xxh64_hexdigest(page.encode("utf-8", "surrogatepass"))
-    return {"items": wrapper_of(parse(page)), "pages": [page_hash]}
+    return {"items": wrapper_of(parse(page), page_hash), "pages": [page_hash]}
 
 
 # --- slots --------------------------------------------------------------------------------------
-
-
-def _paths(items: list[list], above: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], list]]:
-    for key, _, _, children, facts in items:
-        if key == TEXT:
-            yield above, facts
-        else:
-            yield from _paths(children, above if key == GROUP else (*above, key))
+# The class of a slot: 0 template or apart, 1 text outside of any body, 2 in an element named as the body, 3 in
+# an article element.
 
 
 def _mark(key: str) -> str:
     return key.split(":", 1)[0][-1:]
 
 
+@dataclass(frozen=True)
+class Place:
+    """What is known of the place of an item from those above it."""
+
+    apart: bool = False
+    hinted: bool = False
+    region: int = 1
+    loose: bool = False  # optional or repeated within its region
+    varied: bool = True  # some text of its region differs between pages
+
+
+def _varies(items: list[list]) -> bool:
+    return any(x[4][2] is None if x[0] == TEXT else _mark(x[0]) != "-" and _varies(x[3]) for x in items)
+
+
+def inside(item: list, place: Place) -> Place:
+    """The place of the item's children."""
+    key, least, most, children, _ = item
+    mark = _mark(key) if key != GROUP else ""
+    if place.apart or mark == "-":
+        return Place(apart=True)
+    loose = place.loose or least == 0 or most > 1
+    if mark == "+":
+        # A name above an article element doesn't speak for the article.
+        return Place(False, False, 3, False, _varies(children)) if place.region < 3 else Place(False, False, 3, loose, place.varied)
+    if mark == "~" and place.region < 2:
+        return Place(False, place.hinted, 2, False, _varies(children))
+    return Place(False, place.hinted or mark == "?", place.region, loose, place.varied)
+
+
+def class_of(item: list, place: Place) -> int:
+    """The class of a slot of the wrapper."""
+    _, least, most, _, (size, linked, text, seen, *_) = item
+    if place.apart:
+        return 0
+    told = len(seen) >= TELLING_PAGES
+    constant = told and text is not None and least > 0 and most == 1
+    if place.hinted:
+        return place.region if told and text is None and 2 * linked <= size else 0
+    if place.region > 1:
+        return 0 if constant and not place.loose and place.varied else place.region
+    return 0 if constant or 2 * linked > size else 1
+
+
+def judged(items: list[list], place: Place = Place()) -> list[list]:
+    """[shape, class] of every item, or [shape, those of its children] where they differ."""
+    out = []
+    for item in items:
+        if item[0] == TEXT:
+            out.append([TEXT, class_of(item, place)])
+            continue
+        own = judged(item[3], inside(item, place))
+        kinds = {x[1] if isinstance(x[1], int) else -1 for x in own}
+        out.append([shape_of(item), own if len(kinds) > 1 or -1 in kinds else max(kinds, default=0)])
+    return out
+
+
+def _paths(items: list[list], place: Place = Place(), above: tuple[str, ...] = ()) -> Iterator[tuple[str, int]]:
+    for item in items:
+        if item[0] == TEXT:
+            yield "/".join(above), class_of(item, place)
+        else:
+            yield from _paths(item[3], inside(item, place), above if item[0] == GROUP else (*above, item[0]))
+
+
 def main_slots(wrapper: dict) -> list[str]:
     """The paths of the wrapper's main text."""
-    facts: dict[tuple[str, ...], list] = {}
-    for path, own in _paths(wrapper["items"]):
-        facts[path] = _merge_facts(facts[path], own) if path in facts else own
-    sound = {p: f for p, f in facts.items() if not any(_mark(k) == "-" for k in p)}
-    for sign in ("+", "~"):
-        inside = [p for p in sound if any(_mark(k) == sign for k in p)]
-        if inside:
-            return sorted("/".join(p) for p in inside)
-    telling = len(wrapper["pages"]) >= TELLING_PAGES
-    return sorted(
-        "/".join(p)
-        for p, (size, linked, text) in sound.items()
-        if 2 * linked <= size and not (telling and text is not None)
-    )
+    found = list(_paths(wrapper["items"]))
+    top = max((c for _, c in found), default=0)
+    return sorted({p for p, c in found if c == top > 0})
+
+
+def _pairs(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Places of a longest common run of two lists."""
+    start = 0
+    while start < min(len(a), len(b)) and a[start] == b[start]:
+        start += 1
+    ends = 0
+    while ends < min(len(a), len(b)) - start and a[-1 - ends] == b[-1 - ends]:
+        ends += 1
+    n, m = len(a) - ends, len(b) - ends
+    best = [[0] * (m - start + 1) for _ in range(n - start + 1)]
+    for i in range(n - start - 1, -1, -1):
+        for j in range(m - start - 1, -1, -1):
+            same = a[start + i] == b[start + j]
+            best[i][j] = best[i + 1][j + 1] + 1 if same else max(best[i + 1][j], best[i][j + 1])
+    found, i, j = [(k, k) for k in range(start)], start, start
+    while i < n and j < m:
+        if a[i] == b[j]:
+            found.append((i, j))
+            i, j = i + 1, j + 1
+        elif best[i - start + 1][j - start] >= best[i - start][j - start + 1]:
+            i += 1
+        else:
+            j += 1
+    return found + [(len(a) - k, len(b) - k) for k in range(ends, 0, -1)]
 
 
-def extract(page: str, slots: set[str]) -> str:
-    """The page's texts in the wrapper's main slots, one block a line."""
-    blocks: list[str] = []
+def _numbers(items: list[list]) -> Iterator[int]:
+    waiting: list = [items]
+    while waiting:
+        own = waiting.pop()
+        if isinstance(own, int):
+            yield own
+        elif isinstance(own, tuple):
+            waiting += own
+        else:
+            waiting += [x[4][4] if x[0] == TEXT else x[3] for x in own]
+
+
+def match(items: list[list], verdicts: list[list], classes: list[int], place: Place = Place()) -> None:
+    """Gives each slot of a page the class of the wrapper's item that it is aligned with."""
+    of = dict(_pairs([shape_of(x) for x in items], [v[0] for v in verdicts]))
+    shapes = {v[0]: v[1] for v in reversed(verdicts)}
+    # One run of a group that comes several times elsewhere.
+    loose = {w[0]: w[1] for v in verdicts if v[0].startswith(GROUP) and isinstance(v[1], list) for w in v[1]}
+    for n, item in enumerate(items):
+        shape = shape_of(item)
+        found = verdicts[of[n]][1] if n in of else shapes.get(shape, loose.get(shape))
+        if isinstance(found, int):
+            for number in _numbers([item]):
+                classes[number] = found
+        elif item[0] != TEXT:
+            match(item[3], found or [], classes, inside(item, place))
+        else:
+            for number in _numbers([item]):
+                classes[number] = class_of(item, place)
+
+
+def highest(verdicts: list[list]) -> int:
+    return max((v[1] if isinstance(v[1], int) else highest(v[1]) for v in verdicts), default=0)
 
-    def walk(node: Node, path: str) -> None:
-        for child in node.children:
-            if isinstance(child, Slot):
-                if path in slots:
-                    blocks.append(child.text)
-            else:
-                walk(child, f"{path}/{child.key}" if path else child.key)
 
-    walk(parse(page), "")
-    return "\n".join(blocks)
+def extract(page: str, verdicts: list[list]) -> str:
+    """The page's main text, one block a line: its slots of the highest class that its host has."""
+    slots: list[Slot] = []
+    items = wrapper_of(parse(page), "", slots)
+    classes = [0] * len(slots)
+    match(items, verdicts, classes)
+    top = highest(verdicts)
+    return "\n".join(s.text for s, c in zip(slots, classes, strict=True) if c == top > 0)
 
 
 # --- jobs ---------------------------------------------------------------------------------------
@@ -391,21 +506,21 @@ def main_texts(pages: DataFrame, page_id: str = "page_id", url: str = "url", pag
 
     @F.arrow_udf("string")
     def cut(html_: pa.Array, wrapper: pa.Array) -> pa.Array:
-        slots: dict[str, set[str]] = {}
+        verdicts: dict[str, list[list]] = {}
         out = []
         for content, text in zip(html_.to_pylist(), wrapper.to_pylist(), strict=True):
-            if text not in slots:
-                slots[text] = set(json.loads(text))
-            out.append(extract(content, slots[text]))
+            if text not in verdicts:
+                verdicts[text] = json.loads(text)
+            out.append(extract(content, verdicts[text]))
         return pa.array(out, pa.string())
 
     @F.arrow_udf("string")
     def choose(wrapper: pa.Array) -> pa.Array:
-        return pa.array([json.dumps(main_slots(json.loads(w))) for w in wrapper.to_pylist()], pa.string())
+        return pa.array([json.dumps(judged(json.loads(w)["items"]), separators=(",", ":")) for w in wrapper.to_pylist()], pa.string())
 
-    slots = written(wrappers(pages, url, page).select("host", choose("wrapper").alias("slots")), "slots")
+    verdicts = written(wrappers(pages, url, page).select("host", choose("wrapper").alias("verdicts")), "verdicts")
     rows = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), host_of(F.col(url)).alias("host"), whole_text(page).alias("html")
     )
-    found = rows.join(slots, "host").select("page_id", "url", cut("html", "slots").alias("text"))
+    found = rows.join(verdicts, "host").select("page_id", "url", cut("html", "verdicts").alias("text"))
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
