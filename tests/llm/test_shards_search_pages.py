@@ -188,3 +188,10 @@ def test_alignment_tells_template_within_articles():
     # Two pages don't tell, nor do pages that are the same throughout.
     assert texts_of(own[:2])[0] == "Title 0\nBody 0\nRead more from us"
     assert texts_of(own[:1] * 4)[0] == "Title 0\nBody 0\nRead more from us"
+
+
+def test_pages_without_the_article_of_others_keep_their_text():
+    own = [f"<body><article><p>A {n}</p></article><div class=x>site</div>" for n in range(3)]
+    other = [f"<body><div class=content><p>B {n}</p></div><div class=x>site</div>" for n in range(3)]
+    third = [f"<body><div class=y><p>C {n}</p></div><div class=x>site</div>" for n in range(3)]
+    assert texts_of(own + other + third) == [f"{k} {n}" for k in "ABC" for n in range(3)]

@@ -14,8 +14,8 @@ forms, comments or hidden are apart; a name (sidebar, advert, share, ...) is a h
 if three or more pages show text that differs and isn't mostly links. The hint doesn't reach into an article
 element below. Outside of bodies, slots that are mostly links go too.
 
-Each page's tree is aligned with its host's judged wrapper, and takes what lies in article elements where the host has
-them, else in elements named as the body, else all other text.
+Each page's tree is aligned with its host's judged wrapper, and takes what lies in its article elements; a page
+without text there takes what lies in elements named as the body, and one without these all other text.
 
 Null and empty pages, and pages without main text, give an empty text. A page whose URL has no host falls
 under the host "". Broken nesting is closed as browsers do for the common cases. Repeated rows give the
@@ -455,17 +455,13 @@ def match(items: list[list], verdicts: list[list], classes: list[int], place: Pl
                 classes[number] = class_of(item, place)
 
 
-def highest(verdicts: list[list]) -> int:
-    return max((v[1] if isinstance(v[1], int) else highest(v[1]) for v in verdicts), default=0)
-
-
 def extract(page: str, verdicts: list[list]) -> str:
-    """The page's main text, one block a line: its slots of the highest class that its host has."""
+    """The page's main text, one block a line: its slots of the highest class that it has."""
     slots: list[Slot] = []
     items = wrapper_of(parse(page), "", slots)
     classes = [0] * len(slots)
     match(items, verdicts, classes)
-    top = highest(verdicts)
+    top = max(classes, default=0)
     return "\n".join(s.text for s, c in zip(slots, classes, strict=True) if c == top > 0)
 
 
