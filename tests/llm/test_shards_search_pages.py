@@ -195,3 +195,13 @@ def test_pages_without_the_article_of_others_keep_their_text():
     other = [f"<body><div class=content><p>B {n}</p></div><div class=x>site</div>" for n in range(3)]
     third = [f"<body><div class=y><p>C {n}</p></div><div class=x>site</div>" for n in range(3)]
     assert texts_of(own + other + third) == [f"{k} {n}" for k in "ABC" for n in range(3)]
+
+
+def test_names_of_containers_are_hints():
+    for said in ("page no-sidebar", "layout has-sidebar", "content-with-header", "grid widget-area", "comments-open"):
+        own = [f"<div class='{said}'><article><p>A {n}</p></article><div class=share>tweet</div></div>" for n in range(2)]
+        assert texts_of(own) == ["A 0", "A 1"], said
+    assert texts_of([f"<main class='comments-open'><p>A {n}</p></main>" for n in range(2)]) == ["A 0", "A 1"]
+    named = [f"<article><p>A {n}</p><div class=notice>{{}}</div><div class=comments>so {n}</div></article>" for n in range(3)]
+    assert texts_of([x.format("all the same") for x in named]) == ["A 0", "A 1", "A 2"]
+    assert texts_of([x.format(f"differs {n}") for n, x in enumerate(named)]) == [f"A {n}\ndiffers {n}" for n in range(3)]

@@ -61,6 +61,11 @@ APART_NAMES = {
     "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "widget",
     "alert", "gdpr",
 }
+COMMENT_NAMES = {"comment", "comments", "disqus", "replies", "respond"}
+# In a compound the first kind says what an element has or lacks, the second in which state it is: 'no-sidebar',
+# 'content-with-header', 'comments-open' name no sidebar, header or comments.
+MODIFIERS = {"no", "has", "with", "without", "hide", "show", "is", "not"}
+STATES = {"open", "closed", "enabled", "disabled", "on", "off", "active", "visible", "left", "right"}
 BODY_NAMES = {"article", "articlebody", "entry", "post", "story", "content", "main"}
 # An opening tag of the key closes an open element of the set.
 CLOSES = {
@@ -92,22 +97,38 @@ class Slot:
     linked: int
 
 
+def naming(said: str) -> set[str]:
+    """The words of classes and ids that name the element, without those that a modifier or state turns."""
+    found = set()
+    for compound in said.split():
+        parts = [p.lower().rstrip("0123456789") for p in NAME_PARTS.findall(compound)]
+        for i, part in enumerate(parts):
+            if part in MODIFIERS or (i + 1 < len(parts) and parts[i + 1] in STATES):
+                break
+            found.add(part)
+    return found
+
+
 def key_of(tag: str, attributes: str) -> str:
-    """The tag, with a mark for what its class, id and role say it is for."""
+    """The tag, with a mark for what its class, id and role say it is for: + main text, ~ named as main
+    text, - apart from it, ? named as apart from it."""
     found = {k.lower(): html.unescape(v.strip("\"'")) for k, v in ATTRIBUTE.findall(attributes)} if attributes else {}
     said = f"{found.get('class', '')} {found.get('id', '')}"
     names = {p.lower() for p in NAME_PARTS.findall(said)}
-    plain = {n.rstrip("0123456789") for n in names}
-    apart = tag in APART or bool(plain & APART_NAMES) or found.get("role", "").lower() in APART_ROLES
+    plain = naming(said)
+    apart = tag in APART or found.get("role", "").lower() in APART_ROLES or bool(plain & COMMENT_NAMES)
+    hinted = bool(plain & APART_NAMES)
     # The page's own containers may be named after a part of theirs.
-    if tag in ("html", "body") or (tag in ARTICLE and not names & {"comment", "comments", "ad", "advert"}):
-        apart = False
+    if tag in ("html", "body", "main") or (tag in ARTICLE and not plain & {"comment", "comments", "ad", "advert"}):
+        apart = hinted = False
+    elif tag in ARTICLE:
+        apart = True
     if "hidden" in found or found.get("aria-hidden") == "true":
         apart = True
-    mark = "-" if apart else ""
+    mark = "-" if apart else "?" if hinted else ""
     if not apart and (tag in ARTICLE or found.get("itemprop", "").lower() == "articlebody" or found.get("role") == "main"):
         mark = "+"
-    elif not apart and tag in ("div", "section") and plain & BODY_NAMES:
+    elif not mark and tag in ("div", "section") and plain & BODY_NAMES:
         mark = "~"
     return f"{tag}{mark}:{'.'.join(sorted(names))}"
 
@@ -170,7 +191,7 @@ def parse(page: str) -> Node:
         # Marked-up phrases that stand apart (an advert in a span) are elements of their own.
         phrase = name in INLINE and name not in VOID
         if phrase and kind == "open":
-            phrase = not rest or _mark(key_of(name, rest)) != "-"
+            phrase = not rest or _mark(key_of(name, rest)) not in ("-", "?")
         elif phrase:
             phrase = tags[-1] != name
         if phrase or name == "br":
