@@ -225,3 +225,31 @@ def test_groups_split_into_blocks_lose_no_line(spark, monkeypatch):
     texts = odd_lines()
     found = lines.decisions_by_document(frame(spark, texts)).collect()
     assert {repr(r["doc_id"]): list(r["dropped"]) for r in found} == {repr(d): g for d, g in plain_decisions(texts)}
+
+
+@pytest.mark.parametrize("length, adjacent", [(30, 0), (48, 0), (49, 1), (60, 2), (100, 6)])
+def test_smallest_edits_that_are_caught(spark, length, adjacent):
+    """As many adjacent characters inside a line may change; at 0 not one may."""
+    line = "".join(chr(0x4E00 + i) for i in range(length))
+    middle = length // 2
+
+    def changed(n):
+        return line[:middle] + "".join(chr(0x6000 + i) for i in range(n)) + line[middle + n :]
+
+    near = lambda n: lines.similar(lines.shingles(line), lines.shingles(changed(n)))
+    assert (near(adjacent), near(adjacent + 1)) == (True, False)
+    if adjacent:
+        found = lines.deduplicated(frame(spark, enumerate([line, changed(adjacent)]))).collect()
+        assert sorted(r["text"] for r in found) == ["", line]
+
+
+def test_shingle_hashes_are_equal_for_equal_shingles_only():
+    texts = ["abcdefabcde", "xabcdex", "edcba", "ab"]
+    hashes, bounds = lines.shingle_hashes(texts)
+    of = {}
+    for text, first, end in zip(texts, bounds[::2], bounds[1::2], strict=True):
+        width = lines.SHINGLE
+        padded = text.ljust(width, "\0")
+        for i, h in enumerate(hashes[first:end].tolist()):
+            of.setdefault(padded[i : i + width], set()).add(h)
+    assert all(len(h) == 1 for h in of.values()) and len(set().union(*of.values())) == len(of)

@@ -2,10 +2,11 @@
 
 Lines end at a newline. They are compared by their normal form: lower case, runs of white space as one
 space, none at the ends; lines without any other character are left alone. A line's shingles are its
-eight-character substrings (a shorter line is its own one shingle). Lines are near if the Jaccard
+five-character substrings (a shorter line is its own one shingle). Lines are near if the Jaccard
 similarity of their shingle sets is 0.8 or more. Candidates agree in all four hashes of one of fourteen
 bands, which a pair at the threshold misses with probability (1 - 0.8^4)^14 = 0.0006. All lines that
-meet in a band are verified on their real shingles as far as they aren't joined yet. Each component keeps
+meet in a band are verified on their real shingles as far as they aren't joined yet. One changed character inside
+a line is caught from 49 characters on. Each component keeps
 the line that comes first by document id and line number; the rest go.
 
 Equal lines count as one, whatever their number. Rows that repeat id and text share their decisions, and
@@ -28,7 +29,7 @@ from wattloom.llm.common import unique_name, whole_text, written
 from wattloom.llm.components import components
 from wattloom.llm.groups import whole_groups
 
-SHINGLE = 8
+SHINGLE = 5
 ROWS = 4
 BANDS = 14
 SIMILARITY = 0.8
@@ -68,9 +69,11 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     points = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), "<u4")
     hashes, width = points.astype(np.uint32), 1
     while width < SHINGLE:
+        # Doubled, and at last laid over itself as far as needed.
+        step = min(width, SHINGLE - width)
         factor = np.uint32(pow(BASE, width, 1 << 32))
-        hashes = hashes[:-width] * factor + hashes[width:]
-        width *= 2
+        hashes = hashes[:-step] * factor + hashes[step:]
+        width += step
     hashes ^= hashes >> np.uint32(16)
     hashes *= np.uint32(0x85EBCA6B)
     hashes ^= hashes >> np.uint32(13)
