@@ -12,6 +12,7 @@ from wattloom.llm import (
     classifier,
     common,
     lines,
+    mixing,
     packing,
     pages,
     rules,
@@ -137,3 +138,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_page_wrappers")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.main_texts(table(spark, sf_dir, "pages"))
+
+
+@query("op13_source_mixing")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mixed(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
