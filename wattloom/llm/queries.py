@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wattloom.llm import (
     byte_bpe,
     classifier,
+    collocations,
     common,
     lines,
     mixing,
@@ -144,3 +145,41 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mixed(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+COLLOCATIONS = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        unnest(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang),
+grams AS (
+    SELECT lang, k AS words, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i+k-1], ' '))) AS phrase
+    FROM worded, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k),
+known AS (SELECT lang, words, phrase, count(*)::BIGINT AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+several AS (SELECT *, string_split(phrase, ' ') AS w FROM known WHERE words > 1),
+dropped AS (
+    SELECT DISTINCT s.lang, s.phrase FROM several s JOIN several t ON s.lang = t.lang AND t.words > s.words
+        AND contains(' ' || t.phrase || ' ', ' ' || s.phrase || ' ') AND 100 * t.a >= 100 * s.a),
+cuts AS (
+    SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k+1:], ' ') AS tail
+    FROM (SELECT *, unnest(range(1, words)) AS k FROM several ANTI JOIN dropped USING (lang, phrase))),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, c.k, h.a AS l, t.a AS r, n.n,
+        ((1000::HUGEINT * c.a * n.n) // (h.a::HUGEINT * t.a))::BIGINT AS score
+    FROM cuts c JOIN known h ON h.lang = c.lang AND h.phrase = c.head
+        JOIN known t ON t.lang = c.lang AND t.phrase = c.tail JOIN totals n ON n.lang = c.lang),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+        phrase, a, l, r, n, score
+    FROM lowest)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+
+@query("op11_phrase_collocations", COLLOCATIONS)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
