@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.llm import (
+    alignment,
     byte_bpe,
     classifier,
     collocations,
@@ -183,3 +184,9 @@ SELECT * FROM ranked WHERE rank <= 2000
 @query("op11_phrase_collocations", COLLOCATIONS)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_tokenizer_alignment")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.aligned_documents(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
