@@ -29,6 +29,7 @@ from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,7 @@ from wattloom.llm.subwords import byte_characters
 
 RANGE_BYTES = 65_536
 FAN = 8
-MEMO = 300_000
-REMEMBERED_LENGTH = 64
+MEMO = 800_000
 BROADCAST_PAIRS = 2_000_000
 WORD_MARK = "▁"
 
@@ -65,6 +65,7 @@ class Vocabularies:
                 self.a_bytes[number] = bytes(map(byte_of.__getitem__, piece))
         self.b_bytes = [self._piece(i) for i in range(self.b.vocab_size())]
         self.width = len(self.b_bytes)
+        self.lone_space = [self.b.piece_to_id(WORD_MARK)]
 
     def _piece(self, number: int) -> bytes:
         piece = self.b.id_to_piece(number)
@@ -74,8 +75,10 @@ class Vocabularies:
         return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode_b(self, texts: list[str]) -> list[list[int]]:
-        """Of a space and each text."""
-        return self.b.encode(texts, num_threads=1) if texts else []
+        """Of a space and each text. Without a text the library leaves the space out, too; behind other text
+        the space stays."""
+        found = self.b.encode(texts, num_threads=1) if texts else []
+        return [ids or self.lone_space for ids in found]
 
 
 def tokens_of(ids: list[int], of: list[bytes], start: int) -> list[tuple[int, int]]:
@@ -192,38 +195,72 @@ def chunks_of(text: str) -> list[str]:
     return out
 
 
+def flattened(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers in a row, and how many each row has."""
+    return np.fromiter(chain.from_iterable(rows), np.int64), np.fromiter(map(len, rows), np.int64, len(rows))
+
+
 class Chunks:
-    """Chunks with what is known of their fragments, which are closed at both ends, in columns."""
+    """Chunks with what is known of their fragments, in columns.
+
+    A chunk's fragment is closed at both ends, so the product of several is their sum: tokens, groups and
+    links add up and groups' texts follow each other. Many chunks are laid side by side and cut at once.
+    """
 
     def __init__(self, vocabularies: Vocabularies, limit: int = MEMO):
-        self.vocabularies, self.limit = vocabularies, limit
+        self.vocabularies, self.limit, v = vocabularies, limit, vocabularies
+        self.lengths = [np.fromiter(map(len, of), np.int64, len(of)) for of in (v.a_bytes, v.b_bytes)]
+        # An id with what may stand behind it: a comma, or the end of its side of the group.
+        self.decimals = [
+            np.array([[f"{i}," for i in range(len(of))], [f"{i}{end}" for i in range(len(of))]], object)
+            for of, end in ((v.a_bytes, "|"), (v.b_bytes, ";"))
+        ]
         self.forget()
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
         self.numbers = array("q")  # good, n_a, n_b, n_groups, n_links of each
         self.text: list[str] = []
-        self.pairs, self.times, self.upto = array("q"), array("q"), array("q", [0])
+        self.pairs, self.upto = array("q"), array("q", [0])
 
     def learn(self, texts: list[list[str]]) -> None:
-        if len(self.place) > self.limit:
+        # Long chunks count by their links.
+        if max(len(self.place), len(self.pairs) // 4) > self.limit:
             self.forget()
         new = list(dict.fromkeys(c for chunks in texts for c in chunks if c not in self.place))
+        for at in range(0, len(new), 20_000):
+            self._learn(new[at : at + 20_000])
+
+    def _learn(self, chunks: list[str]) -> None:
         v = self.vocabularies
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            for chunk, a, b in zip(some, v.encode_a([" " + c for c in some]), v.encode_b(some), strict=True):
-                content = (" " + chunk).encode()
-                good = b"".join(map(v.a_bytes.__getitem__, a)) == content == b"".join(map(v.b_bytes.__getitem__, b))
-                own = fragment(tokens_of(a, v.a_bytes, 0), tokens_of(b, v.b_bytes, 0))
-                whole = composed(start(), own)
-                self.place[chunk] = len(self.text)
-                self.numbers.extend((good, whole.n_a, whole.n_b, whole.n_groups, whole.n_links))
-                self.text.append(";".join(whole.text))
-                for (x, y), n in whole.pairs.items():
-                    self.pairs.append(x * v.width + y)
-                    self.times.append(n)
-                self.upto.append(len(self.pairs))
+        a, b = v.encode_a([" " + c for c in chunks]), v.encode_b(chunks)
+        contents = [(" " + c).encode() for c in chunks]
+        good = np.ones(len(chunks), np.int64)
+        for i, (x, y, content) in enumerate(zip(a, b, contents, strict=True)):
+            if not b"".join(map(v.a_bytes.__getitem__, x)) == content == b"".join(map(v.b_bytes.__getitem__, y)):
+                good[i], a[i], b[i], contents[i] = 0, [], [], b""
+        size = np.fromiter(map(len, contents), np.int64, len(contents))
+        limits = np.cumsum(size)
+        (ids_a, n_a), (ids_b, n_b) = flattened(a), flattened(b)
+        ends_a, ends_b = (np.cumsum(of[ids]) for of, ids in zip(self.lengths, (ids_a, ids_b), strict=True))
+        # Tokens overlap in just one stretch, which ends where one of them does.
+        stretches, groups = np.union1d(ends_a, ends_b), np.intersect1d(ends_a, ends_b, assume_unique=True)
+        of_a, of_b = np.searchsorted(ends_a, stretches), np.searchsorted(ends_b, stretches)
+        self.pairs.frombytes((ids_a[of_a] * v.width + ids_b[of_b]).tobytes())
+        n_links, n_groups = (np.diff(np.searchsorted(x, limits, "right"), prepend=0) for x in (stretches, groups))
+        start = len(self.text)
+        self.place.update(zip(chunks, range(start, start + len(chunks)), strict=True))
+        self.numbers.frombytes(np.stack([good, n_a, n_b, n_groups, n_links], axis=1).tobytes())
+        self.upto.frombytes((self.upto[-1] + np.cumsum(n_links)).tobytes())
+        # A group's ids of the one side stand before those of the other.
+        side = np.concatenate([2 * np.searchsorted(groups, ends_a), 2 * np.searchsorted(groups, ends_b) + 1])
+        order = np.argsort(side, kind="stable")
+        last = (np.isin(ends, groups, assume_unique=True).astype(np.int64) for ends in (ends_a, ends_b))
+        shown = np.concatenate([d[x, i] for d, x, i in zip(self.decimals, last, (ids_a, ids_b), strict=True)])[order].tolist()
+        at = 0
+        for upto in np.cumsum(n_a + n_b).tolist():
+            self.text.append("".join(shown[at:upto]))
+            at = upto
 
 
 @lru_cache(maxsize=1)
@@ -259,7 +296,7 @@ def _align(a_path: str, b_path: str):
         numbers = np.stack([np.bincount(text, known[own, k], minlength=len(texts)) for k in range(1, 5)], axis=1)
         numbers = numbers.astype(np.int64) * good[:, None]
         digests = [
-            hashlib.sha256(";".join([memory.text[place(c)] for c in some]).encode()).hexdigest() if ok and some else ""
+            hashlib.sha256("".join([memory.text[place(c)] for c in some])[:-1].encode()).hexdigest() if ok and some else ""
             for some, ok in zip(chunks, good.tolist(), strict=True)
         ]
         # Distinct chunks of each good text, then their pairs.
@@ -271,7 +308,7 @@ def _align(a_path: str, b_path: str):
         at = np.arange(size.sum()) + np.repeat(upto[own] - (np.cumsum(size) - size), size)
         span = len(memory.vocabularies.a_bytes) * memory.vocabularies.width
         keyed = np.repeat(text, size) * span + np.frombuffer(memory.pairs, np.int64)[at]
-        times = np.frombuffer(memory.times, np.int64)[at] * np.repeat(often, size)
+        times = np.repeat(often, size)
         pairs, group = np.unique(keyed, return_inverse=True)
         times = np.bincount(group, times, minlength=len(pairs)).astype(np.int64)
         text, pairs = np.divmod(pairs, span)
@@ -281,7 +318,6 @@ def _align(a_path: str, b_path: str):
         memory = remembered(a_path, b_path)
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            # Long chunks would fill the memory.
             if batch.num_rows:
                 others = [batch.column(i) for i in range(batch.num_columns - 1)]
                 columns = batch_stats(memory, texts)
@@ -294,7 +330,7 @@ def _align(a_path: str, b_path: str):
 def range_ends(text: str, size: int) -> list[tuple[int, int]]:
     """Where ranges of about `size` characters end, for the one tokenizer and for the other: behind a character
     that isn't white space, at white space or (only the first, behind a letter) at a sign, and at a space."""
-    out, at = [], 0
+    out, at, size = [], 0, max(size, 1)
     while at + size < len(text):
         a = at + size
         while a < len(text) and not (
