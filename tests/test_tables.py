@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests.conftest import plan, rows
 from wattloom.operators.keys import upsert_frame
 from wattloom.operators.slices import latest_slice
+from wattloom.sources.snapshots import Conflict, Snapshots
 from wattloom.sources.tables import Tables
 
 SCHEMA = "k INT, day DATE, ingested_at TIMESTAMP, event_id STRING, v INT"
@@ -86,12 +87,25 @@ def test_upsert_needs_a_date_partition(tables):
         tables.upsert("s.t", df.withColumn("day", F.lit("x")), ["k"], "day")
 
 
-def test_upsert_prunes_the_target_at_run_time(tables):
-    df = batch(tables.spark, (1, "2026-01-01", "2026-01-01 00:00:00", 1))
-    tables.upsert("s.t", df, ["k"], "day")
-    source = tables.read("s.t")  # nothing selective about it
-    merged = upsert_frame(tables._touched("s.t", "day", source), source, ["k"])
-    assert "dynamicpruning" in plan(merged)
+def test_only_the_days_asked_for_are_listed(tables):
+    days = ["2026-01-01", "2026-01-02", "2026-01-03"]
+    tables.upsert("s.t", batch(tables.spark, *[(i, d, f"{d} 00:00:00", i) for i, d in enumerate(days)]), ["k"], "day")
+    some = tables.read("s.t", ["2026-01-02", "2027-01-01"])
+    assert rows(some, "k") == [(1,)]
+    assert all("day=2026-01-02" in f for f in some.inputFiles())
+    assert tables.read("s.t", []).count() == 0
+
+
+def test_rows_without_a_day_are_merged(tables):
+    def undated(k, v):
+        return batch(tables.spark, (k, "2026-01-01", "2026-01-01 00:00:00", v)).withColumn("day", F.lit(None).cast("date"))
+
+    tables.upsert("s.t", batch(tables.spark, (0, "2026-01-01", "2026-01-01 00:00:00", 0)), ["k"], "day")
+    for k in (1, 2):
+        tables.upsert("s.t", undated(k, 10 * k), ["k"], "day")
+    assert rows(tables.read("s.t"), "k", "day", "v") == sorted(
+        [(0, date(2026, 1, 1), 0), (1, None, 10), (2, None, 20)], key=repr
+    )
 
 
 def test_the_newest_day_comes_from_folder_names(tables):
@@ -141,25 +155,69 @@ def test_a_column_keeps_its_type(tables):
     assert rows(tables.read("s.t"), "n", "more") == sorted([(0, None), (1, None), (0, "x"), (1, "x")], key=repr)
 
 
-def test_a_run_that_dies_between_delete_and_rename_is_completed(tables, monkeypatch):
+def test_readers_see_a_version_until_the_switch(tables, monkeypatch):
     spark, day = tables.spark, "2026-01-01"
     tables.upsert("s.t", batch(spark, *[(k, day, f"{day} 00:00:00", k) for k in range(5)]), ["k"], "day")
-    real = Tables.replace_partitions
+    before = tables.read("s.t")
+    old = [(k, k) for k in range(5)]
+    seen = []
 
-    def dies(self, name, df, partition_by, sort_by=None):
-        df.count()
-        gone = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/day={day}")
-        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    def dies(self, manifest):
+        # All files are written, and nothing has happened to the table.
+        seen.append(rows(Tables(spark, tables.root).read("s.t"), "k", "v"))
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(Tables, "replace_partitions", dies)
-    with pytest.raises(RuntimeError):
+    with monkeypatch.context() as patched, pytest.raises(RuntimeError):
+        patched.setattr(Snapshots, "_put", dies)
         tables.upsert("s.t", batch(spark, (1, day, "2026-01-02 00:00:00", 11)), ["k"], "day")
-    assert tables.read("s.t").count() == 0
-    monkeypatch.setattr(Tables, "replace_partitions", real)
+    assert seen == [old] == [rows(before, "k", "v")]
     other = Tables(spark, tables.root)  # as a new run, with a batch of its own
     other.upsert("s.t", batch(spark, (7, "2026-02-01", "2026-02-01 00:00:00", 7)), ["k"], "day")
-    assert rows(other.read("s.t"), "k", "v") == [(0, 0), (1, 11), (2, 2), (3, 3), (4, 4), (7, 7)]
+    other.upsert("s.t", batch(spark, (2, day, "2026-01-02 00:00:00", 22)), ["k"], "day")
+    assert rows(other.read("s.t"), "k", "v") == [(0, 0), (1, 1), (2, 22), (3, 3), (4, 4), (7, 7)]
+    assert rows(before, "k", "v") == old, "a frame stays on its version"
+
+
+def test_two_writers(tables, monkeypatch):
+    """Of two upserts at once the second builds on the first, unless both touch one day."""
+    spark = tables.spark
+    one = lambda k, d, v: batch(spark, (k, d, "2026-01-05 00:00:00", v))
+    tables.upsert("s.t", one(0, "2026-01-01", 0), ["k"], "day")
+    real = Tables._commit
+
+    def late(rows_of_other):
+        def commit(self, *args, **kwargs):
+            monkeypatch.setattr(Tables, "_commit", real)
+            Tables(spark, self.root).upsert("s.t", rows_of_other, ["k"], "day")
+            return real(self, *args, **kwargs)
+
+        monkeypatch.setattr(Tables, "_commit", commit)
+
+    late(one(1, "2026-01-02", 1))
+    tables.upsert("s.t", one(2, "2026-01-03", 2), ["k"], "day")
+    assert rows(tables.read("s.t"), "k", "v") == [(0, 0), (1, 1), (2, 2)]
+    late(one(3, "2026-01-03", 3))
+    with pytest.raises(Conflict):
+        tables.upsert("s.t", one(4, "2026-01-03", 4), ["k"], "day")
+    assert rows(tables.read("s.t"), "k", "v") == [(0, 0), (1, 1), (2, 2), (3, 3)]
+
+
+def test_the_ledger_and_expiry(tables):
+    spark = tables.spark
+    days = ["2026-01-01", "2026-01-02", "2026-01-03"]
+    tables.overwrite("s.t", batch(spark, *[(i, d, f"{d} 00:00:00", i) for i, d in enumerate(days)]), "day")
+    first, changed = tables.changed_days("s.t")
+    assert changed == days
+    assert tables.changed_days("s.t", first) == (first, [])
+    tables.replace_partitions("s.t", batch(spark, (9, days[0], f"{days[0]} 00:00:00", 9)), "day", days=days[:2])
+    assert tables.changed_days("s.t", first) == (first + 1, days[:2])
+    assert rows(tables.read("s.t"), "k") == [(2,), (9,)]
+    tables.append("s.t", batch(spark, (5, days[2], f"{days[2]} 00:00:00", 5)), "day")
+    assert tables.changed_days("s.t", first + 1)[1] == days[2:]
+    tables.overwrite("s.t", batch(spark, (8, days[1], f"{days[1]} 00:00:00", 8)), "day")
+    assert tables.snapshots("s.t").expire(keep=1) == 3
+    assert rows(tables.read("s.t"), "k") == [(8,)]
+    assert tables.changed_days("s.t", first)[1] == days
 
 
 def test_dates_before_the_common_era_are_upserted_too(tables):

@@ -890,6 +890,16 @@ ORACLES = {
         FROM (SELECT 1 FROM feature_rows LIMIT 1)""",
 }
 
+# Other ways to the same rows.
+ORACLES["upsert_null_day"] = ORACLES["upsert_table"]
+ORACLES["features_corrected"] = ORACLES["features"]
+ORACLES["gold_from_ledger"] = """
+    SELECT country_code, hour_utc, temperature_c, round(total_generation_mw, 2) AS total_generation_mw FROM grid_fact"""
+ORACLES["fact_days_emptied"] = """
+    SELECT country_code, hour_utc, fuel_key, round(value_mw, 2) AS value_mw FROM fuel_fact
+    WHERE CAST(hour_utc AS DATE) <> (
+        SELECT d[len(d) // 2 + 1] FROM (SELECT list_sort(list(DISTINCT CAST(hour_utc AS DATE))) AS d FROM fuel_fact))"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: _with(sql) for name, sql in ORACLES.items()}

@@ -370,6 +370,16 @@ def _(lk: Layers) -> DataFrame:
     return lk.tables.read(name).select(*_CARBON_SCALARS, _carbon_mix().alias("mix_items"))
 
 
+@query("upsert_null_day")
+def _(lk: Lake) -> DataFrame:
+    """The same deliveries, with half of the regions in the partition of rows without a day."""
+    older, newer = _deliveries(lk)
+    name, day = "upserted.undated", F.when(F.col("region_id") % 2 == 0, F.to_date("period_start"))
+    for batch in (newer, older, newer):
+        lk.tables.upsert(name, batch.withColumn("date_utc", day), CARBON.key, "date_utc")
+    return lk.tables.read(name).select(*_CARBON_SCALARS, _carbon_mix().alias("mix_items"))
+
+
 @query("upsert_forecast")
 def _(lk: Layers) -> DataFrame:
     target = lk.forecast()
@@ -449,6 +459,40 @@ def _(lk: Lake) -> DataFrame:
     )
 
 
+@query("fact_days_emptied")
+def _(lk: Lake) -> DataFrame:
+    """The fuel fact before and after the generation of its middle day has been withdrawn."""
+    tables = _small_gold(lk, "emptied")
+    refresh.refresh_fact_fuel(tables, RUN)
+    days = tables.changed_days("gold.fact_generation_fuel_hourly")[1]
+    generation = f"silver.{GENERATION.table}"
+    none = tables.read(generation).filter(F.lit(False))
+    tables.replace_partitions(generation, none, refresh.DAY, days=[days[len(days) // 2]])
+    refresh.refresh_fact_fuel(tables, RUN)
+    fact = tables.read("gold.fact_generation_fuel_hourly")
+    return rounded(fact.select("country_code", "hour_utc", "fuel_key", "value_mw"), 2, "value_mw")
+
+
+@query("gold_from_ledger")
+def _(lk: Lake) -> DataFrame:
+    """The grid fact from two rounds of jobs that find out by themselves what has changed: first without the
+    generation of the last days, and without the weather of every third day."""
+    tables = _small_gold(lk, "ledger")
+    day = F.col(refresh.DAY)
+    missing = [(GENERATION, day >= F.to_date(at(SPLIT))), (WEATHER, F.dayofmonth(day) % 3 == 0)]
+    for feed, lacks in missing:
+        tables.overwrite(f"silver.{feed.table}", lk.silver(feed).filter(~lacks), refresh.DAY)
+    for late in (None, *missing):
+        if late:
+            feed, lacks = late
+            tables.replace_partitions(f"silver.{feed.table}", lk.silver(feed).filter(lacks), refresh.DAY)
+        refresh.refresh_grid_state(tables)
+        refresh.refresh_fact_grid(tables)
+    return tables.read("gold.fact_grid_hourly").select(
+        "country_code", "hour_utc", "temperature_c", F.round("total_generation_mw", 2).alias("total_generation_mw")
+    )
+
+
 @query("orphan_fuels")
 def _(lk: Layers) -> DataFrame:
     _, orphans = facts.fact_generation_fuel(lk.silver(GENERATION), lk.dim_fuel_type())
@@ -915,6 +959,23 @@ def _(lk: Lake) -> DataFrame:
     return rounded(rows, 6, *_MEANS)
 
 
+@query("features_corrected")
+def _(lk: Lake) -> DataFrame:
+    """The feature table from two runs: the grid fact of the first lacks a day and is wrong on another."""
+    tables, name = Tables(lk.spark, f"{lk.tables.root}/corrected"), "gold.fact_grid_hourly"
+    grid = lk.fact_grid()
+    days = lk.tables.changed_days(name)[1]
+    gap, wrong = F.lit(days[len(days) // 2]).cast("date"), F.lit(days[len(days) // 3]).cast("date")
+    day, carbon = F.col(refresh.DAY), "estimated_lifecycle_gco2_per_kwh"
+    off = F.when(day == wrong, F.col(carbon) + 50).otherwise(F.col(carbon))
+    first = grid.filter(day != gap).withColumn(carbon, off.cast(grid.schema[carbon].dataType))
+    tables.overwrite(name, first, refresh.DAY)
+    refresh.refresh_features(tables, "incremental")
+    tables.replace_partitions(name, grid.filter(day.isin(gap, wrong)), refresh.DAY)
+    refresh.refresh_features(tables, "incremental")
+    return rounded(tables.read("gold.feature_carbon_forecast").drop(refresh.DAY), 6, *_MEANS)
+
+
 @query("features_newer")
 def _(lk: Lake) -> DataFrame:
     rows = lk.features()

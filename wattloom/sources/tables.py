@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
-from datetime import date
-
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattloom.operators.keys import latest_per_key, past_newest, upsert_frame
 from wattloom.operators.slices import Day
+from wattloom.sources.snapshots import ISO, NULL_FOLDER, WRITE, Days, Manifest, Snapshots
+
+# Tables that are read as file streams are plain folders.
+STREAMED = "bronze."
 
 
 class Tables:
@@ -18,7 +20,8 @@ class Tables:
 
     A table's schema is kept beside it, so a table without rows can be read and a read needs no
     inference job. Tables with a partition column are written through a rebalance, which gives a
-    partition one writer while it is small and several once it is large.
+    partition one writer while it is small and several once it is large. Those partitioned by a date
+    have versions (see `snapshots`), but for bronze.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -78,22 +81,31 @@ class Tables:
                     raise ValueError(f"{name}.{field.name} is {was}, not {now}")
         return T.StructType(stored.fields + [f for f in schema.fields if f.name not in stored.names])
 
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(self.schema(name)).parquet(self.path(name))
+    def snapshots(self, name: str) -> Snapshots:
+        return Snapshots(self.spark, self.path(name))
+
+    def _snapshot(self, name: str) -> Manifest | None:
+        """The current version of a table that has versions."""
+        return None if name.startswith(STREAMED) else self.snapshots(name).current()
+
+    def read(self, name: str, days: Days | None = None) -> DataFrame:
+        """The table, or only the partitions of `days`: no others are listed. Of a table with versions, the
+        version that is current now, whatever is written while the frame is in use."""
+        schema, now = self.schema(name), self._snapshot(name)
+        if now is None:
+            return self.spark.read.schema(schema).parquet(self.path(name))
+        folders = now.folders(self.path(name), days)
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        whole = T.StructType([*schema.fields, T.StructField(WRITE, T.StringType())])
+        found = self.spark.read.schema(whole).option("basePath", self.path(name)).parquet(*folders)
+        return found.select(schema.names)
 
     def day(self, name: str, column: str) -> Day:
-        """The table's date partition column with its newest day, from the names of the table's
-        folders: no file is opened."""
-        sc = self.spark.sparkContext
-        hadoop = sc._jvm.org.apache.hadoop.fs
-        root = hadoop.Path(self.path(name))
-        system = root.getFileSystem(sc._jsc.hadoopConfiguration())
-        found = system.globStatus(hadoop.Path(root, f"{column}=????-??-??")) or []
-        for folder in sorted((status.getPath() for status in found), key=lambda p: p.getName(), reverse=True):
-            # A run that died may have left a folder without files.
-            if any(status.getLen() for status in system.listStatus(folder)):
-                return Day(column, date.fromisoformat(folder.getName().removeprefix(f"{column}=")))
-        return Day(column)
+        """The table's date partition column with its newest day, from the table's manifest: no file is
+        opened."""
+        now = self._snapshot(name)
+        return Day(column, None if now is None else now.newest())
 
     def register_views(self, names: list[str]) -> None:
         """Temp views `layer_name`, for SQL and for the catalog's listings."""
@@ -111,6 +123,33 @@ class Tables:
         spread = df.hint("rebalance", *by).sortWithinPartitions(*by, *(sort_by or []))
         return spread.write.mode(mode).partitionBy(*by)
 
+    def _versioned(self, name: str, df: DataFrame, partition_by: str | list[str] | None) -> bool:
+        return (
+            isinstance(partition_by, str)
+            and not name.startswith(STREAMED)
+            and isinstance(df.schema[partition_by].dataType, T.DateType)
+        )
+
+    def _commit(
+        self, name: str, df: DataFrame, day: str, sort_by: list[str] | None, replaced: Days | None, base: Manifest | None,
+        add: bool = False,
+    ) -> None:
+        """Writes `df` to a folder of its own and makes it the partitions of its days, and of `replaced`
+        (None: of the whole table); with `add`, besides what those partitions hold already."""
+        versions = self.snapshots(name)
+        write = versions.new_write()
+        self._writer(df, "errorifexists", day, sort_by).parquet(versions.folder(write))
+        new = dict.fromkeys(versions.partitions_of(write, day), [write])
+        gone = None if replaced is None else set(replaced)
+
+        def change(parts: dict[str, list[str]]) -> dict[str, list[str]]:
+            if add:
+                return parts | {n: parts.get(n, []) + w for n, w in new.items()}
+            return {n: w for n, w in parts.items() if gone is not None and n not in gone} | new
+
+        # What is added can't be in anyone's way.
+        versions.commit(base, day, change, [] if add else None if gone is None else sorted(gone | set(new)))
+
     def overwrite(
         self,
         name: str,
@@ -119,27 +158,38 @@ class Tables:
         sort_by: list[str] | None = None,
     ) -> None:
         """Replaces the table, schema included."""
-        writer = self._writer(df, "overwrite", partition_by, sort_by)
-        writer.option("partitionOverwriteMode", "static").parquet(self.path(name))
+        if self._versioned(name, df, partition_by):
+            # Whatever others do meanwhile is replaced as well.
+            self._commit(name, df, partition_by, sort_by, None, self._snapshot(name))
+        else:
+            writer = self._writer(df, "overwrite", partition_by, sort_by)
+            writer.option("partitionOverwriteMode", "static").parquet(self.path(name))
         self._keep_schema(name, df.schema)
 
     def append(self, name: str, df: DataFrame, partition_by: str | list[str] | None = None) -> None:
         """Appends rows; columns the table lacks are added to it."""
         schema = self._widened(name, df.schema)
-        self._writer(df, "append", partition_by).parquet(self.path(name))
+        if self._versioned(name, df, partition_by):
+            self._commit(name, df, partition_by, None, [], self._snapshot(name), add=True)
+        else:
+            self._writer(df, "append", partition_by).parquet(self.path(name))
         self._keep_schema(name, schema)
 
     def replace_partitions(
-        self, name: str, df: DataFrame, partition_by: str | list[str], sort_by: list[str] | None = None
+        self, name: str, df: DataFrame, partition_by: str | list[str], sort_by: list[str] | None = None, days: Days = ()
     ) -> None:
-        """Replaces only the partitions that occur in `df`; running it again changes nothing.
+        """Replaces only the partitions that occur in `df`, and those of `days`, whether `df` has rows for
+        them or not; running it again changes nothing.
 
-        A crash may leave a partition deleted and not yet replaced, so `df` must be there for the
-        next run to replace it again; see `upsert` for rows that nothing else holds.
+        Of a table without versions a crash may leave a partition deleted and not yet replaced, so `df` must
+        be there for the next run to replace it again.
         """
         schema = self._widened(name, df.schema)
-        writer = self._writer(df, "overwrite", partition_by, sort_by)
-        writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
+        if self._versioned(name, df, partition_by):
+            self._commit(name, df, partition_by, sort_by, days, self._snapshot(name))
+        else:
+            writer = self._writer(df, "overwrite", partition_by, sort_by)
+            writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
         self._keep_schema(name, schema)
 
     def upsert(
@@ -154,48 +204,54 @@ class Tables:
         """Ordered upsert, rewriting only the partitions the source touches.
 
         `partition_by` must be a date that follows from the key, so that a correction lands in
-        the partition of the row it corrects. `days` is a frame with that column that covers the
-        source's dates and is cheaper to read, such as the table the source is computed from;
-        without it the source is computed twice.
+        the partition of the row it corrects; rows without a date are a partition like others. `days` is a
+        frame with that column that covers the source's dates and is cheaper to read, such as the table the
+        source is computed from; without it the source is computed twice.
 
-        The merged partitions are staged before they replace the old ones. If a run dies in
-        between, the next one puts them in place before it does anything else.
+        Readers see the table before or after the upsert. A run that dies leaves it as it was.
         """
         if not isinstance(source.schema[partition_by].dataType, T.DateType):
             raise ValueError(f"{partition_by} must be a date")
         if not self.exists(name):
             self.overwrite(name, latest_per_key(source, keys, order_by), partition_by, keys)
             return
-        self.recover(name)
-        self._widened(name, source.schema)
-        target = self._touched(name, partition_by, source if days is None else days)
-        merged = upsert_frame(target, source, keys, order_by)
-        self.overwrite(f"pending.{name}", merged, partition_by, keys)
-        self._put_text(self._journal_path(name), partition_by)
-        self._finish(name, partition_by, keys)
-
-    def _journal_path(self, name: str) -> str:
-        return f"{self.root}/journal/{name}"
-
-    def _finish(self, name: str, partition_by: str, sort_by: list[str] | None = None) -> None:
-        self.replace_partitions(name, self.read(f"pending.{name}"), partition_by, sort_by)
-        self._put_text(self._journal_path(name), "")
-
-    def recover(self, name: str) -> None:
-        """Completes an upsert that died after its rows were staged."""
-        partition_by = self._text(self._journal_path(name))
-        if partition_by:
-            self._finish(name, partition_by)
-
-    def _touched(self, name: str, day: str, days: DataFrame) -> DataFrame:
-        """The table's partitions for the dates in `days`, pruned at run time.
-
-        The dates are a calendar's worth of rows at most, hence the broadcast. Pruning is only
-        planned for a side with a comparison in it, so the least date there is bounds it.
-        """
-        least = F.date_from_unix_date(F.lit(-80_000_000))
-        dates = days.select(day).filter(F.col(day) >= least).distinct()
-        return self.read(name).join(F.broadcast(dates), day, "left_semi")
+        schema, base = self._widened(name, source.schema), self._snapshot(name)
+        touched = self.touched_days(source if days is None else days, partition_by)
+        merged = upsert_frame(self.read(name, touched), source, keys, order_by)
+        self._commit(name, merged, partition_by, keys, touched, base)
+        self._keep_schema(name, schema)
+
+    @staticmethod
+    def touched_days(df: DataFrame, day: str) -> list[str]:
+        """The dates that occur, by the names of their folders: a calendar's worth at most."""
+        name = F.coalesce(F.col(day).cast("string"), F.lit(NULL_FOLDER))
+        return [n for (n,) in df.select(name).distinct().collect()]
+
+    def days_from(self, name: str, first: str) -> list[str]:
+        """The table's days from one on, and the rows without a date."""
+        now = self._snapshot(name) if self.exists(name) else None
+        return [n for n in now.parts if n == NULL_FOLDER or ISO.fullmatch(n) and n >= first] if now else []
+
+    def changed_days(self, name: str, since: int = 0) -> tuple[int, list[str]]:
+        """The current version, and the days whose rows have been replaced after version `since`."""
+        now = self._snapshot(name)
+        if now is None:
+            raise ValueError(f"{name} has no versions")
+        return now.version, self.snapshots(name).changes(since)
+
+    def digest(self, name: str) -> str:
+        """Of the rows of a small table, in whatever order."""
+        df = self.read(name)
+        mark = F.sum(F.xxhash64(*[F.to_json(F.struct(c)) for c in df.columns]).cast("decimal(38,0)"))
+        return str(tuple(df.agg(F.count(F.lit(1)), mark).first()))
+
+    def mark(self, job: str) -> dict:
+        """What a job has taken in, as it noted with `set_mark`."""
+        text = self._text(f"{self.root}/marks/{job}")
+        return json.loads(text) if text else {}
+
+    def set_mark(self, job: str, seen: dict) -> None:
+        self._put_text(f"{self.root}/marks/{job}", json.dumps(seen))
 
     def append_newer(
         self, name: str, df: DataFrame, ts: str, entity: str, partition_by: str | None = None
