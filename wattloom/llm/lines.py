@@ -3,8 +3,8 @@
 Lines end at a newline. They are compared by their normal form: lower case, runs of white space as one
 space, none at the ends; lines without any other character are left alone. A line's shingles are its
 five-character substrings (a shorter line is its own one shingle). Lines are near if the Jaccard
-similarity of their shingle sets is 0.8 or more. Candidates agree in all four hashes of one of fourteen
-bands, which a pair at the threshold misses with probability (1 - 0.8^4)^14 = 0.0006. All lines that
+similarity of their shingle sets is 0.8 or more. Candidates agree in all six hashes of one of sixteen
+bands, which a pair at the threshold misses with probability (1 - 0.8^6)^16 = 0.008. All lines that
 meet in a band are verified on their real shingles as far as they aren't joined yet. One changed character inside
 a line is caught from 49 characters on. Each component keeps
 the line that comes first by document id and line number; the rest go.
@@ -30,8 +30,8 @@ from wattloom.llm.components import components
 from wattloom.llm.groups import whole_groups
 
 SHINGLE = 5
-ROWS = 4
-BANDS = 14
+ROWS = 6
+BANDS = 16
 SIMILARITY = 0.8
 LINES_A_BLOCK = 1000
 CHARACTERS_AT_ONCE = 131_072
@@ -289,14 +289,19 @@ def line_decisions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` with the text of each row less the lines that go; a null text stays null."""
-    own, hashed, gone = (unique_name(docs, n) for n in ("_own", "_content", "_gone"))
+    own, hashed, gone, split = (unique_name(docs, n) for n in ("_own", "_content", "_gone", "_split"))
     decisions = line_decisions(docs, doc_id, text).select(
         F.col("doc_id").alias(own), F.col("content").alias(hashed), F.col("dropped").alias(gone)
     )
-    left = F.filter(F.split(F.col(text), "\n", -1), lambda _, nth: ~F.array_contains(gone, nth))
+    # By difference of positions: one hash set a text, however many lines go.
+    stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(gone))
+    left = F.transform(stay, lambda nth: F.get(F.col(split), nth))
     changed = F.when(F.col(gone).isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
     on = F.col(doc_id).eqNullSafe(F.col(own)) & (F.xxhash64(whole_text(text)) == F.col(hashed))
-    return docs.join(decisions, on, "left").withColumn(text, changed).select(*docs.columns)
+    found = docs.join(decisions, on, "left")
+    # A column of its own, as the lambda would split the text for each line.
+    found = found.withColumn(split, F.when(F.col(gone).isNotNull(), F.split(F.col(text), "\n", -1)))
+    return found.withColumn(text, changed).select(*docs.columns)
 
 
 def with_length(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
