@@ -92,9 +92,8 @@ def test_long_texts_in_blocks_and_windows(spark, monkeypatch):
         for m, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             counted[m] += n
     words = text.split()
-    expected = Counter(words) + Counter(zip(words, words[1:], strict=False)) + Counter(["w1", "v1", ("w1", "v1")])
-    assert sorted(counted.values()) == sorted([*(Counter(words) + Counter(zip(words, words[1:]))).values(), 1, 1, 1])
-    assert sum(counted.values()) == sum(expected.values())
+    expected = Counter(words) + Counter(zip(words, words[1:])) + Counter(zip(words, words[1:], words[2:]))
+    assert sorted(counted.values()) == sorted([*expected.values(), 1, 1, 1])
 
 
 def test_long_text(spark):
