@@ -5,9 +5,9 @@ and tabs. Everything is counted per language. A word's fingerprint is the polyno
 the polynomial of its words' fingerprints, both modulo 2^64 and both for all ranges at once from prefix
 sums in numpy. Three steps:
 
-1. Words, pairs and triples are counted by fingerprint. The frequent ones go into a Bloom filter, whose size
-   follows their number up to a fixed most; past that it only lets more through.
-2. Those in the filter, and longer phrases whose triples all are, are counted by fingerprint, with a pointer to
+1. Words and pairs are counted by fingerprint. The frequent ones go into a Bloom filter, whose size follows
+   their number up to a fixed most; past that it only lets more through.
+2. Phrases of up to five words whose pairs all are in the filter are counted by fingerprint, with a pointer to
    one occurrence (the text's hash, and where in it). A second, independent fingerprint tells apart what
    collides under the first, so counts are those of different texts.
 3. Frequent phrases only are read out of the text at their pointers, hashed again to make sure that they are
@@ -38,10 +38,8 @@ LONGEST = 5
 FIRST = 2000
 BLOCK_BYTES = 1 << 20
 WINDOW_WORDS = 1 << 19
-COUNTED_AT_ONCE = 3_000_000
+COUNTED_AT_ONCE = 4_000_000
 POINTED_AT_ONCE = 1_000_000
-# Words a phrase that is counted without looking at its parts.
-COUNTED = 3
 ROWS_A_BATCH = 200_000
 # The filter: 16 bits a frequent fingerprint, 32 MB at most.
 BITS_EACH, MOST_BITS, LEAST_BITS, PROBES = 16, 1 << 28, 1 << 12, 3
@@ -165,7 +163,7 @@ def fingerprints(bits: int = 64) -> tuple[Fingerprint, Fingerprint]:
 
 
 def _count(bits: int):
-    """Step 1: fingerprints of up to three words with their number in a share of the task."""
+    """Step 1: fingerprints of words and pairs with their number in a share of the task."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark, _ = fingerprints(bits)
@@ -184,10 +182,9 @@ def _count(bits: int):
                 own = hashes[first:reach]
                 seed = seeds[words.text[first:reach]]
                 held.append(mark.of_phrases(own, seed, 1)[: end - first])
-                piece = words.piece[first:reach]
-                for n in range(2, min(COUNTED, len(own)) + 1):
-                    same = (piece[n - 1 :] == piece[: 1 - n])[: end - first]
-                    held.append(mark.of_phrases(own, seed, n)[: end - first][same])
+                if len(own) > 1:
+                    same = words.piece[first + 1 : reach] == words.piece[first : reach - 1]
+                    held.append(mark.of_phrases(own, seed, 2)[: end - first][same[: end - first]])
                 if sum(map(len, held)) >= COUNTED_AT_ONCE:
                     yield from summed()
         yield from summed()
@@ -265,19 +262,18 @@ def _point(bits: int, shared):
             seconds = check.of_words(words.data, words.starts, words.ends)
             for first, end, reach in words.windows():
                 seed, piece = seeds[words.text[first:reach]], words.piece[first:reach]
+                alive = np.ones(0, bool)
                 for n in range(1, min(LONGEST, reach - first) + 1):
                     found = mark.of_phrases(hashes[first:reach], seed, n)
                     if n == 1:
                         may = in_filter(bitmap, found)
-                    elif n <= COUNTED:
-                        may = piece[n - 1 :] == piece[: 1 - n]
-                        if n > 2:
-                            may &= alive[:-1] & alive[1:]
+                    elif n == 2:
+                        may = piece[1:] == piece[:-1]
                         may[may] = in_filter(bitmap, found[may])
-                        counted = alive = may
+                        pairs = alive = may
                     else:
-                        # All of its triples: the phrase one word shorter, and the last triple.
-                        may = alive = alive[:-1] & counted[n - COUNTED :]
+                        # All of its pairs: the phrase one word shorter, and the last pair.
+                        may = alive = alive[:-1] & pairs[n - 2 :]
                     at = np.flatnonzero(may[: end - first])
                     own = words.text[first + at]
                     start = words.starts[first + at]
