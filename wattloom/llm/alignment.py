@@ -42,7 +42,7 @@ from wattloom.llm.subwords import byte_characters
 
 RANGE_BYTES = 65_536
 FAN = 8
-MEMO = 800_000
+MEMO = 400_000
 BROADCAST_PAIRS = 2_000_000
 WORD_MARK = "▁"
 
@@ -228,8 +228,8 @@ class Chunks:
         if max(len(self.place), len(self.pairs) // 4) > self.limit:
             self.forget()
         new = list(dict.fromkeys(c for chunks in texts for c in chunks if c not in self.place))
-        for at in range(0, len(new), 20_000):
-            self._learn(new[at : at + 20_000])
+        for at in range(0, len(new), 5_000):
+            self._learn(new[at : at + 5_000])
 
     def _learn(self, chunks: list[str]) -> None:
         v = self.vocabularies
