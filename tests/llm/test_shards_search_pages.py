@@ -1,6 +1,8 @@
 """Shards, exact search and page wrappers against plain versions."""
 
+import json
 import math
+import time
 import zlib
 
 import numpy as np
@@ -102,6 +104,8 @@ def test_pruning_keeps_the_best():
         assert [(-x, i) for x, i in zip(s[20 * n : 20 * n + 20], c[20 * n : 20 * n + 20], strict=True)] == want
 
 
+DIGITS = str.maketrans("0123456789", "abcdefghij")
+
 # --- pages --------------------------------------------------------------------------------------
 
 FULL = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="home">
@@ -205,3 +209,65 @@ def test_names_of_containers_are_hints():
     named = [f"<article><p>A {n}</p><div class=notice>{{}}</div><div class=comments>so {n}</div></article>" for n in range(3)]
     assert texts_of([x.format("all the same") for x in named]) == ["A 0", "A 1", "A 2"]
     assert texts_of([x.format(f"differs {n}") for n, x in enumerate(named)]) == [f"A {n}\ndiffers {n}" for n in range(3)]
+
+
+def text_of(page):
+    return texts_of([page])[0]
+
+
+def test_places_come_from_the_page_itself():
+    # In lower case this letter is two characters.
+    assert text_of("\u0130" * 60 + "<script>var x = '<p>';</SCRIPT ><p>one</p><p>two</p>").split("\n")[1:] == ["one", "two"]
+    assert text_of("<p>a</p><script>x</scriptx></script><p>b</p><style>never closed <p>c") == "a\nb"
+
+
+def test_deep_nesting():
+    for levels in (1_000, 5_000):
+        page = "<div>" * levels + "<nav><ul><li>menu</li></ul></nav>deep <p>text</p><aside>side</aside>" + "</div>" * levels + "<p>after"
+        assert text_of(page) == "deep\ntext\nafter"
+    article = "<article>" + "<div class=content>" * 500 + "<p>deep</p><form>go</form>" + "</div>" * 500 + "</article><p>out"
+    assert text_of(article) == "deep"
+    assert text_of("<x>t" * 50_000) == "\n".join("t" * 50_000)
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["a<" * 500_000, '<a "' * 250_000, "<!" * 500_000, "<a " + "x" * 1_000_000, "<p>x<b '" * 100_000, "<a \"<b'" * 100_000],
+    ids=["open", "quote", "declaration", "attribute", "paragraphs", "quotes"],
+)
+def test_a_million_characters_of_broken_markup(page):
+    start = time.monotonic()
+    found = text_of(page)
+    assert time.monotonic() - start < 30
+    # Of quotes that close a later tag's quote, the text between is part of a tag.
+    assert found[:1] == {"<!": "", "<p": "x"}.get(page[:2], "a" if page[0] == "a" else "<")
+
+
+def test_tags_that_never_end_are_text():
+    assert text_of("<p>a</p><p>1 <b 'x<p>b</p>") == "a\n1 <b 'x\nb"
+
+
+@pytest.mark.parametrize(
+    "named",
+    [lambda i: f"id=post{i}", lambda i: f"class=post{i}", lambda i: f"class=css-{i}k{i}z", lambda i: f"class='{str(i).translate(DIGITS)}'"],
+    ids=["id", "number", "hash", "word"],
+)
+def test_pages_of_a_host_with_names_of_their_own(named):
+    page = "<div class=top>Site</div><div {0}><p>Text {1}</p><p>more {1}</p></div><p class=more>Read more from us</p>"
+    start = time.monotonic()
+    whole = None
+    for n in range(5_000):
+        whole = pages.folded(whole, pages.page_wrapper(page.format(named(n), n)))
+    verdicts = pages.judged(whole["items"])
+    for n in (0, 70, 4_999):
+        assert pages.extract(page.format(named(n), n), verdicts) == f"Text {n}\nmore {n}"
+    assert len(json.dumps(whole)) < 100_000
+    assert time.monotonic() - start < 30
+
+
+def test_long_lists_without_order_keep_all_text():
+    kinds = ("<p>{}</p>", "<h2>{}</h2>", "<ul><li>{}</ul>", "<div>{}</div>")
+    page = "".join(kinds[i * i * 7 // 5 % 4].format(f"t{i}") for i in range(5_000))
+    other = "".join(kinds[i * i * 3 // 7 % 4].format(f"s{i}") for i in range(5_000))
+    found = texts_of([f"<article>{x}</article>" for x in (page, other)])
+    assert [x.split("\n") for x in found] == [[f"{k}{i}" for i in range(5_000)] for k in "ts"]

@@ -19,7 +19,9 @@ without text there takes what lies in elements named as the body, and one withou
 
 Null and empty pages, and pages without main text, give an empty text. A page whose URL has no host falls
 under the host "". Broken nesting is closed as browsers do for the common cases. Repeated rows give the
-same text. Without rows the result is empty.
+same text. Without rows the result is empty. Very long pages and very deep nesting cost time in proportion to
+their length; list lengths, names and levels of a wrapper are bounded, by becoming general, not by leaving
+text out. Columns other than the three named are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -41,6 +43,10 @@ from wattloom.llm.common import whole_text, written
 SHARES = 32
 LONGEST_RUN = 6
 TELLING_PAGES = 3
+DEEPEST = 100
+DEEPEST_MARKED = 120
+LONGEST_LIST = 400
+MOST_NAMED = 64
 
 # Elements of the HTML standard by how they take part.
 RAW = {"script", "style", "noscript", "template", "iframe", "svg", "textarea", "title", "head", "object"}
@@ -75,12 +81,17 @@ CLOSES = {
 # These hold what an omitted end tag can't reach over.
 HOLDS = {"ul", "ol", "dl", "table", "div", "article", "section", "body", "td", "th", "li", "main", "aside", "nav", "form"}
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<|[^<]+", re.S
-)
-ATTRIBUTE = re.compile(r"""([A-Za-z_:][-\w:.]*)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
+SKIPPED = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)", re.S)
+NAME = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*+)")
+REST = re.compile(r"""(?:[^>"']|"[^"]*+"|'[^']*+')*+>""")
+SPECIAL = re.compile(r"""[<>"']""")
+RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I | re.A) for name in RAW}
+ATTRIBUTE = re.compile(r"""(?<![-\w:.])([A-Za-z_:][-\w:.]*+)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++)""")
+LONG_NUMBER = re.compile(r"\d{3,}$")
+GENERATED = re.compile(r"[A-Za-z]*\d+[A-Za-z][A-Za-z0-9]*")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+\d*|[A-Z]+\d*(?![a-z])")
 TEXT = "#"
+MARKS = {"+", "~", "-", "?"}
 
 
 @dataclass
@@ -111,10 +122,12 @@ def naming(said: str) -> set[str]:
 
 def key_of(tag: str, attributes: str) -> str:
     """The tag, with a mark for what its class, id and role say it is for: + main text, ~ named as main
-    text, - apart from it, ? named as apart from it."""
+    text, - apart from it, ? named as apart from it. Class words are part of the key, without long numbers;
+    ids and words that look generated (letters behind digits) aren't, as pages of one template differ in them."""
     found = {k.lower(): html.unescape(v.strip("\"'")) for k, v in ATTRIBUTE.findall(attributes)} if attributes else {}
     said = f"{found.get('class', '')} {found.get('id', '')}"
-    names = {p.lower() for p in NAME_PARTS.findall(said)}
+    words = GENERATED.sub("", found.get("class", ""))
+    names = {LONG_NUMBER.sub("", p.lower()) for p in NAME_PARTS.findall(words)}
     plain = naming(said)
     apart = tag in APART or found.get("role", "").lower() in APART_ROLES or bool(plain & COMMENT_NAMES)
     hinted = bool(plain & APART_NAMES)
@@ -133,40 +146,82 @@ def key_of(tag: str, attributes: str) -> str:
     return f"{tag}{mark}:{'.'.join(sorted(names))}"
 
 
+def _closing(page: str, start: int) -> dict[int, int]:
+    """For each < from `start` on: behind the > that ends a tag which opens there, or -1. One pass from the
+    page's end, whatever is left open."""
+    ends, plain, double, single = {}, -1, -1, -1
+    for found in reversed(list(SPECIAL.finditer(page, start))):
+        sign = found.group()
+        if sign == ">":
+            plain = found.end()
+        elif sign == '"':
+            plain, double = double, plain
+        elif sign == "'":
+            plain, single = single, plain
+        else:
+            ends[found.start()] = plain
+    return ends
+
+
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
-    """(kind, name, rest): 'open', 'close' or 'text'; comments and raw elements are skipped."""
-    at, lower = 0, None
+    """(kind, name, rest): 'open', 'close' or 'text'; comments and raw elements are skipped. A < that opens
+    no tag, or one that never ends, is text."""
+    at, closing = 0, None
     while at < len(page):
-        found = TOKEN.match(page, at)
-        at = found.end()
-        name = found.group(2)
-        if name is None:
-            piece = found.group()
-            if not piece.startswith(("<!", "<?")):
-                yield "text", "", piece
+        start = page.find("<", at)
+        if start != at:
+            start = len(page) if start < 0 else start
+            yield "text", "", page[at:start]
+            at = start
+            continue
+        found = NAME.match(page, at)
+        if found is None:
+            skipped = SKIPPED.match(page, at)
+            if skipped is None:
+                yield "text", "", "<"
+            at = at + 1 if skipped is None else skipped.end()
             continue
-        name = name.lower()
+        if closing is None:
+            rest = REST.match(page, found.end())
+            end = rest.end() if rest else -1
+            if rest is None:
+                closing = _closing(page, at)
+        else:
+            end = closing[at]
+        if end < 0:
+            yield "text", "", "<"
+            at += 1
+            continue
+        name, rest, at = found.group(2).lower(), page[found.end() : end - 1], end
         if found.group(1):
             yield "close", name, ""
-        elif name in RAW and name != "head" and not found.group(3).endswith("/"):
-            lower = page.lower() if lower is None else lower
-            end = lower.find(f"</{name}", at)
-            if end < 0:
-                at = len(page)
-            else:
-                after = page.find(">", end)
-                at = len(page) if after < 0 else after + 1
+        elif name in RAW and name != "head" and not rest.endswith("/"):
+            ended = RAW_ENDS[name].search(page, at)
+            after = page.find(">", ended.end()) if ended else -1
+            at = len(page) if after < 0 else after + 1
         else:
-            yield "open", name, found.group(3)
+            yield "open", name, rest
 
 
 def parse(page: str) -> Node:
-    """The page's tree of blocks. Texts are decoded, with white space as single spaces."""
+    """The page's tree of blocks. Texts are decoded, with white space as single spaces.
+
+    Below DEEPEST levels elements without a mark are part of the one that holds them, below DEEPEST_MARKED all
+    but those apart. So is what lies within one apart there. Their texts stay in page order."""
     root = Node("root:")
-    open_, tags = [root], [""]
+    open_, tags, levels = [root], [""], [0]
+    places: dict[str, list[int]] = {}
     run: list[str] = []
     linked = links = skip = 0
 
+    def close(place: int) -> None:
+        for tag in tags[place:]:
+            places[tag].pop()
+        del open_[place:], tags[place:], levels[place:]
+
+    def last(names: set[str]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(run)).split())
@@ -205,23 +260,27 @@ def parse(page: str) -> Node:
             continue
         if kind == "open":
             links = 0
-            if name in ("html", "body") and name in tags:
+            if name in ("html", "body") and places.get(name):
                 continue
             ends = CLOSES.get(name, set()) | (set() if name in INLINE else {"p"})
-            for place in range(len(tags) - 1, 0, -1):
-                if tags[place] in ends:
-                    del open_[place:], tags[place:]
-                    break
-                if tags[place] in HOLDS and tags[place] not in ends:
-                    break
-            node = Node(key_of(name, rest))
-            open_[-1].children.append(node)
+            place = last(ends)
+            if place and place > last(HOLDS - ends):
+                close(place)
+            key, level = key_of(name, rest), levels[-1]
+            own = _mark(key)
+            marked = own in MARKS
+            if level < DEEPEST or (_mark(open_[-1].key) != "-" and (own == "-" or (marked and level < DEEPEST_MARKED))):
+                node, level = Node(key), level + 1
+                open_[-1].children.append(node)
+            else:
+                node = open_[-1]
             if not rest.endswith("/"):
+                places.setdefault(name, []).append(len(tags))
                 open_.append(node)
                 tags.append(name)
-        elif name in tags:
-            place = len(tags) - 1 - tags[::-1].index(name)
-            del open_[place:], tags[place:]
+                levels.append(level)
+        elif places.get(name):
+            close(places[name][-1])
     flush()
     return root
 
@@ -232,6 +291,7 @@ def parse(page: str) -> Node:
 # [characters, of these linked, hash of its text or None once texts differ, hashes of different pages that have
 # it, about TELLING_PAGES of them]; those of a page that is matched have the numbers of its slots as a fifth.
 GROUP = "()"
+ANY = ":*"
 
 
 def _slot_facts(slot: Slot, page: str) -> list:
@@ -278,7 +338,53 @@ def collapse(items: list[list]) -> list[list]:
             at = upto
         items = out
         length += 1
-    return items
+    return gathered(items) if len(items) > LONGEST_LIST else items
+
+
+def _stem(item: list) -> str:
+    return item[0].split(":", 1)[0]
+
+
+def gathered(items: list[list]) -> list[list]:
+    """A long list without order as a repeated group of optional items: each shape once."""
+    found: dict[str, list] = {}
+    for item in items:
+        shape = shape_of(item)
+        found[shape] = merge_items(found[shape], item) if shape in found else item
+    return general([[x[0], 0, 2, *x[3:]] for x in found.values()])
+
+
+def general(items: list[list]) -> list[list]:
+    """Of optional elements of one tag and mark with more than MOST_NAMED different names the names are dropped:
+    one optional, repeated item stands for all of them. Groups of so many shapes become one likewise."""
+    shapes: dict[str, set[str]] = {}
+    for item in items:
+        if item[0] != TEXT and item[1] == 0:
+            shapes.setdefault(_stem(item), set()).add(shape_of(item))
+    many = {s for s, found in shapes.items() if len(found) > MOST_NAMED}
+    return nameless(items, many, {shape_of(x) for x in items if x[1]}) if many else items
+
+
+def nameless(items: list[list], stems: set[str], kept: set[str] = frozenset()) -> list[list]:
+    """Items of these stems, but for shapes to be kept, merged into one each."""
+    out: list[list] = []
+    place: dict[str, int] = {}
+    for item in items:
+        stem = _stem(item)
+        if item[0] == TEXT or stem not in stems or shape_of(item) in kept:
+            out.append(item)
+            continue
+        own = [item[0] if item[0] == GROUP else stem + ANY, 0, 2, *item[3:]]
+        if stem in place:
+            out[place[stem]] = merge_items(out[place[stem]], own)
+        else:
+            place[stem] = len(out)
+            out.append(own)
+    return out
+
+
+def _any_of(items: list[list]) -> set[str]:
+    return {_stem(x) for x in items if x[0].endswith(ANY)}
 
 
 def align(a: list[list], b: list[list]) -> list[list]:
@@ -289,6 +395,12 @@ def align(a: list[list], b: list[list]) -> list[list]:
     left, right = [shape_of(x) for x in a], [shape_of(x) for x in b]
     if left == right:
         return [merge_items(x, y) for x, y in zip(a, b, strict=True)]
+    if any_a := _any_of(a):
+        b = nameless(b, any_a, set(left))
+    if any_b := _any_of(b) - any_a:
+        a = nameless(a, any_b, set(right))
+    if any_a or any_b:
+        left, right = [shape_of(x) for x in a], [shape_of(x) for x in b]
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
@@ -305,7 +417,7 @@ def align(a: list[list], b: list[list]) -> list[list]:
             out.append([b[j][0], 0, *b[j][2:]])
             j += 1
     out += [[x[0], 0, *x[2:]] for x in a[i:] + b[j:]]
-    return collapse(out)
+    return general(collapse(out))
 
 
 def wrapper_of(node: Node, page: str = "", slots: list[Slot] | None = None) -> list[list]:
@@ -465,7 +577,7 @@ def match(items: list[list], verdicts: list[list], classes: list[int], place: Pl
     loose = {w[0]: w[1] for v in verdicts if v[0].startswith(GROUP) and isinstance(v[1], list) for w in v[1]}
     for n, item in enumerate(items):
         shape = shape_of(item)
-        found = verdicts[of[n]][1] if n in of else shapes.get(shape, loose.get(shape))
+        found = verdicts[of[n]][1] if n in of else shapes.get(shape, loose.get(shape, shapes.get(_stem(item) + ANY)))
         if isinstance(found, int):
             for number in _numbers([item]):
                 classes[number] = found
