@@ -10,12 +10,15 @@ once it has been computed. A thread waits no longer than the longest token, whic
 Decoding. Bytes are joined token by token; a UTF-8 state machine holds back the bytes of an
 unfinished character until the next piece of input.
 
-Null and empty texts give no tokens.
+Null and empty texts give no tokens. Repeated rows give the same, an empty table none. Very long texts are
+read as a whole; what is held besides is in proportion to the text. Columns other than the two named are not
+read, whatever their names.
 """
 
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -59,12 +62,14 @@ class Transducer:
                 node = child
             self.token_at[node] = token
         self.edges: tuple[dict, dict] = ({}, {})
+        self.follows: dict[int, bool] = {}
         self.max_steps = max_steps
         self._forget()
 
     def _forget(self) -> None:
         # A state is (last emitted token or START, threads); a thread is (tokens since, trie node).
         self.states: dict[tuple, dict] = {}
+        self.follows.clear()
         self.steps = 0
         self.first = self._state(START, (((), ROOT),))
 
@@ -129,33 +134,46 @@ class Transducer:
 
     def _advance(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
         last, threads = state[WHAT]
-        children, token_at = self.children, self.token_at
-        alive, ended = [], None
+        find, token_at, follows = self.children.get, self.token_at, self.follows
+        alive, ended, start = [], None, True
         for chosen, node in threads:
-            child = children.get(node << 8 | byte)
-            if child is not None:
-                alive.append((chosen, child))
-                if ended is None:
-                    token = token_at[child]
-                    if token != NO_TOKEN and self._may_follow(chosen[-1] if chosen else last, token):
+            child = find(node << 8 | byte)
+            if child is None:
+                continue
+            alive.append((chosen, child))
+            if not chosen:
+                start = False
+            if ended is None:
+                token = token_at[child]
+                if token != NO_TOKEN:
+                    left = chosen[-1] if chosen else last
+                    pair = left << 32 | token
+                    may = follows.get(pair)
+                    if may is None:
+                        may = follows[pair] = self._may_follow(left, token)
+                    if may:
                         ended = (*chosen, token)
         alive.append((ended, ROOT))
-        # What all threads have chosen is emitted.
-        first = alive[0][0]
-        shared = len(first)
-        for chosen, _ in alive:
-            if not shared:
-                break
-            at, most = 0, min(shared, len(chosen))
-            while at < most and chosen[at] == first[at]:
-                at += 1
-            shared = at
-        emitted = first[:shared]
-        if shared:
-            last = emitted[-1]
-            alive = [(chosen[shared:], node) for chosen, node in alive]
-        if alive[0][0] and all([chosen for chosen, _ in alive]):
-            last = START  # no thread looks back that far
+        emitted = ()
+        if start:
+            # What all threads have chosen is emitted.
+            first = alive[0][0]
+            shared = len(first)
+            for chosen, _ in alive:
+                most = min(shared, len(chosen))
+                if chosen[:most] != first[:most]:
+                    shared = 0
+                    while chosen[shared] == first[shared]:
+                        shared += 1
+                else:
+                    shared = most
+            if shared:
+                emitted = first[:shared]
+                last = emitted[-1]
+                alive = [(chosen[shared:], node) for chosen, node in alive]
+                start = all([chosen for chosen, _ in alive])
+            if start:
+                last = START  # no thread looks back that far
         self.steps += 1
         step = state[byte] = (self._state(last, tuple(alive)), emitted)
         return step
@@ -184,40 +202,50 @@ class Encoder:
     """Whole texts: pre-tokens by `pattern`, each through the transducer.
 
     Chunks parted by single spaces are remembered with their tokens, as no pre-token reaches over
-    such a space; a text with other spacing is cut by the pattern as a whole.
+    such a space; a text with other spacing is cut by the pattern as a whole. Pre-tokens are remembered
+    too. Of both there are two generations: what the younger lacks is taken over from the elder, which
+    goes when the younger is full.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = MEMO):
         import regex
 
         self.transducer = Transducer(ranks)
+        # Tokens' bytes by their decimals.
+        self.bytes_of = {str(i): b for i, b in self.transducer.bytes_of.items()}
         self.find = regex.compile(pattern).findall
         self.memo: dict[str, str] = {}
-        self.limit = memo
+        self.elder: dict[str, str] = {}
+        self.pieces: dict[str, str] = {}
+        self.elder_pieces: dict[str, str] = {}
+        self.limit = memo // 3
 
-    def _ids(self, text: str) -> list[int]:
-        encode, out = self.transducer.encode, []
-        for piece in self.find(text):
-            out.extend(encode(piece.encode()))
-        return out
+    def _piece(self, piece: str) -> str:
+        known = self.elder_pieces.get(piece)
+        if known is None:
+            known = " ".join(map(str, self.transducer.encode(piece.encode())))
+        if len(self.pieces) >= self.limit // 2:
+            self.elder_pieces, self.pieces = self.pieces, {}
+        self.pieces[piece] = known
+        return known
 
     def _decimals(self, text: str) -> str:
-        return " ".join(map(str, self._ids(text)))
+        return " ".join([self.pieces.get(p) or self._piece(p) for p in self.find(text)])
 
     def decimals(self, text: str) -> str:
         """The ids as decimals joined by single spaces."""
-        if len(self.memo) > self.limit:
-            self.memo.clear()
-        memo = self.memo
+        if len(self.memo) >= self.limit:
+            self.elder, self.memo = self.memo, {}
+        memo, elder = self.memo, self.elder
         head, *chunks = text.split(" ")
-        missing = [c for c in chunks if c not in memo]
+        missing = {c for c in chunks if c not in memo}
         for chunk in missing:
             if not chunk or chunk[0].isspace() or chunk[-1].isspace():
                 return self._decimals(text)
         if not chunks or not head or head[-1].isspace():
             return self._decimals(text)
         for chunk in missing:
-            memo[chunk] = self._decimals(" " + chunk)
+            memo[chunk] = elder.get(chunk) or self._decimals(" " + chunk)
         return " ".join([self._decimals(head), *map(memo.__getitem__, chunks)])
 
     def encode(self, text: str) -> list[int]:
@@ -264,11 +292,11 @@ class StreamDecoder:
     four: the machine is run over that tail only. Bytes that no character can hold pass through.
     """
 
-    def __init__(self, bytes_of: dict[int, bytes]):
+    def __init__(self, bytes_of: dict):
         self.bytes_of = bytes_of
         self.held = b""
 
-    def feed(self, ids: Iterable[int]) -> bytes:
+    def feed(self, ids: Iterable) -> bytes:
         data = self.held + b"".join(map(self.bytes_of.__getitem__, ids))
         cut = len(data)
         for at in range(len(data) - 1, max(-1, len(data) - 4), -1):
@@ -288,8 +316,9 @@ class StreamDecoder:
         return rest
 
 
-def decoded(ids: list[int], bytes_of: dict[int, bytes], at_once: int = DECODED_AT_ONCE) -> Iterator[bytes]:
-    """The decoded bytes in pieces that end between characters, but for the last."""
+def decoded(ids: list, bytes_of: dict, at_once: int = DECODED_AT_ONCE) -> Iterator[bytes]:
+    """The decoded bytes in pieces that end between characters, but for the last. Ids are whatever
+    `bytes_of` has as keys."""
     decoder = StreamDecoder(bytes_of)
     for start in range(0, len(ids), at_once):
         yield decoder.feed(ids[start : start + at_once])
@@ -298,7 +327,11 @@ def decoded(ids: list[int], bytes_of: dict[int, bytes], at_once: int = DECODED_A
 
 @lru_cache(maxsize=1)
 def encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(load_ranks(path), pattern)
+    made = Encoder(load_ranks(path), pattern)
+    # The vocabulary and the states stay; looking for garbage among them took a quarter of the time.
+    gc.freeze()
+    gc.set_threshold(100_000, 50, 50)
+    return made
 
 
 def encode_column(path: str, pattern: str):
@@ -334,14 +367,13 @@ def digest_column(path: str, pattern: str):
     @F.arrow_udf(DIGESTS)
     def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         machine = encoder(path, pattern)
-        bytes_of = machine.transducer.bytes_of
         for texts in batches:
             n, of_ids, of_bytes = [], [], []
             for text in texts.to_pylist():
                 decimals = machine.decimals(text or "")
-                ids = list(map(int, decimals.split()))
+                ids = decimals.split()
                 back = hashlib.sha256()
-                for piece in decoded(ids, bytes_of):
+                for piece in decoded(ids, machine.bytes_of):
                     back.update(piece)
                 n.append(len(ids))
                 of_ids.append(hashlib.sha256(decimals.encode()).hexdigest())
