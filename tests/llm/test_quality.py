@@ -78,6 +78,46 @@ def test_ftrl_learns_a_line():
     assert w[0] > 1 and w[1] < -0.5 and abs(w[2]) < 0.5
 
 
+def test_ftrl_and_scores_match_plain_ones():
+    """Plain dictionaries, one number at a time, on the same texts."""
+    grams = classifier.Grams(12)
+    texts = [("good words here, all fine 12", 1), ("BUY now BUY now BUY", 0), ("", 0), ("good good words", 1)] * 5
+    model, z, n = classifier.FollowTheLeader(1 << 12), {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= classifier.L1:
+            return 0.0
+        pull = math.copysign(classifier.L1, z[i]) - z[i]
+        return pull / ((classifier.SMOOTHING + math.sqrt(n[i])) / classifier.RATE + classifier.L2)
+
+    for text, label in texts:
+        vector = {}
+        for slot, value in zip(*grams.features(text), strict=True):
+            vector[int(slot)] = vector.get(int(slot), 0.0) + float(value)
+        w = {i: weight(i) for i in vector}
+        error = 1 / (1 + math.exp(-sum(w[i] * x for i, x in vector.items()))) - label
+        for i, x in vector.items():
+            grown = n.get(i, 0.0) + (error * x) ** 2
+            z[i] = z.get(i, 0.0) + error * x - (math.sqrt(grown) - math.sqrt(n.get(i, 0.0))) / classifier.RATE * w[i]
+            n[i] = grown
+        model.learn(*classifier.merged(*grams.features(text)), label)
+    learnt = model.weights()
+    assert np.allclose(learnt, [weight(i) for i in range(1 << 12)])
+    for text, _ in texts[:4]:
+        slots, values = grams.features(text)
+        assert math.isclose(learnt[slots] @ values, sum(weight(int(i)) * x for i, x in zip(slots, values, strict=True)), abs_tol=1e-9)
+
+
+def test_the_sample_counts_documents(spark):
+    known = labels(spark, [(i, i % 2, 0, 0) for i in range(40)])
+    own = [(i, f"word{i % 2} text") for i in range(1, 40, 3) for _ in range(5)]
+    docs = spark.createDataFrame(own, "doc_id bigint, text string")
+    once = docs.dropDuplicates()
+    for sample in (3, 40):
+        assert np.array_equal(classifier.train(docs, known, sample=sample), classifier.train(once, known, sample=sample))
+    assert np.count_nonzero(classifier.train(docs, known, sample=2)), "labels without a document take no place"
+
+
 # --- rules --------------------------------------------------------------------------------------
 
 

@@ -4,7 +4,8 @@ Features are hashed one- and two-grams of a text's words, both as they are and a
 digits as 0, runs as one), with a word that repeats the one before it as a gram of its own. Counts are
 scaled to length one, so that texts of any length score alike. Training runs in one task over a bounded
 sample of the labelled rows (SAMPLE of them, those with the smallest hash of their id); scoring is a sparse
-dot product, row by row, over everything.
+dot product, row by row, over everything. Ids without a document take no place in the sample; of an id's
+several documents one is learnt from.
 
 Whole texts are read. Null and empty texts have the constant feature only. A row without an id isn't held
 out and isn't trained on. If an id has several labels, the least counts. Without any label each score
@@ -120,11 +121,15 @@ def train(
     known = labels.select(F.col(doc_id).alias("_own"), F.col(label).alias("_label"))
     known = known.filter(F.col("_own").isNotNull() & F.col("_label").isNotNull() & ~held_out(F.col("_own")))
     known = known.groupBy("_own").agg(F.min("_label").alias("_label"))
+    texts = docs.select(F.col(doc_id).alias("_id"), whole_text(text).alias("_text"))
+    known = known.join(texts.select("_id").distinct(), F.col("_id") == F.col("_own"), "left_semi")
     order = F.xxhash64("_own")
     chosen = known.orderBy(order, "_own").limit(sample)
-    texts = docs.select(F.col(doc_id).alias("_id"), whole_text(text).alias("_text"))
     # At most `sample` rows of two numbers, whatever the size of the tables.
-    rows = texts.join(F.broadcast(chosen), F.col("_id") == F.col("_own")).select("_own", "_label", "_text")
+    rows = texts.join(F.broadcast(chosen), F.col("_id") == F.col("_own"))
+    # One row an id, chosen before the shuffle.
+    one = F.min(F.struct(F.xxhash64("_text").alias("hash"), F.col("_text").alias("text"))).alias("_one")
+    rows = rows.groupBy("_own", "_label").agg(one).select("_own", "_label", F.col("_one.text").alias("_text"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams(bits)
