@@ -7,7 +7,7 @@ how many of them the joint cutoffs would reject; the exact binomial tail is the
 they reject more than `risk` of all good documents of that stratum. Steps are tested in the path's order
 until one can't be certified (so the order needs no correction), at a level divided by the number of strata
 (Bonferroni). So with probability 1 - `error` the rules together reject no more than `risk` of the good
-documents of any stratum. Of the certified steps the one that rejects most labelled bad documents is taken,
+documents of any stratum; good documents are here those that pass the base rules. Of the certified steps the one that rejects most labelled bad documents is taken,
 of equals the loosest. A stratum needs ln(error / strata) / ln(1 - risk) labelled good documents that pass the
 base rules: with `error` 0.05 and four strata 437 at a risk of 1 %, 86 at 5 %. One with fewer gets no
 cutoff, and keeps what the base rules keep.
