@@ -95,10 +95,6 @@ def test_model_versions_and_scoring(spark, lake):
     assert pooled.mae > 0 and pooled.row_count == parts["test"].count()
     assert [models.save(lake, model, metrics={"mae": pooled.mae}) for _ in range(2)] == [1, 2]
     assert models.resolve(lake) == 2
-    with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(models, "resolve", lambda *_: 1)  # as a run that started with another one
-        with pytest.raises(Exception, match="exists"):
-            models.save(lake, model)
     loaded = models.load(lake)
     scored = forecast.predict(loaded, forecast.inference_window(rows_in, days=2))
     version = F.lit(models.resolve(lake))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import random
+import time
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -28,17 +32,42 @@ def resolve(tables: Tables, name: str = MODEL_NAME, version: int | str = "latest
     return found
 
 
+def _claimed(tables: Tables, name: str) -> int:
+    """A version of this run's own: above all recorded ones and all that have been claimed.
+
+    A claim is an empty file with the version and an id of the run's own in its name. A run owns the version if,
+    once its claim is there, no other has one; of two that claim at once at most one goes on with it. That needs
+    no more of the file system than that it lists what has been created. Claims stay, so a number is used once.
+    """
+    sc = tables.spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path
+    folder = path(f"{tables.root}/models/{name}")
+    system = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+
+    def taken() -> list[int]:
+        names = [s.getPath().getName() for s in system.listStatus(folder)] if system.exists(folder) else []
+        return [int(v) for n in names if (v := n.split(".")[0]).isdecimal()]
+
+    try:
+        recorded = resolve(tables, name)
+    except LookupError:
+        recorded = 0
+    while True:
+        version = max([recorded, *taken()]) + 1
+        system.create(path(folder, f"{version}.{uuid.uuid4().hex}.claim"), False).close()
+        if taken().count(version) == 1:
+            return version
+        time.sleep(random.random() / 4)
+
+
 def save(
     tables: Tables, model: PipelineModel, name: str = MODEL_NAME, metrics: dict[str, float] | None = None
 ) -> int:
-    """Saves the model under the next version and records the run with its metrics.
+    """Saves the model under a version of its own and records the run with its metrics.
 
-    Fails where another run has taken that version meanwhile; nothing is replaced.
+    Parallel runs get different versions. What a run that died has left is neither replaced nor in the way.
     """
-    try:
-        version = resolve(tables, name) + 1
-    except LookupError:
-        version = 1
+    version = _claimed(tables, name)
     model.write().save(_path(tables, name, version))
     pairs = [F.lit(x) for k, v in (metrics or {}).items() for x in (k, float(v))]
     run = tables.spark.range(1, numPartitions=1).select(
