@@ -5,6 +5,7 @@ from collections import Counter
 from functools import lru_cache
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -156,3 +157,13 @@ def test_chunks_are_the_text():
             assert " ".join(alignment.chunks_of(text)) == text
     assert alignment.chunks_of("a  b\n c") == ["a", " b\n c"]
     assert isinstance(composed(Fragment(), Fragment()), Fragment)
+
+
+def test_batches_are_cut_by_bytes():
+    texts = ["ab", "é" * 9, "", None, "x" * 50, "c", "d"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(7)), "text": pa.array(texts, pa.string())})
+    for size in (0, 1, 2, 20, 70, 1000):
+        parts = list(alignment.slices(batch, size))
+        assert [t for p in parts for t in p.column("text").to_pylist()] == texts
+        assert all(p.num_rows == 1 or sum(len((t or "").encode()) for t in p.column("text").to_pylist()) <= size for p in parts)
+    assert list(alignment.slices(batch.slice(0, 0))) == []

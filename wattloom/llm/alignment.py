@@ -33,6 +33,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +43,7 @@ from wattloom.llm.subwords import byte_characters
 
 RANGE_BYTES = 65_536
 FAN = 8
+SLICE_BYTES = 1 << 20
 MEMO = 400_000
 BROADCAST_PAIRS = 2_000_000
 WORD_MARK = "▁"
@@ -281,6 +283,17 @@ def _columns(numbers: np.ndarray, digests: list[str], sizes: np.ndarray, pairs:
     ]
 
 
+def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch's rows in order, cut so that the texts of a slice have `size` bytes or are just one: chunks and
+    pairs of a slice are held at once."""
+    upto = np.cumsum(pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False))
+    at = before = 0
+    while at < len(upto):
+        end = max(int(np.searchsorted(upto, before + size, "right")), at + 1)
+        yield batch.slice(at, end - at)
+        at, before = end, upto[end - 1]
+
+
 def _align(a_path: str, b_path: str):
     """Texts with the statistics of their fragments; all columns but `text` pass."""
 
@@ -317,11 +330,10 @@ def _align(a_path: str, b_path: str):
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = remembered(a_path, b_path)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            if batch.num_rows:
-                others = [batch.column(i) for i in range(batch.num_columns - 1)]
-                columns = batch_stats(memory, texts)
-                names = [*batch.schema.names[:-1], *(c.split()[0] for c in STATS.split(", "))]
+            names = [*batch.schema.names[:-1], *(c.split()[0] for c in STATS.split(", "))]
+            for part in slices(batch):
+                others = [part.column(i) for i in range(part.num_columns - 1)]
+                columns = batch_stats(memory, part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([*others, *columns], names)
 
     return align
