@@ -893,6 +893,16 @@ ORACLES = {
 # Other ways to the same rows.
 ORACLES["upsert_null_day"] = ORACLES["upsert_table"]
 ORACLES["features_corrected"] = ORACLES["features"]
+ORACLES["distribution_selected"] = ORACLES["distribution"]
+ORACLES["quantiles_selected"] = """
+    SELECT CAST(share AS DOUBLE) AS share, country_code, v[greatest(1, CAST(ceil(len(v) * share) AS BIGINT))] AS value_mw FROM (
+        SELECT country_code, list_sort(list(value_mw)) AS v FROM points GROUP BY ALL) g,
+        (VALUES (0.0), (0.1), (0.5), (0.95), (1.0)) s(share)"""
+ORACLES["profile_sketched"] = """
+    SELECT count(*) AS row_count, min(period_start) AS earliest, max(period_start) AS latest,
+           count(DISTINCT (region_code, period_start)) AS exact_keys, count(DISTINCT region_code) AS exact_regions,
+           count(DISTINCT event_id) AS exact_events, TRUE AS keys_near, TRUE AS regions_near, TRUE AS events_near
+    FROM carbon"""
 ORACLES["gold_from_ledger"] = """
     SELECT country_code, hour_utc, temperature_c, round(total_generation_mw, 2) AS total_generation_mw FROM grid_fact"""
 ORACLES["fact_days_emptied"] = """

@@ -13,7 +13,8 @@ from wattloom.functions.envelopes import verify_checksum
 from wattloom.functions.instants import local_time
 from wattloom.functions.measures import age_minutes, freshness, stable_sum
 from wattloom.operators import dims, flatten, keys, quality, slices
-from wattloom.plans import facts, features, forecast, health, integrate, refresh, reports
+from wattloom.operators.quantiles import quantile_by_group
+from wattloom.plans import facts, features, forecast, health, integrate, profiles, refresh, reports
 from wattloom.session import configure
 from wattloom.sources import bronze
 from wattloom.sources.feeds import CARBON, FEEDS, GENERATION, WEATHER, Feed
@@ -722,6 +723,26 @@ def _(lk: Layers) -> DataFrame:
     )
 
 
+@query("profile_sketched")
+def _(lk: Lake) -> DataFrame:
+    """Two deliveries of silver carbon, the sketches brought up to date after each: counts and times of the merged
+    profile, the exact distinct counts, and whether the estimates are within 3 % of them."""
+    tables, name = Tables(lk.spark, f"{lk.tables.root}/profiles"), f"silver.{CARBON.table}"
+    late = F.dayofmonth(refresh.DAY) % 3 == 0
+    distinct = {"keys": CARBON.key, "regions": ["region_code"], "events": ["event_id"]}
+    tables.overwrite(name, lk.silver(CARBON).filter(~late), refresh.DAY)
+    profiles.refresh_profile(tables, name, CARBON.ts, distinct)
+    tables.replace_partitions(name, lk.silver(CARBON).filter(late), refresh.DAY)
+    profiles.refresh_profile(tables, name, CARBON.ts, distinct)
+    merged = profiles.profile_sketched(tables, name)
+    exact = quality.profile(
+        lk.silver(CARBON), keys=CARBON.key, distinct={"exact_regions": "region_code", "exact_events": "event_id"}
+    ).withColumnsRenamed({"distinct_natural_keys": "exact_keys", "row_count": "_rows"})
+    both = merged.join(exact, F.col("row_count") == F.col("_rows"))
+    near = [(F.abs(F.col(c) - F.col(f"exact_{c}")) <= 0.03 * F.col(f"exact_{c}")).alias(f"{c}_near") for c in distinct]
+    return both.select("row_count", "earliest", "latest", *[f"exact_{c}" for c in distinct], *near)
+
+
 @query("profile_weather")
 def _(lk: Layers) -> DataFrame:
     return quality.profile(
@@ -1063,6 +1084,23 @@ def _(lk: Layers) -> DataFrame:
     return reports.distribution(lk.features(), "country_code", "carbon_current", names)
 
 
+@query("distribution_selected")
+def _(lk: Layers) -> DataFrame:
+    names = {"min": "min_gco2_kwh", "median": "median_gco2_kwh", "max": "max_gco2_kwh", "stddev": "stddev"}
+    return reports.distribution_selected(lk.features(), "country_code", "carbon_current", names)
+
+
+@query("quantiles_selected")
+def _(lk: Layers) -> DataFrame:
+    """Exact quantiles of all readings, where a group's middle holds more rows than are put in order at once."""
+    out = None
+    for p in (0.0, 0.1, 0.5, 0.95, 1.0):
+        found = quantile_by_group(fx.points(lk.events), "country_code", "value_mw", p, "value_mw", accuracy=100, few=50)
+        found = found.select(F.lit(p).alias("share"), "country_code", "value_mw")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 @query("feature_correlation")
 def _(lk: Layers) -> DataFrame:
     return reports.feature_correlation(lk.features())

@@ -70,7 +70,7 @@ class Change:
         return tables.read(name, self.days)
 
 
-def _change(tables: Tables, job: str, inputs: list[str], dims: list[str] = (), since: Column | None = None) -> Change:
+def changes(tables: Tables, job: str, inputs: list[str], dims: list[str] = (), since: Column | None = None) -> Change:
     """From the inputs' ledgers, since the job last set its mark; all days on its first run and after a
     dimension has changed. `since` bounds the job to the days from it on instead, and leaves its mark alone."""
     if since is not None:
@@ -86,7 +86,7 @@ def _change(tables: Tables, job: str, inputs: list[str], dims: list[str] = (), s
     return Change(None if days is None else sorted(days), mark)
 
 
-def _put_days(
+def put_days(
     tables: Tables, job: str, change: Change, rows: DataFrame, key: list[str], order_by: list[str] | None = None,
     days: list[str] | None = None,
 ) -> None:
@@ -104,9 +104,9 @@ def _put_days(
 def refresh_grid_state(tables: Tables, since: Column | None = None) -> Change:
     inputs = [f"silver.{f.table}" for f in (GENERATION, WEATHER, CARBON)]
     job = "silver.grid_state"
-    change = _change(tables, job, inputs, ["silver.country_dim"], since)
+    change = changes(tables, job, inputs, ["silver.country_dim"], since)
     state = integrate.grid_state(*[change.read(tables, n) for n in inputs], tables.read("silver.country_dim"))
-    _put_days(tables, job, change, with_day(state, "hour_utc"), ["country_code", "hour_utc"])
+    put_days(tables, job, change, with_day(state, "hour_utc"), ["country_code", "hour_utc"])
     return change
 
 
@@ -118,29 +118,29 @@ def _quarantine_orphans(tables: Tables, name: str, orphans: DataFrame, run_id: s
 
 def refresh_fact_fuel(tables: Tables, run_id: str, since: Column | None = None) -> Change:
     job, key = "gold.fact_generation_fuel_hourly", ["country_code", "hour_utc", "fuel_key"]
-    change = _change(tables, job, [f"silver.{GENERATION.table}"], ["gold.dim_fuel_type"], since)
+    change = changes(tables, job, [f"silver.{GENERATION.table}"], ["gold.dim_fuel_type"], since)
     generation = change.read(tables, f"silver.{GENERATION.table}")
     fact, orphans = facts.fact_generation_fuel(generation, tables.read("gold.dim_fuel_type"))
     _quarantine_orphans(tables, "orphan_fuel", orphans, run_id)
-    _put_days(tables, job, change, with_day(fact, "hour_utc"), key)
+    put_days(tables, job, change, with_day(fact, "hour_utc"), key)
     return change
 
 
 def refresh_fact_carbon(tables: Tables, run_id: str, since: Column | None = None) -> Change:
     job, key = "gold.fact_carbon_intensity_30min", ["region_id", "period_start"]
-    change = _change(tables, job, [f"silver.{CARBON.table}"], ["gold.dim_uk_region"], since)
+    change = changes(tables, job, [f"silver.{CARBON.table}"], ["gold.dim_uk_region"], since)
     carbon = change.read(tables, f"silver.{CARBON.table}")
     fact, orphans = facts.fact_carbon_30min(carbon, tables.read("gold.dim_uk_region"))
     _quarantine_orphans(tables, "orphan_region", orphans, run_id)
-    _put_days(tables, job, change, with_day(fact, "period_start"), key, ["ingested_at", "source_event_id"])
+    put_days(tables, job, change, with_day(fact, "period_start"), key, ["ingested_at", "source_event_id"])
     return change
 
 
 def refresh_fact_grid(tables: Tables, since: Column | None = None) -> Change:
     job = "gold.fact_grid_hourly"
-    change = _change(tables, job, ["silver.grid_state"], ["gold.dim_fuel_type"], since)
+    change = changes(tables, job, ["silver.grid_state"], ["gold.dim_fuel_type"], since)
     fact = facts.fact_grid_hourly(change.read(tables, "silver.grid_state"), tables.read("gold.dim_fuel_type"))
-    _put_days(tables, job, change, with_day(fact, "hour_utc"), ["country_code", "hour_utc"])
+    put_days(tables, job, change, with_day(fact, "hour_utc"), ["country_code", "hour_utc"])
     return change
 
 
@@ -154,7 +154,7 @@ def refresh_features(tables: Tables, mode: str = "create_or_replace", lags: str
     name, grid = "gold.feature_carbon_forecast", "gold.fact_grid_hourly"
     if mode not in ("create_or_replace", "incremental"):
         raise ValueError("mode must be 'create_or_replace' or 'incremental'")
-    change = _change(tables, name, [grid])
+    change = changes(tables, name, [grid])
     if mode == "create_or_replace" or tables.mark(name).get("lags") != lags:
         change = Change(None, change.mark)
     change = Change(change.days, change.mark | {"lags": lags})
@@ -171,7 +171,7 @@ def refresh_features(tables: Tables, mode: str = "create_or_replace", lags: str
     made = with_day(features.training_features(tables.read(grid, needed), lags), "hour_utc")
     if reached is not None:
         made = made.filter(F.coalesce(F.col(DAY).cast("string"), F.lit(NULL_FOLDER)).isin(reached))
-    _put_days(tables, name, change, made, ["country_code", "hour_utc"], ["hour_utc"], reached)
+    put_days(tables, name, change, made, ["country_code", "hour_utc"], ["hour_utc"], reached)
     return Change(reached, change.mark)
 
 

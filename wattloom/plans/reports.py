@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.measures import stable_sum, tons
 from wattloom.operators.dims import NATIONAL_REGION_ID
+from wattloom.operators.quantiles import quantile_by_group
 from wattloom.operators.slices import latest_slice, trailing_slice
 
 # Countries the per-country reports answer for.
@@ -341,6 +342,19 @@ def distribution(df: DataFrame, by: str, value: str, names: dict[str, str]) -> D
     )
 
 
+def distribution_selected(df: DataFrame, by: str, value: str, names: dict[str, str]) -> DataFrame:
+    """`distribution` with the exact median (the lower of two middle values), selected by rank."""
+    median = quantile_by_group(df, by, value, 0.5, "_median")
+    others = df.groupBy(by).agg(
+        F.round(F.min(value), 0).alias(names["min"]),
+        F.round(F.max(value), 0).alias(names["max"]),
+        F.round(F.stddev(value), 0).alias(names["stddev"]),
+    )
+    same = F.col(by).eqNullSafe(F.col("_by"))
+    found = others.join(median.withColumnRenamed(by, "_by"), same)
+    return found.select(by, names["min"], F.round("_median", 0).alias(names["median"]), names["max"], names["stddev"])
+
+
 def feature_correlation(features: DataFrame) -> DataFrame:
     def corr(a: str, b: str) -> Column:
         return F.round(F.corr(a, b), 3)
