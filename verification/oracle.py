@@ -417,6 +417,40 @@ _CARBON_JSON = """
     || ',"to":"' || CASE WHEN id % 79 = 0 THEN 'soon' ELSE %(end)s END || '"}'"""
 
 
+# The envelope as it stands in the topic, its payload in the sender's order; the checksum is of the payload in order
+# of names. Doubles print alike in both engines from 0.001 to 10,000,000.
+_WEATHER_FIELDS = {
+    "city": """CASE WHEN id % 89 = 0 THEN '' ELSE '"city":"' || city || '",' END""",
+    "latitude": """'"latitude":50.5,'""",
+    "longitude": """'"longitude":10.25,'""",
+    "elevation": """'"elevation":35.0,'""",
+    "time": """'"time":"' || event_time || '",'""",
+    "temperature_2m": """CASE WHEN id % 79 = 0 THEN '' WHEN id % 73 = 0 THEN '"temperature_2m":-61.0,'
+        ELSE '"temperature_2m":' || temperature_c || ',' END""",
+    "wind_speed_10m": """'"wind_speed_10m":' || wind_speed_kmh || ','""",
+    "cloud_cover": """'"cloud_cover":' || cloud_cover_pct || CASE WHEN id % 2 = 0 THEN '.0,' ELSE '.5,' END""",
+    "shortwave_radiation": """'"shortwave_radiation":' || solar_radiation_wm2 || ','""",
+    "units": """'"units":{"temperature_2m":"°C","wind_speed_10m":"km/h"},'""",
+}
+
+
+def _object(fields: list[str]) -> str:
+    return "'{' || rtrim(" + " || ".join(fields) + ", ',') || '}'"
+
+
+_WEATHER_BRONZE = f"""
+    SELECT CASE WHEN id % 97 = 0 THEN left(envelope, 20) ELSE envelope END AS envelope_json, city AS kafka_key,
+           'open-meteo' AS topic, CAST(id % 4 AS INTEGER) AS partition, id AS offset,
+           ingested_at AS kafka_timestamp, date_trunc('day', ingested_at) AS event_date
+    FROM (SELECT *, '{{"event_id":"evt-' || id || '","source":"open-meteo' || CASE WHEN id % 4 = 0 THEN '-backfill' ELSE '' END
+                 || '","source_version":"v1","ingested_at":"' || strftime(ingested_at, '%Y-%m-%dT%H:%M:%S.%f+00:00')
+                 || '","event_time":"' || event_time || '","region":"' || city || '","payload":'
+                 || {_object(list(_WEATHER_FIELDS.values()))} || ',"checksum":"sha256:'
+                 || sha256({_object([_WEATHER_FIELDS[n] for n in sorted(_WEATHER_FIELDS)])}) || '"}}' AS envelope
+          FROM (SELECT *, CASE WHEN id % 83 = 0 THEN 'yesterday' ELSE strftime(time_utc, '%Y-%m-%dT%H:%M') END AS event_time
+                FROM weather_raw) w) e"""
+
+
 def _settlement(ts: str) -> str:
     return (
         f"CASE WHEN id % 2 = 0 THEN strftime({ts}, '%Y-%m-%dT%H:%MZ') "
@@ -435,10 +469,7 @@ def _coverage(part: str, ts: str, by: str, stats: str) -> str:
 
 
 ORACLES = {
-    "bronze_enrich": """
-        SELECT substr('{"event_id":"evt-' || id || '","source":"', 1, 20) AS envelope_head, city AS kafka_key,
-               'open-meteo' AS topic, CAST(id % 4 AS INTEGER) AS partition, id AS offset,
-               ingested_at AS kafka_timestamp, date_trunc('day', ingested_at) AS event_date FROM weather_raw""",
+    "bronze_enrich": _WEATHER_BRONZE,
     "bronze_measurement_date": """
         SELECT date_trunc('day', ingested_at) AS event_date, count(*) AS row_count FROM carbon_raw GROUP BY ALL""",
     "backfill_rows": """
@@ -849,9 +880,7 @@ ORACLES = {
                round(corr(carbon_lag_24h, carbon_current), 3) AS corr_lag24_current,
                round(corr(carbon_current, target_t24h), 3) AS corr_current_t24h FROM feature_rows GROUP BY ALL""",
     # --- streams ---
-    "stream_bronze": """
-        SELECT city AS kafka_key, 'open-meteo' AS topic, CAST(id % 4 AS INTEGER) AS partition, id AS offset,
-               ingested_at AS kafka_timestamp, date_trunc('day', ingested_at) AS event_date FROM weather_raw""",
+    "stream_bronze": _WEATHER_BRONZE,
     "stream_silver": """
         SELECT event_id, city, time_utc, temperature_c, wind_speed_kmh, cloud_cover_pct, solar_radiation_wm2 FROM weather""",
     "stream_dedup": """

@@ -61,21 +61,13 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
 # --- bronze -----------------------------------------------------------------------------------
 
 
+_BRONZE = ["envelope_json", "kafka_key", "topic", "partition", "offset", "kafka_timestamp", "event_date"]
+
+
 @query("bronze_enrich")
 def _(lk: Layers) -> DataFrame:
     rows = bronze.enrich(fx.topic_frame(fx.weather_enveloped(lk.events), WEATHER))
-    return dates_as_timestamps(
-        rows.select(
-            F.length("envelope_json").alias("envelope_length"),
-            F.substring("envelope_json", 1, 20).alias("envelope_head"),
-            "kafka_key",
-            "topic",
-            "partition",
-            "offset",
-            "kafka_timestamp",
-            "event_date",
-        )
-    ).drop("envelope_length")
+    return dates_as_timestamps(rows.select(*_BRONZE))
 
 
 @query("bronze_measurement_date")
@@ -1168,8 +1160,7 @@ def _stream_bronze(lk: Lake) -> DataFrame:
 
 @query("stream_bronze")
 def _(lk: Lake) -> DataFrame:
-    rows = _stream_bronze(lk).select("kafka_key", "topic", "partition", "offset", "kafka_timestamp", "event_date")
-    return dates_as_timestamps(rows)
+    return dates_as_timestamps(_stream_bronze(lk).select(*_BRONZE))
 
 
 @query("bronze_live_and_backfill")
