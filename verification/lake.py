@@ -17,7 +17,7 @@ from verification import fixtures as fx
 from wattloom.operators import dims
 from wattloom.operators.keys import latest_per_key
 from wattloom.operators.quality import split_valid
-from wattloom.operators.slices import Day
+from wattloom.operators.slices import Day, clustered
 from wattloom.plans import facts, features, forecast, integrate, refresh
 from wattloom.session import shared_folder
 from wattloom.sources import bronze
@@ -133,10 +133,14 @@ class Lake(Layers):
 
     def bronze(self, feed: Feed) -> DataFrame:
         name = f"bronze.{feed.topic}"
-        return self._table(
-            name,
-            lambda: self.tables.overwrite(name, bronze_rows(self.events, feed), "event_date"),
-        )
+
+        def build() -> None:
+            # Generation is a row per country and hour by then, the others a row per event.
+            wide = feed is not GENERATION
+            events = clustered(self.events, "ts", "event_id") if wide else self.events
+            self.tables.overwrite(name, bronze_rows(events, feed), "event_date", clustered=wide)
+
+        return self._table(name, build)
 
     def _refresh_silver(self, feed: Feed) -> None:
         refresh.refresh_silver(self.tables, feed, self.bronze(feed), RUN)

@@ -1,4 +1,4 @@
-"""Slices relative to the newest timestamp of a table."""
+"""Slices relative to the newest timestamp of a table, and rows dealt out by time."""
 
 from __future__ import annotations
 
@@ -7,6 +7,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Rows a task is given by `clustered`: as envelopes they take some 150 MB of memory.
+CLUSTER_ROWS = 150_000
+
 
 class Day(str):
     """Name of a table's date partition column, with a day from which on the table is known to
@@ -47,3 +50,14 @@ def trailing_slice(df: DataFrame, ts: str, hours: int = 24, day: str | None = No
     since = F.timestamp_add("HOUR", F.lit(-hours), newest(df, ts, day))
     out = df.filter(F.col(ts) >= since)
     return out.filter(F.col(day) >= F.to_date(since)) if day else out
+
+
+def clustered(df: DataFrame, *by: str, rows: int = CLUSTER_ROWS) -> DataFrame:
+    """The rows in tasks of about `rows`, each a range of `by`, for what is built on them to be wide.
+
+    Shuffle narrow rows this way before they are widened, and a date partition's rows come from a few tasks: the
+    wide ones need no shuffle, and no task has more of them than it can sort in memory. `by` should end in
+    something unique, so that many rows at one time can be divided too. Counts `df`, which of files reads footers only.
+    """
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+    return df.repartitionByRange(tasks, *by)

@@ -42,7 +42,7 @@ def refresh_silver(tables: Tables, feed: Feed, bronze: DataFrame, run_id: str) -
     tables.overwrite(staging, checked)
     valid, invalid = split_valid(tables.read(staging))
     tables.replace_partitions(
-        f"quarantine.{feed.table}", quarantine_rows(invalid, run_id), "run_id"
+        f"quarantine.{feed.table}", quarantine_rows(invalid, run_id), "run_id", clustered=True
     )
     dated = with_day(valid, feed.ts)
     tables.upsert(f"silver.{feed.table}", dated, feed.key, DAY, days=dated.select(DAY))

@@ -12,6 +12,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Envelopes take ten times their Parquet size in memory, where a task sorts them by key.
+    "spark.sql.files.maxPartitionBytes": "32m",
     # Streaming state on local disk with snapshots in the checkpoint folder, not on the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

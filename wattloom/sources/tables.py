@@ -113,11 +113,16 @@ class Tables:
             self.read(name).createOrReplaceTempView(name.replace(".", "_"))
 
     def _writer(
-        self, df: DataFrame, mode: str, partition_by: str | list[str] | None, sort_by: list[str] | None = None
-    ) -> DataFrameWriter:
+        self, df: DataFrame, mode: str, partition_by: str | list[str] | None, sort_by: list[str] | None = None,
+        clustered: bool = False,
+    ) -> DataFrameWriter:
+        """`clustered` rows, whose tasks hold few partitions each (see `slices.clustered`), are written where
+        they are: what would be shuffled is the finished rows, many times as wide as what they are made of."""
         if partition_by is None:
             return df.write.mode(mode)
         by = [partition_by] if isinstance(partition_by, str) else partition_by
+        if clustered:
+            return df.write.mode(mode).partitionBy(*by)
         # A partitioned write sorts by its partition column anyway; sorting on by the key as well
         # makes row groups skippable for filters on entity and time.
         spread = df.hint("rebalance", *by).sortWithinPartitions(*by, *(sort_by or []))
@@ -156,13 +161,14 @@ class Tables:
         df: DataFrame,
         partition_by: str | None = None,
         sort_by: list[str] | None = None,
+        clustered: bool = False,
     ) -> None:
-        """Replaces the table, schema included."""
+        """Replaces the table, schema included. `clustered`: see `_writer`; of tables without versions."""
         if self._versioned(name, df, partition_by):
             # Whatever others do meanwhile is replaced as well.
             self._commit(name, df, partition_by, sort_by, None, self._snapshot(name))
         else:
-            writer = self._writer(df, "overwrite", partition_by, sort_by)
+            writer = self._writer(df, "overwrite", partition_by, sort_by, clustered)
             writer.option("partitionOverwriteMode", "static").parquet(self.path(name))
         self._keep_schema(name, df.schema)
 
@@ -176,8 +182,9 @@ class Tables:
         self._keep_schema(name, schema)
 
     def replace_partitions(
-        self, name: str, df: DataFrame, partition_by: str | list[str], sort_by: list[str] | None = None, days: Days = ()
-    ) -> None:
+        self, name: str, df: DataFrame, partition_by: str | list[str], sort_by: list[str] | None = None, days: Days = (),
+        clustered: bool = False,
+    ) -> None:
         """Replaces only the partitions that occur in `df`, and those of `days`, whether `df` has rows for
         them or not; running it again changes nothing.
 
@@ -188,7 +195,7 @@ class Tables:
         if self._versioned(name, df, partition_by):
             self._commit(name, df, partition_by, sort_by, days, self._snapshot(name))
         else:
-            writer = self._writer(df, "overwrite", partition_by, sort_by)
+            writer = self._writer(df, "overwrite", partition_by, sort_by, clustered)
             writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
         self._keep_schema(name, schema)
 
