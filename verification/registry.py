@@ -337,10 +337,16 @@ def _(lk: Layers) -> DataFrame:
     return lk.silver(CARBON).select(*_CARBON_SCALARS, _carbon_mix().alias("mix_items"))
 
 
-def _deliveries(lk: Layers) -> tuple[DataFrame, DataFrame]:
+def _staged_carbon(lk: Lake) -> DataFrame:
+    """Parsed carbon rows, written once for the batches that several upserts take from them."""
+    name = "staging.deliveries"
+    return lk._table(name, lambda: lk.tables.overwrite(name, CARBON.checked(lk.bronze(CARBON))))
+
+
+def _deliveries(lk: Layers, checked: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """All valid carbon rows as two batches that share their keys: each half hour's first and
     second quarter of an hour."""
-    valid, _ = quality.split_valid(CARBON.checked(lk.bronze(CARBON)))
+    valid, _ = quality.split_valid(CARBON.checked(lk.bronze(CARBON)) if checked is None else checked)
     second = F.minute("ingested_at") % 30 >= 15
     return valid.filter(~second), valid.filter(second)
 
@@ -354,8 +360,8 @@ def _(lk: Layers) -> DataFrame:
 
 
 @query("upsert_table")
-def _(lk: Layers) -> DataFrame:
-    older, newer = _deliveries(lk)
+def _(lk: Lake) -> DataFrame:
+    older, newer = _deliveries(lk, _staged_carbon(lk))
     name = "upserted.carbon"
     for batch in (newer, older, newer):
         dated = batch.withColumn("date_utc", F.to_date("period_start"))
@@ -366,7 +372,7 @@ def _(lk: Layers) -> DataFrame:
 @query("upsert_null_day")
 def _(lk: Lake) -> DataFrame:
     """The same deliveries, with half of the regions in the partition of rows without a day."""
-    older, newer = _deliveries(lk)
+    older, newer = _deliveries(lk, _staged_carbon(lk))
     name, day = "upserted.undated", F.when(F.col("region_id") % 2 == 0, F.to_date("period_start"))
     for batch in (newer, older, newer):
         lk.tables.upsert(name, batch.withColumn("date_utc", day), CARBON.key, "date_utc")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import uuid
+
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +51,11 @@ class Tables:
         row = self.spark.range(1, numPartitions=1).select(F.lit(text).alias("text"))
         row.write.mode("overwrite").text(path)
 
+    def _delete(self, folder: str) -> None:
+        sc = self.spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
     def exists(self, name: str) -> bool:
         """Whether a write of the table has ever been completed, its schema included."""
         if name not in self._schemas:
@@ -213,7 +220,7 @@ class Tables:
         `partition_by` must be a date that follows from the key, so that a correction lands in
         the partition of the row it corrects; rows without a date are a partition like others. `days` is a
         frame with that column that covers the source's dates and is cheaper to read, such as the table the
-        source is computed from; without it the source is computed twice.
+        source is computed from; without it the source's latest rows are staged, so that it is computed once.
 
         Readers see the table before or after the upsert. A run that dies leaves it as it was.
         """
@@ -223,10 +230,17 @@ class Tables:
             self.overwrite(name, latest_per_key(source, keys, order_by), partition_by, keys)
             return
         schema, base = self._widened(name, source.schema), self._snapshot(name)
-        touched = self.touched_days(source if days is None else days, partition_by)
+        staged = None
+        if days is None:
+            staged = f"{self.root}/staging/upserts/{uuid.uuid4().hex}"
+            latest_per_key(source, keys, order_by).write.parquet(staged)
+            days = source = self.spark.read.schema(source.schema).parquet(staged)
+        touched = self.touched_days(days, partition_by)
         merged = upsert_frame(self.read(name, touched), source, keys, order_by)
         self._commit(name, merged, partition_by, keys, touched, base)
         self._keep_schema(name, schema)
+        if staged:
+            self._delete(staged)
 
     @staticmethod
     def touched_days(df: DataFrame, day: str) -> list[str]:
