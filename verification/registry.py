@@ -1175,13 +1175,14 @@ def _(lk: Lake) -> DataFrame:
     out = None
     for order in ("live_first", "backfill_first"):
         tables = Tables(lk.spark, f"{lk.tables.root}/shared-{order}")
-        live = bronze.enrich(
-            fx.topic_frame(fx.weather_enveloped(_event_stream(lk)), WEATHER), date_from="measurement"
-        )
-        history = bronze.backfill_rows(fx.carbon_enveloped(lk.events), WEATHER.topic, at(GENERATED_AT))
+        # A stream can't be divided into ranges; a day's events go to a few tasks.
+        dealt = _event_stream(lk).repartition(slices.cluster_tasks(lk.events), F.to_date("ts"), F.col("event_id") % 8)
+        live = bronze.enrich(fx.topic_frame(fx.weather_enveloped(dealt), WEATHER), date_from="measurement")
+        events = slices.clustered(lk.events, "ts", "event_id")
+        history = bronze.backfill_rows(fx.carbon_enveloped(events), WEATHER.topic, at(GENERATED_AT))
         steps = [
-            lambda t=tables, r=live: ingest.write_bronze(r, t, WEATHER.topic, f"{t.root}/checkpoints/live"),
-            lambda t=tables, r=history: bronze.append_backfill(t, WEATHER.topic, r, write_id="history"),
+            lambda t=tables, r=live: ingest.write_bronze(r, t, WEATHER.topic, f"{t.root}/checkpoints/live", clustered=True),
+            lambda t=tables, r=history: bronze.append_backfill(t, WEATHER.topic, r, write_id="history", clustered=True),
         ]
         for step in (steps if order == "live_first" else steps[::-1]) * 2:
             step()

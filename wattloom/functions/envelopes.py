@@ -100,7 +100,11 @@ def to_topic_frame(
     )
 
 
-def measurement_date(envelope_json: Column) -> Column:
-    """Calendar date of the envelope's event_time (all feeds write yyyy-MM-dd first)."""
-    event_time = F.get_json_object(envelope_json, "$.event_time")
+def date_of_event_time(event_time: Column) -> Column:
+    """Calendar date of an envelope's event_time (all feeds write yyyy-MM-dd first)."""
     return F.to_date(iso_instant(F.substring(event_time, 1, 10)))
+
+
+def measurement_date(envelope_json: Column) -> Column:
+    """`date_of_event_time` of an envelope that is JSON."""
+    return date_of_event_time(F.get_json_object(envelope_json, "$.event_time"))

@@ -59,5 +59,9 @@ def clustered(df: DataFrame, *by: str, rows: int = CLUSTER_ROWS) -> DataFrame:
     wide ones need no shuffle, and no task has more of them than it can sort in memory. `by` should end in
     something unique, so that many rows at one time can be divided too. Counts `df`, which of files reads footers only.
     """
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
-    return df.repartitionByRange(tasks, *by)
+    return df.repartitionByRange(cluster_tasks(df, rows), *by)
+
+
+def cluster_tasks(df: DataFrame, rows: int = CLUSTER_ROWS) -> int:
+    """Tasks of about `rows`, and no fewer than can run at once."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))

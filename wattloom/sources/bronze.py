@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.functions.envelopes import measurement_date
+from wattloom.functions.envelopes import date_of_event_time, measurement_date
 from wattloom.schemas import BRONZE
 from wattloom.sources.tables import Tables
 
@@ -70,17 +70,17 @@ def enrich(frame: DataFrame, date_from: str = "broker", ingested_at: Column | No
 def backfill_rows(enveloped: DataFrame, topic: str, written_at: Column | None = None) -> DataFrame:
     """Rows with an `envelope` struct as bronze rows that never went through a broker."""
     now = F.current_timestamp() if written_at is None else written_at
-    json = F.to_json("envelope")
     return enveloped.select(
-        json.alias("envelope_json"),
+        F.to_json("envelope").alias("envelope_json"),
         F.col("envelope.region").alias("kafka_key"),
         F.lit(topic).alias("topic"),
         F.lit(0).alias("partition"),
         F.lit(0).cast("bigint").alias("offset"),
         now.alias("kafka_timestamp"),
         now.alias("ingested_at_ts"),
-        # As in `enrich`: a row without a readable time falls under the day it is written.
-        F.coalesce(measurement_date(json), F.to_date(now)).alias("event_date"),
+        # As in `enrich`: a row without a readable time falls under the day it is written. Taken from the struct, so
+        # that a summary of the rows makes no JSON.
+        F.coalesce(date_of_event_time(F.col("envelope.event_time")), F.to_date(now)).alias("event_date"),
     ).select(*BRONZE.names)
 
 
@@ -93,21 +93,23 @@ def backfill_summary(rows: DataFrame) -> DataFrame:
     )
 
 
-def write_rows(tables: Tables, table: str, rows: DataFrame, write_id: str) -> None:
+def write_rows(tables: Tables, table: str, rows: DataFrame, write_id: str, clustered: bool = False) -> None:
     """Bronze rows into their table under the id of the write. Streams and backfills share the
-    table; a write that is done again under its id replaces what it wrote."""
+    table; a write that is done again under its id replaces what it wrote. Rows made of `clustered`
+    ones are not shuffled again."""
     marked = rows.withColumn(WRITE_ID, F.lit(write_id))
-    tables.replace_partitions(f"bronze.{table}", marked, ["event_date", WRITE_ID])
+    tables.replace_partitions(f"bronze.{table}", marked, ["event_date", WRITE_ID], clustered=clustered)
 
 
 def append_backfill(
-    tables: Tables, table: str, rows: DataFrame, dry_run: bool = False, write_id: str | None = None
-) -> dict[str, int]:
+    tables: Tables, table: str, rows: DataFrame, dry_run: bool = False, write_id: str | None = None,
+    clustered: bool = False,
+) -> dict[str, int]:
     """Appends backfilled rows to a bronze table, and says how many rows, dates and keys they
     are; with dry_run it only says so. A backfill that names its `write_id` can be run again."""
     summary = backfill_summary(rows).first().asDict()
     if not dry_run:
-        write_rows(tables, table, rows, write_id or f"backfill-{uuid.uuid4().hex}")
+        write_rows(tables, table, rows, write_id or f"backfill-{uuid.uuid4().hex}", clustered)
     return summary
 
 

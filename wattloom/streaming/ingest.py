@@ -20,17 +20,18 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
 
 
 def write_bronze(
-    rows: DataFrame, tables: Tables, table: str, checkpoint: str, available_now: bool = True, await_end: bool = True
-) -> StreamingQuery:
+    rows: DataFrame, tables: Tables, table: str, checkpoint: str, available_now: bool = True, await_end: bool = True,
+    clustered: bool = False,
+) -> StreamingQuery:
     """A stream of bronze rows into the table that backfills write to as well.
 
     Each micro-batch is a write of its own, so one that is delivered twice adds nothing. The
     checkpoint folder must belong to this stream alone. With available_now the query takes what is
-    there and ends, which suits a schedule.
+    there and ends, which suits a schedule. `clustered` as in `write_rows`.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        write_rows(tables, table, batch, f"{query_id(tables.spark, checkpoint)}-{batch_id}")
+        write_rows(tables, table, batch, f"{query_id(tables.spark, checkpoint)}-{batch_id}", clustered)
 
     writer = rows.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     query = (writer.trigger(availableNow=True) if available_now else writer).start()
