@@ -25,6 +25,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
+import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -181,10 +183,15 @@ def start() -> Fragment:
     return Fragment(whole=False)
 
 
+# White space at the end of what stands between two spaces, or a second space.
+SPACE_AT_END = re.compile(r"\s(?: |\Z)")
+
+
 def chunks_of(text: str) -> list[str]:
     """The text's chunks; each stands behind a space that goes with it."""
     parts = text.split(" ")
-    if all(p and not p[-1].isspace() for p in parts):
+    # No part is empty or ends in white space.
+    if not text.startswith(" ") and not SPACE_AT_END.search(text):
         return parts
     out, held = [], []
     for part in parts:
@@ -229,21 +236,33 @@ class Chunks:
         # Long chunks count by their links.
         if max(len(self.place), len(self.pairs) // 4) > self.limit:
             self.forget()
-        new = list(dict.fromkeys(c for chunks in texts for c in chunks if c not in self.place))
+        new = [c for c in dict.fromkeys(chain.from_iterable(texts)) if c not in self.place]
         for at in range(0, len(new), 5_000):
             self._learn(new[at : at + 5_000])
 
+    def _all_good(self, content: bytes, size: np.ndarray, *sides: np.ndarray) -> bool:
+        """Whether both sides' tokens give back every chunk: all bytes in a row, and each chunk's number of them."""
+        ends = np.cumsum(size)
+        for ids, n, of, lengths in zip(sides[::2], sides[1::2], (self.vocabularies.a_bytes, self.vocabularies.b_bytes), self.lengths, strict=True):
+            upto = np.concatenate([[0], np.cumsum(lengths[ids])])
+            if not np.array_equal(upto[np.cumsum(n)], ends) or b"".join(map(of.__getitem__, ids.tolist())) != content:
+                return False
+        return True
+
     def _learn(self, chunks: list[str]) -> None:
         v = self.vocabularies
         a, b = v.encode_a([" " + c for c in chunks]), v.encode_b(chunks)
         contents = [(" " + c).encode() for c in chunks]
         good = np.ones(len(chunks), np.int64)
-        for i, (x, y, content) in enumerate(zip(a, b, contents, strict=True)):
-            if not b"".join(map(v.a_bytes.__getitem__, x)) == content == b"".join(map(v.b_bytes.__getitem__, y)):
-                good[i], a[i], b[i], contents[i] = 0, [], [], b""
         size = np.fromiter(map(len, contents), np.int64, len(contents))
-        limits = np.cumsum(size)
         (ids_a, n_a), (ids_b, n_b) = flattened(a), flattened(b)
+        if not self._all_good(b"".join(contents), size, ids_a, n_a, ids_b, n_b):
+            for i, (x, y, content) in enumerate(zip(a, b, contents, strict=True)):
+                if not b"".join(map(v.a_bytes.__getitem__, x)) == content == b"".join(map(v.b_bytes.__getitem__, y)):
+                    good[i], a[i], b[i], contents[i] = 0, [], [], b""
+            size = np.fromiter(map(len, contents), np.int64, len(contents))
+            (ids_a, n_a), (ids_b, n_b) = flattened(a), flattened(b)
+        limits = np.cumsum(size)
         ends_a, ends_b = (np.cumsum(of[ids]) for of, ids in zip(self.lengths, (ids_a, ids_b), strict=True))
         # Tokens overlap in just one stretch, which ends where one of them does.
         stretches, groups = np.union1d(ends_a, ends_b), np.intersect1d(ends_a, ends_b, assume_unique=True)
@@ -267,6 +286,8 @@ class Chunks:
 
 @lru_cache(maxsize=1)
 def remembered(a_path: str, b_path: str) -> Chunks:
+    # A task has one core: threads of the tokenizer's own would only wait for each other, at its expense.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Chunks(Vocabularies(a_path, b_path))
 
 
@@ -300,17 +321,18 @@ def _align(a_path: str, b_path: str):
     def batch_stats(memory: Chunks, texts: list[str]) -> list[pa.Array]:
         chunks = [chunks_of(t) if t else [] for t in texts]
         memory.learn(chunks)
-        place = memory.place.__getitem__
-        own = np.array([place(c) for some in chunks for c in some], np.int64)
+        places = list(map(memory.place.__getitem__, chain.from_iterable(chunks)))
+        own = np.array(places, np.int64)
         size = np.array([len(c) for c in chunks])
         text = np.repeat(np.arange(len(texts)), size)
         known = np.frombuffer(memory.numbers, np.int64).reshape(-1, 5)
         good = np.bincount(text, known[own, 0] == 0, minlength=len(texts)) == 0
         numbers = np.stack([np.bincount(text, known[own, k], minlength=len(texts)) for k in range(1, 5)], axis=1)
         numbers = numbers.astype(np.int64) * good[:, None]
+        shown, upto = list(map(memory.text.__getitem__, places)), np.cumsum(size).tolist()
         digests = [
-            hashlib.sha256("".join([memory.text[place(c)] for c in some])[:-1].encode()).hexdigest() if ok and some else ""
-            for some, ok in zip(chunks, good.tolist(), strict=True)
+            hashlib.sha256("".join(shown[end - len(some) : end])[:-1].encode()).hexdigest() if ok and some else ""
+            for some, end, ok in zip(chunks, upto, good.tolist(), strict=True)
         ]
         # Distinct chunks of each good text, then their pairs.
         alive = good[text]
