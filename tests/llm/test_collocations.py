@@ -1,8 +1,11 @@
 """Phrase collocations against SQL and a plain count."""
 
 import re
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -101,6 +104,32 @@ def test_long_text(spark):
     check(spark, [(" ".join(f"w{i % 7} v{i % 3}" for i in range(200_000)), "en"), ("z" * 3_000_000 + " z z z", "en")], 3)
 
 
+def test_tasks_hold_their_rows_once(monkeypatch):
+    """A task's arrays stay near the size of the rows it may hold; copies of them were three times that and more."""
+    draw = np.random.default_rng(3)
+    for name, value in (("COUNTED_AT_ONCE", 1_000_000), ("POINTED_AT_ONCE", 400_000), ("ROWS_A_BATCH", 20_000)):
+        monkeypatch.setattr(collocations, name, value)
+    monkeypatch.setattr(collocations, "BLOCK_BYTES", 1 << 14)
+
+    def batches():
+        for i in range(500):
+            text = " ".join(f"{x:x}" for x in draw.integers(0, 1 << 40, 2000))
+            yield pa.RecordBatch.from_pydict({
+                "text": pa.array([text]), "seed": pa.array([1], pa.int64()), "content": pa.array([i], pa.int64())
+            })
+
+    everything = SimpleNamespace(value=np.full(64, ~np.uint64(0)))
+    for task, rows_, row in (
+        (collocations._count(64), 500 * 3999, 8 * 1_000_000),
+        (collocations._point(64, everything), 500 * (2000 * 5 - 10), 5 * 8 * 400_000),
+    ):
+        tracemalloc.start()
+        assert sum(sum(b.column("n").to_pylist()) for b in task(batches())) == rows_
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 1.8 * row
+
+
 def test_no_rows(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert collocations.collocations(none).count() == 0

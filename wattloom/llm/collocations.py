@@ -65,7 +65,7 @@ class Polynomial:
 
     def hashes(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         if len(self.up) < len(values):
-            n = max(len(values), BLOCK_BYTES)
+            n = max(len(values), min(2 * len(self.up), BLOCK_BYTES))
             self.up, self.down = _powers(self.base, n), _powers(self.inverse, n)
         sums = np.zeros(len(values) + 1, np.uint64)
         np.cumsum(values * self.up[: len(values)], out=sums[1:])
@@ -147,10 +147,47 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _batches(columns: list[pa.Array], names: list[str]) -> Iterator[pa.RecordBatch]:
-    whole = pa.RecordBatch.from_arrays(columns, names)
-    for at in range(0, whole.num_rows, ROWS_A_BATCH):
-        yield whole.slice(at, ROWS_A_BATCH)
+class Held:
+    """Rows of 64-bit columns up to a fixed number, in arrays made once: a task holds its rows a single time,
+    and takes them out in the order of the first column, a slice of whole runs at a time."""
+
+    def __init__(self, most: int, columns: int):
+        self.columns, self.n = [np.empty(most, np.uint64) for _ in range(columns)], 0
+
+    def add(self, *columns: np.ndarray) -> Iterator[None]:
+        """Yields whenever it is full, and goes on with what is left once that is taken out."""
+        at, most = 0, len(self.columns[0])
+        while at < len(columns[0]):
+            upto = min(len(columns[0]), at + most - self.n)
+            for own, column in zip(self.columns, columns, strict=True):
+                own[self.n : self.n + upto - at] = column[at:upto].view(np.uint64)
+            self.n, at = self.n + upto - at, upto
+            if self.n == most:
+                yield
+
+    def taken(self) -> Iterator[tuple[np.ndarray, ...]]:
+        first, *others = (c[: self.n] for c in self.columns)
+        if others:
+            order = np.argsort(first, kind="stable")
+            first = first[order]
+        else:
+            first.sort()
+        at, n, self.n = 0, self.n, 0
+        while at < n:
+            upto = min(at + ROWS_A_BATCH, n)
+            upto = int(np.searchsorted(first, first[upto - 1], "right"))
+            yield first[at:upto], *(c[order[at:upto]] for c in others)
+            at = upto
+
+
+def runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of rows with the same values begin, and how long they are."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = columns[0][1:] != columns[0][:-1]
+    for c in columns[1:]:
+        new[1:] |= c[1:] != c[:-1]
+    first = np.flatnonzero(new)
+    return first, np.diff(np.append(first, len(new)))
 
 
 def _seeds(batch: pa.RecordBatch) -> np.ndarray:
@@ -167,13 +204,12 @@ def _count(bits: int):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark, _ = fingerprints(bits)
-        held: list[np.ndarray] = []
+        held = Held(COUNTED_AT_ONCE, 1)
 
         def summed() -> Iterator[pa.RecordBatch]:
-            if held:
-                found, n = np.unique(np.concatenate(held), return_counts=True)
-                held.clear()
-                yield from _batches([_signed(found), pa.array(n)], ["mark", "n"])
+            for (found,) in held.taken():
+                first, n = runs(found)
+                yield pa.RecordBatch.from_arrays([_signed(found[first]), pa.array(n)], ["mark", "n"])
 
         for batch in batches:
             words, seeds = Words(batch.column("text")), _seeds(batch)
@@ -181,12 +217,12 @@ def _count(bits: int):
             for first, end, reach in words.windows():
                 own = hashes[first:reach]
                 seed = seeds[words.text[first:reach]]
-                held.append(mark.of_phrases(own, seed, 1)[: end - first])
+                for _ in held.add(mark.of_phrases(own, seed, 1)[: end - first]):
+                    yield from summed()
                 if len(own) > 1:
                     same = words.piece[first + 1 : reach] == words.piece[first : reach - 1]
-                    held.append(mark.of_phrases(own, seed, 2)[: end - first][same[: end - first]])
-                if sum(map(len, held)) >= COUNTED_AT_ONCE:
-                    yield from summed()
+                    for _ in held.add(mark.of_phrases(own, seed, 2)[: end - first][same[: end - first]]):
+                        yield from summed()
         yield from summed()
 
     return count
@@ -233,27 +269,15 @@ def _point(bits: int, shared):
     def point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark, check = fingerprints(bits)
         bitmap = shared.value
-        held: list[tuple[np.ndarray, ...]] = []
+        held = Held(POINTED_AT_ONCE, 5)
 
         def summed() -> Iterator[pa.RecordBatch]:
-            if not held:
-                return
-            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
-            held.clear()
-            order = np.argsort(columns[0], kind="stable")
-            columns = [c[order] for c in columns]
-            marks, checks, *place = columns
-            new = np.ones(len(marks), bool)
-            new[1:] = (marks[1:] != marks[:-1]) | (checks[1:] != checks[:-1])
-            first = np.flatnonzero(new)
-            n = np.diff(np.append(first, len(marks)))
-            of_text, start, length = (c[first] for c in place)
-            pointer = pa.StructArray.from_arrays(
-                [pa.array(of_text), pa.array(start), pa.array(length)], names=["text", "start", "length"]
-            )
-            yield from _batches(
-                [_signed(marks[first]), _signed(checks[first]), pa.array(n), pointer], ["mark", "check", "n", "place"]
-            )
+            for marks, checks, *place in held.taken():
+                first, n = runs(marks, checks)
+                pointer = pa.StructArray.from_arrays([_signed(c[first]) for c in place], names=["text", "start", "length"])
+                yield pa.RecordBatch.from_arrays(
+                    [_signed(marks[first]), _signed(checks[first]), pa.array(n), pointer], ["mark", "check", "n", "place"]
+                )
 
         for batch in batches:
             words, seeds = Words(batch.column("text")), _seeds(batch)
@@ -277,15 +301,15 @@ def _point(bits: int, shared):
                     at = np.flatnonzero(may[: end - first])
                     own = words.text[first + at]
                     start = words.starts[first + at]
-                    held.append((
+                    rows = held.add(
                         found[at],
                         check.of_phrases(seconds[first:reach], seed, n)[at],
                         contents[own],
                         start - words.offsets[own],
                         words.ends[first + at + n - 1] - start,
-                    ))
-                if sum(len(c[0]) for c in held) >= POINTED_AT_ONCE:
-                    yield from summed()
+                    )
+                    for _ in rows:
+                        yield from summed()
         yield from summed()
 
     return point
@@ -352,7 +376,8 @@ def frequent_phrases(
         F.xxhash64(of_lang, whole_text(text)).alias("content"),
     )
     counted = content.select("text", "seed").mapInArrow(_count(bits), "mark bigint, n bigint")
-    often = counted.groupBy("mark").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    # Tasks have summed up already: a second sum before the shuffle would only sort and spill.
+    often = counted.repartition("mark").groupBy("mark").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     often = written(often.select("mark"), "often")
     shared = docs.sparkSession.sparkContext.broadcast(frequent_filter(often, often.count()))
     pointed = content.select("text", "seed", "content").mapInArrow(_point(bits, shared), POINTED)
