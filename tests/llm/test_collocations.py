@@ -130,6 +130,31 @@ def test_tasks_hold_their_rows_once(monkeypatch):
         assert peak < 1.8 * row
 
 
+def test_a_task_gives_one_row_a_phrase(monkeypatch):
+    """Triples that aren't frequent, whose pairs are, aren't pointed at; the others are, once a task."""
+    monkeypatch.setattr(collocations, "POINTED_AT_ONCE", 200)
+    mark, _ = collocations.fingerprints()
+    texts = ["a b c"] * 300 + ["b c a b"] * 300
+    batches = [
+        pa.RecordBatch.from_pydict({
+            "text": pa.array(texts[i : i + 50]), "seed": pa.array([1] * 50, pa.int64()), "content": pa.array(range(50), pa.int64())
+        })
+        for i in range(0, 600, 50)
+    ]
+    often = pa.array(["a", "b", "c", "a b", "b c", "a b c"])
+    words = collocations.Words(often)
+    hashes, bitmap = mark.of_words(words.data, words.starts, words.ends), np.zeros(1 << 14, np.uint64)
+    for first, n in ((0, 1), (1, 1), (2, 1), (3, 2), (5, 2), (7, 3)):
+        found = mark.of_phrases(hashes[first : first + n], np.ones(n, np.uint64), n)
+        last = np.uint64(len(bitmap) * 64 - 1)
+        for k in range(collocations.PROBES):
+            place = ((found & last) + (found >> np.uint64(32) | np.uint64(1)) * np.uint64(k)) & last
+            bitmap[place >> np.uint64(6)] |= np.uint64(1) << (place & np.uint64(63))
+    pointed = [n for b in collocations._point(64, SimpleNamespace(value=bitmap))(iter(batches)) for n in b.column("n").to_pylist()]
+    # a, b, c, a b, b c, a b c; neither b c a nor c a b.
+    assert sorted(pointed) == [300, 600, 600, 600, 600, 900]
+
+
 def test_no_rows(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert collocations.collocations(none).count() == 0

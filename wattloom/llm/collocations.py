@@ -3,14 +3,17 @@
 Texts are lower-cased (A-Z), cut into pieces at `.,;:!?` and line ends, and pieces into words at spaces
 and tabs. Everything is counted per language. A word's fingerprint is the polynomial of its bytes, a phrase's
 the polynomial of its words' fingerprints, both modulo 2^64 and both for all ranges at once from prefix
-sums in numpy. Three steps:
+sums in numpy. Four steps:
 
 1. Words and pairs are counted by fingerprint. The frequent ones go into a Bloom filter, whose size follows
    their number up to a fixed most; past that it only lets more through.
-2. Phrases of up to five words whose pairs all are in the filter are counted by fingerprint, with a pointer to
-   one occurrence (the text's hash, and where in it). A second, independent fingerprint tells apart what
-   collides under the first, so counts are those of different texts.
-3. Frequent phrases only are read out of the text at their pointers, hashed again to make sure that they are
+2. Triples whose pairs both are in the filter are counted by fingerprint; the frequent ones go into a second
+   filter, with the words and pairs.
+3. Phrases of up to five words whose words, pairs and triples all are in the filter are counted by fingerprint,
+   with a pointer to one occurrence (the text's hash, and where in it). A task gives one row a phrase, unless
+   it has more phrases than it may hold. A second, independent fingerprint tells apart what collides under the
+   first, so counts are those of different texts.
+4. Frequent phrases only are read out of the text at their pointers, hashed again to make sure that they are
    what was counted, and from there on known by their words.
 
 A phrase inside another of the same count is dropped. It is enough to look at phrases one word longer: all
@@ -24,7 +27,7 @@ whatever their names, are left aside. Without rows, or without frequent phrases,
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -148,46 +151,56 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 class Held:
-    """Rows of 64-bit columns up to a fixed number, in arrays made once: a task holds its rows a single time,
-    and takes them out in the order of the first column, a slice of whole runs at a time."""
+    """Rows of 64-bit columns up to a fixed number, in arrays made once, so that a task holds its rows a single time."""
 
     def __init__(self, most: int, columns: int):
-        self.columns, self.n = [np.empty(most, np.uint64) for _ in range(columns)], 0
+        self.columns, self.n, self.most = [np.empty(most, np.uint64) for _ in range(columns)], 0, most
 
     def add(self, *columns: np.ndarray) -> Iterator[None]:
-        """Yields whenever it is full, and goes on with what is left once that is taken out."""
-        at, most = 0, len(self.columns[0])
+        """Yields whenever it is full, and goes on with what is left once there is room again."""
+        at = 0
         while at < len(columns[0]):
-            upto = min(len(columns[0]), at + most - self.n)
+            upto = min(len(columns[0]), at + self.most - self.n)
             for own, column in zip(self.columns, columns, strict=True):
                 own[self.n : self.n + upto - at] = column[at:upto].view(np.uint64)
             self.n, at = self.n + upto - at, upto
-            if self.n == most:
+            if self.n == self.most:
                 yield
 
-    def taken(self) -> Iterator[tuple[np.ndarray, ...]]:
-        first, *others = (c[: self.n] for c in self.columns)
-        if others:
-            order = np.argsort(first, kind="stable")
-            first = first[order]
-        else:
-            first.sort()
-        at, n, self.n = 0, self.n, 0
-        while at < n:
-            upto = min(at + ROWS_A_BATCH, n)
-            upto = int(np.searchsorted(first, first[upto - 1], "right"))
-            yield first[at:upto], *(c[order[at:upto]] for c in others)
+    def counted(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The first column's values with their numbers, in slices; then there is room."""
+        held, at = self.columns[0][: self.n], 0
+        held.sort()
+        while at < len(held):
+            upto = int(np.searchsorted(held, held[min(at + ROWS_A_BATCH, len(held)) - 1], "right"))
+            first = starts([held[at:upto]])
+            yield held[at + first], np.diff(first, append=upto - at)
             at = upto
-
-
-def runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where runs of rows with the same values begin, and how long they are."""
-    new = np.ones(len(columns[0]), bool)
-    new[1:] = columns[0][1:] != columns[0][:-1]
-    for c in columns[1:]:
+        self.n = 0
+
+    def merge(self) -> None:
+        """One row for those of the same first two columns, with the sum of their last column."""
+        held = [c[: self.n] for c in self.columns]
+        order = np.argsort(held[0])
+        for c in held:
+            c[:] = c[order]
+        del order
+        first = starts(held[:2])
+        if len(first):
+            held[-1][: len(first)] = np.add.reduceat(held[-1], first)
+        for c in held[:-1]:
+            c[: len(first)] = c[first]
+        self.n = len(first)
+
+
+def starts(columns: Iterable[np.ndarray]) -> np.ndarray:
+    """Where runs of rows with the same values begin."""
+    new = np.zeros(0, bool)
+    for c in columns:
+        if not len(new):
+            new = np.arange(len(c)) == 0
         new[1:] |= c[1:] != c[:-1]
-    first = np.flatnonzero(new)
-    return first, np.diff(np.append(first, len(new)))
+    return np.flatnonzero(new)
 
 
 def _seeds(batch: pa.RecordBatch) -> np.ndarray:
@@ -199,29 +212,41 @@ def fingerprints(bits: int = 64) -> tuple[Fingerprint, Fingerprint]:
     return Fingerprint(20_260_711, bits), Fingerprint(20_260_712)
 
 
-def _count(bits: int):
-    """Step 1: fingerprints of words and pairs with their number in a share of the task."""
+def frequent_pairs(mark: Fingerprint, bitmap: np.ndarray, own: np.ndarray, seed: np.ndarray, piece: np.ndarray) -> np.ndarray:
+    """Whether a word and the next are of one piece and a pair in the filter."""
+    pairs = piece[1:] == piece[:-1]
+    pairs[pairs] = in_filter(bitmap, mark.of_phrases(own, seed, 2)[pairs])
+    return pairs
+
+
+def _count(bits: int, shared=None):
+    """Fingerprints with their number in a share of the task: of words and pairs (step 1) or, given the filter
+    of those, of the triples whose pairs are in it (step 2)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark, _ = fingerprints(bits)
         held = Held(COUNTED_AT_ONCE, 1)
 
+        def marks(own: np.ndarray, seed: np.ndarray, piece: np.ndarray, n: int) -> Iterator[np.ndarray]:
+            if shared is None:
+                yield mark.of_phrases(own, seed, 1)[:n]
+                if len(own) > 1:
+                    yield mark.of_phrases(own, seed, 2)[:n][(piece[1:] == piece[:-1])[:n]]
+            elif len(own) > 2:
+                pairs = frequent_pairs(mark, shared.value, own, seed, piece)
+                yield mark.of_phrases(own, seed, 3)[:n][(pairs[:-1] & pairs[1:])[:n]]
+
         def summed() -> Iterator[pa.RecordBatch]:
-            for (found,) in held.taken():
-                first, n = runs(found)
-                yield pa.RecordBatch.from_arrays([_signed(found[first]), pa.array(n)], ["mark", "n"])
+            for found, n in held.counted():
+                yield pa.RecordBatch.from_arrays([_signed(found), pa.array(n)], ["mark", "n"])
 
         for batch in batches:
             words, seeds = Words(batch.column("text")), _seeds(batch)
             hashes = mark.of_words(words.data, words.starts, words.ends)
             for first, end, reach in words.windows():
-                own = hashes[first:reach]
-                seed = seeds[words.text[first:reach]]
-                for _ in held.add(mark.of_phrases(own, seed, 1)[: end - first]):
-                    yield from summed()
-                if len(own) > 1:
-                    same = words.piece[first + 1 : reach] == words.piece[first : reach - 1]
-                    for _ in held.add(mark.of_phrases(own, seed, 2)[: end - first][same[: end - first]]):
+                seed, piece = seeds[words.text[first:reach]], words.piece[first:reach]
+                for found in marks(hashes[first:reach], seed, piece, end - first):
+                    for _ in held.add(found):
                         yield from summed()
         yield from summed()
 
@@ -260,24 +285,33 @@ def frequent_filter(marks: DataFrame, n: int) -> np.ndarray:
     return bitmap
 
 
+COUNTED = "mark bigint, n bigint"
 POINTED = "mark bigint, check bigint, n bigint, place struct<text:bigint,start:bigint,length:bigint>"
 
 
 def _point(bits: int, shared):
-    """Step 2: fingerprints of phrases that may be frequent, with a pointer to one occurrence."""
+    """Step 3: fingerprints of phrases that may be frequent, with a pointer to one occurrence."""
 
     def point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark, check = fingerprints(bits)
         bitmap = shared.value
+        # The last two columns: the place's start and length, and the number of occurrences.
         held = Held(POINTED_AT_ONCE, 5)
 
-        def summed() -> Iterator[pa.RecordBatch]:
-            for marks, checks, *place in held.taken():
-                first, n = runs(marks, checks)
-                pointer = pa.StructArray.from_arrays([_signed(c[first]) for c in place], names=["text", "start", "length"])
+        def summed(last: bool = False) -> Iterator[pa.RecordBatch]:
+            held.merge()
+            if not last and 2 * held.n <= held.most:
+                return
+            for at in range(0, held.n, ROWS_A_BATCH):
+                marks, checks, of_text, place, n = (c[at : min(at + ROWS_A_BATCH, held.n)].copy() for c in held.columns)
+                pointer = pa.StructArray.from_arrays(
+                    [_signed(of_text), _signed(place >> np.uint64(32)), _signed(place & np.uint64((1 << 32) - 1))],
+                    names=["text", "start", "length"],
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(marks[first]), _signed(checks[first]), pa.array(n), pointer], ["mark", "check", "n", "place"]
+                    [_signed(marks), _signed(checks), _signed(n), pointer], ["mark", "check", "n", "place"]
                 )
+            held.n = 0
 
         for batch in batches:
             words, seeds = Words(batch.column("text")), _seeds(batch)
@@ -285,32 +319,34 @@ def _point(bits: int, shared):
             hashes = mark.of_words(words.data, words.starts, words.ends)
             seconds = check.of_words(words.data, words.starts, words.ends)
             for first, end, reach in words.windows():
-                seed, piece = seeds[words.text[first:reach]], words.piece[first:reach]
-                alive = np.ones(0, bool)
+                own, seed, piece = hashes[first:reach], seeds[words.text[first:reach]], words.piece[first:reach]
+                pairs = triples = alive = np.ones(0, bool)
                 for n in range(1, min(LONGEST, reach - first) + 1):
-                    found = mark.of_phrases(hashes[first:reach], seed, n)
+                    found = mark.of_phrases(own, seed, n)
                     if n == 1:
                         may = in_filter(bitmap, found)
                     elif n == 2:
-                        may = piece[1:] == piece[:-1]
+                        may = pairs = frequent_pairs(mark, bitmap, own, seed, piece)
+                    elif n == 3:
+                        may = pairs[:-1] & pairs[1:]
                         may[may] = in_filter(bitmap, found[may])
-                        pairs = alive = may
+                        triples = alive = may
                     else:
-                        # All of its pairs: the phrase one word shorter, and the last pair.
-                        may = alive = alive[:-1] & pairs[n - 2 :]
+                        # All of its triples: the phrase one word shorter, and the last triple.
+                        may = alive = alive[:-1] & triples[n - 3 :]
                     at = np.flatnonzero(may[: end - first])
-                    own = words.text[first + at]
+                    of_text = words.text[first + at]
                     start = words.starts[first + at]
                     rows = held.add(
                         found[at],
                         check.of_phrases(seconds[first:reach], seed, n)[at],
-                        contents[own],
-                        start - words.offsets[own],
-                        words.ends[first + at + n - 1] - start,
+                        contents[of_text],
+                        (start - words.offsets[of_text]) << 32 | words.ends[first + at + n - 1] - start,
+                        np.ones(len(at), np.uint64),
                     )
                     for _ in rows:
                         yield from summed()
-        yield from summed()
+        yield from summed(last=True)
 
     return point
 
@@ -319,7 +355,7 @@ PHRASES = "lang string, phrase string, words int, n bigint"
 
 
 def _read(bits: int):
-    """Step 3: the phrases at their pointers, as far as they are what was counted."""
+    """Step 4: the phrases at their pointers, as far as they are what was counted."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark, check = fingerprints(bits)
@@ -375,11 +411,19 @@ def frequent_phrases(
         F.xxhash64(of_lang).alias("seed"),
         F.xxhash64(of_lang, whole_text(text)).alias("content"),
     )
-    counted = content.select("text", "seed").mapInArrow(_count(bits), "mark bigint, n bigint")
-    # Tasks have summed up already: a second sum before the shuffle would only sort and spill.
-    often = counted.repartition("mark").groupBy("mark").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    often = written(often.select("mark"), "often")
-    shared = docs.sparkSession.sparkContext.broadcast(frequent_filter(often, often.count()))
+    hashed = content.select("text", "seed")
+
+    def often(counted: DataFrame, name: str) -> DataFrame:
+        # Tasks have summed up already: a second sum before the shuffle would only sort and spill.
+        counted = counted.repartition("mark").groupBy("mark").agg(F.sum("n").alias("n"))
+        return written(counted.filter(F.col("n") >= least).select("mark"), name)
+
+    def filtered(marks: DataFrame):
+        return docs.sparkSession.sparkContext.broadcast(frequent_filter(marks, marks.count()))
+
+    short = often(hashed.mapInArrow(_count(bits), COUNTED), "often")
+    triples = often(hashed.mapInArrow(_count(bits, filtered(short)), COUNTED), "triples")
+    shared = filtered(short.union(triples))
     pointed = content.select("text", "seed", "content").mapInArrow(_point(bits, shared), POINTED)
     # One pointer a phrase, and where possible into the same texts.
     pointed = pointed.groupBy("mark", "check").agg(F.sum("n").alias("n"), F.min("place").alias("place"))
