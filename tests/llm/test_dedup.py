@@ -3,13 +3,15 @@
 import random
 import re
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
 from tests.conftest import SF_SMALL
-from wattloom.llm import groups, lines, queries, simhash
+from wattloom.llm import collocations, groups, lines, queries, simhash
 from wattloom.llm.components import components, star_rounds
 
 SCHEMA = "doc_id bigint, text string, key string, line int, root string, _own int, component_id string"
@@ -243,6 +245,41 @@ def test_smallest_edits_that_are_caught(spark, length, adjacent):
         assert sorted(r["text"] for r in found) == ["", line]
 
 
+@pytest.mark.parametrize("matrix", [0, 100])
+def test_verified_on_their_real_shingles(monkeypatch, matrix):
+    """Held against each other in arrays: as with sets of the shingles, whatever the characters."""
+    monkeypatch.setattr(lines, "LINES_IN_A_MATRIX", matrix)
+    monkeypatch.setattr(lines, "SHINGLES_AT_ONCE", 700)
+    draw = random.Random(2)
+    many = "".join(chr(0x4E00 + i) for i in range(6000))
+    for letters, most in (("ab", 40), ("ab\0", 40), ("αβ\U0001f600\U0010ffffx", 40), (many, 8000)):
+        own = ["".join(draw.choices(letters, k=draw.choice([1, 2, 3, 4, 5, 6, 30, most]))) for _ in range(60)]
+        other = [x[:-1] + draw.choice(letters) if draw.random() < 0.7 else x + "\0" for x in own]
+        other = [other[i // 3 * 3] for i in range(60)]
+        near = lines.near_column.func(pa.array(own), pa.array(other)).to_pylist()
+        assert near == [lines.similar(lines.shingles(a), lines.shingles(b)) for a, b in zip(own, other, strict=True)]
+        texts = list(dict.fromkeys(own + other))
+        groups_ = [{k + i: [t, draw.random() < 0.5] for i, t in enumerate(texts[k : k + 12])} for k in range(0, len(texts), 12)]
+        of = [(a, b) for g in groups_ for a in g for b in g if a != b and g[a][1]]
+        want = [(a, b) for a, b in of if lines.similar(lines.shingles(texts[a]), lines.shingles(texts[b]))]
+        assert sets_of(len(texts), lines.verified(groups_)) == sets_of(len(texts), want)
+
+
+def test_only_lines_that_met_are_read_out():
+    """Texts of other lines aren't sent through the shuffle."""
+    texts = [f"line number {i}" for i in range(5000)]
+    needed = [lines.line_hash(t) for t in texts[:50]]
+    bitmap = np.zeros(64, np.uint64)
+    for mark in np.array(needed, np.int64).view(np.uint64):
+        for k in range(collocations.PROBES):
+            place = ((mark & np.uint64(4095)) + (mark >> np.uint64(32) | np.uint64(1)) * np.uint64(k)) & np.uint64(4095)
+            bitmap[place >> np.uint64(6)] |= np.uint64(1) << (place & np.uint64(63))
+    batch = pa.RecordBatch.from_pydict({"text": ["\n".join(texts)]})
+    found = [t for b in lines._texts(SimpleNamespace(value=bitmap))(iter([batch])) for t in b.column("normal").to_pylist()]
+    assert set(texts[:50]) <= set(found) <= set(texts)
+    assert len(found) < 100
+
+
 def test_shingle_hashes_are_equal_for_equal_shingles_only():
     texts = ["abcdefabcde", "xabcdex", "edcba", "ab"]
     hashes, bounds = lines.shingle_hashes(texts)

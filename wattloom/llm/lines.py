@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattloom.llm.collocations import frequent_filter, in_filter
 from wattloom.llm.common import unique_name, whole_text, written
 from wattloom.llm.components import components
 from wattloom.llm.groups import whole_groups
@@ -35,6 +36,8 @@ BANDS = 16
 SIMILARITY = 0.8
 LINES_A_BLOCK = 1000
 CHARACTERS_AT_ONCE = 131_072
+SHINGLES_AT_ONCE = 500_000
+LINES_IN_A_MATRIX = 100
 _RANDOM = np.random.default_rng(20_240_131)
 FACTORS = _RANDOM.integers(1, 1 << 32, ROWS * BANDS, dtype=np.uint32) | np.uint32(1)
 MASKS = _RANDOM.integers(0, 1 << 32, ROWS * BANDS, dtype=np.uint32)
@@ -128,79 +131,186 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by key and line: each other line under a key with the key's least line."""
-    last_key, leader = None, 0
-    for batch in batches:
-        keys, lines = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        if not len(keys):
-            continue
-        new = np.ones(len(keys), bool)
-        new[1:] = keys[1:] != keys[:-1]
-        new[0] = keys[0] != last_key
+    """From rows sorted by key: each other line under a key with the key's least line."""
+    for table, _ in whole_groups(batches, 1):
+        keys, lines = (c.to_numpy() for c in table.columns)
+        new = np.append(True, keys[1:] != keys[:-1])[: len(keys)]
         firsts = np.flatnonzero(new)
-        of = np.searchsorted(firsts, np.arange(len(keys)), side="right") - 1
-        leaders = np.where(of >= 0, lines[firsts[of]] if len(firsts) else 0, leader)
-        last_key, leader = keys[-1], leaders[-1]
-        other = np.flatnonzero(lines != leaders)
-        pairs = np.unique(np.stack([leaders[other], lines[other]], axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], ["leader", "line"]
-        )
-
-
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        hashes, lines = distinct_lines(batch.column(0).to_pylist(), set())
-        yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(lines, pa.string())], ["line", "normal"])
+        if not len(firsts):
+            continue
+        leaders = np.minimum.reduceat(lines, firsts)[np.cumsum(new) - 1]
+        other = lines != leaders
+        pairs = pa.table([pa.array(leaders[other]), pa.array(lines[other])], ["leader", "line"])
+        yield from pairs.group_by(["leader", "line"]).aggregate([]).to_batches()
+
+
+def _texts(shared):
+    """The lines that are in the filter, and those that it lets through besides."""
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, lines = distinct_lines(batch.column(0).to_pylist(), set())
+            hashes = np.array(hashes, np.int64)
+            needed = np.flatnonzero(in_filter(shared.value, hashes.view(np.uint64)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes[needed]), pa.array([lines[i] for i in needed.tolist()], pa.string())], ["line", "normal"]
+            )
+
+    return texts
+
+
+def shingle_codes(lines: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
+    """A number for each shingle of all lines, equal for equal shingles only; the line of each; and how many
+    bits the numbers have."""
+    size = np.array([len(line) for line in lines])
+    points = np.frombuffer("".join([line.ljust(SHINGLE, "\0") for line in lines]).encode("utf-32-le", "surrogatepass"), "<u4")
+    width = np.maximum(size, SHINGLE)
+    first = np.cumsum(width) - width
+    if (size < SHINGLE).any():
+        # What fills up a short line is no character.
+        points = points.copy()
+        for i in np.flatnonzero(size < SHINGLE).tolist():
+            points[first[i] + size[i] : first[i] + SHINGLE] = 0x110000
+    known = np.zeros(int(points.max()) + 1, bool)
+    known[points] = True
+    points = (np.cumsum(known) - 1)[points]
+    bits = int(known.sum() - 1).bit_length()
+    n = len(points) - SHINGLE + 1
+
+    def packed(at: int, upto: int) -> np.ndarray:
+        found = points[at : at + n]
+        for k in range(at + 1, upto):
+            found = found << bits | points[k : k + n]
+        return found
+
+    if bits * SHINGLE <= 60:
+        codes, bits = packed(0, SHINGLE), bits * SHINGLE
+    else:
+        parts = (np.unique(packed(at, upto), return_inverse=True)[1] for at, upto in ((0, 3), (3, SHINGLE)))
+        head, tail = parts
+        codes, bits = head << 30 | tail, 60
+    # Windows over the end of a line belong to none.
+    line = np.repeat(np.arange(len(lines)), width)[:n]
+    own = np.arange(n) <= (first + width - SHINGLE)[line]
+    return codes[own], line[own], bits
+
+
+def shingle_lists(lines: list[str], group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each shingle of a group the lines that have it: line and number of the list, in the order of the
+    groups (0 and up, rising with the lines), the lists and the lines."""
+    codes, line, bits = shingle_codes(lines)
+    of_line, of_group = len(lines).bit_length(), int(group[-1]).bit_length()
+    if of_line + of_group + bits > 63:
+        codes = np.unique(codes, return_inverse=True)[1]
+        bits = len(codes).bit_length()
+    key = (group[line] << bits | codes) << of_line | line
+    key.sort()
+    key = key[np.append(True, key[1:] != key[:-1])]
+    line = key & ((1 << of_line) - 1)
+    key >>= of_line
+    return line, np.cumsum(np.append(0, key[1:] != key[:-1]))
+
+
+def in_parts(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of what has these sizes, of at most that size together or of one."""
+    at = 0
+    while at < len(sizes):
+        upto, size = at + 1, sizes[at]
+        while upto < len(sizes) and size + sizes[upto] <= most:
+            size += sizes[upto]
+            upto += 1
+        yield at, upto
+        at = upto
+
+
+def enough(common: np.ndarray, size: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return common >= SIMILARITY * (size + other - common)
 
 
 @F.arrow_udf(T.BooleanType())
 def near_column(own: pa.Array, other: pa.Array) -> pa.Array:
-    last, of_last, found = None, set(), []
+    """Rows with the same second text in a row are held against it together."""
+    groups: list[list[str]] = []
     for a, b in zip(own.to_pylist(), other.to_pylist(), strict=True):
-        if a == b:
-            found.append(True)
-            continue
-        if b != last:  # rows come in order of the second text
-            last, of_last = b, shingles(b)
-        found.append(similar(shingles(a), of_last))
-    return pa.array(found, pa.bool_())
-
-
-def verified(lines: list[int], normals: list[str], apart: list[bool]) -> list[tuple[int, int]]:
-    """A spanning forest of the near pairs of a line that stands apart and any other line.
-
-    Common shingles are counted for a line and all others at once, through the lists of the lines
-    that have each shingle.
-    """
-    text = dict(zip(lines, normals, strict=True))
-    names, number = list(text), {}
-    own = [[number.setdefault(x, len(number)) for x in shingles(text[name])] for name in names]
-    size = np.array([len(x) for x in own])
-    flat = np.concatenate([np.array(x, np.int64) for x in own])
-    order = np.argsort(flat, kind="stable")
-    having = np.repeat(np.arange(len(own)), size)[order]
-    starts = np.searchsorted(flat[order], np.arange(len(number) + 1)).tolist()
-    place = {name: i for i, name in enumerate(names)}
-    label, found = np.arange(len(own)), []
-    for i in sorted({place[line] for line, alone in zip(lines, apart, strict=True) if alone}):
-        lists = [having[starts[x] : starts[x + 1]] for x in own[i]]
-        common = np.bincount(np.concatenate(lists), minlength=len(own))
-        near = (common >= SIMILARITY * (size[i] + size - common)) & (label != label[i])
-        for j in np.flatnonzero(near).tolist():
-            if label[j] != label[i]:
-                found.append((names[i], names[j]))
-                label[label == label[j]] = label[i]
+        if not groups or groups[-1][0] != b:
+            groups.append([b])
+        groups[-1].append(a)
+    found = []
+    for at, upto in in_parts([sum(map(len, g)) for g in groups], SHINGLES_AT_ONCE):
+        part = groups[at:upto]
+        group = np.repeat(np.arange(len(part)), [len(g) for g in part])
+        leads = np.append(True, group[1:] != group[:-1])
+        line, lists = shingle_lists([x for g in part for x in g], group)
+        size = np.bincount(line, minlength=len(group))
+        # A leader is the first line of all lists that it is in.
+        led = leads[line[np.append(True, lists[1:] != lists[:-1])]]
+        common = np.bincount(line[led[lists]], minlength=len(group))
+        found.append(enough(common, size, size[leads][group])[~leads])
+    return pa.array(np.concatenate(found) if found else np.empty(0, bool))
+
+
+def common_shingles(line: np.ndarray, lists: np.ndarray, n: int, alone: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each line of `alone` with the numbers of shingles it has in common with all `n` lines of a group."""
+    lists = lists - lists[0] if len(lists) else lists
+    if n <= LINES_IN_A_MATRIX:
+        columns = int(lists[-1]) + 1 if len(lists) else 0
+        having = np.zeros((n, columns), np.float32)
+        having[line, lists] = 1
+        yield from zip(alone.tolist(), (having[alone] @ having.T).astype(np.int64), strict=True)
+        return
+    length = np.bincount(lists)
+    start = np.cumsum(length) - length
+    by_line = np.argsort(line, kind="stable")
+    bounds = np.searchsorted(line[by_line], np.arange(n + 1))
+    for i in alone.tolist():
+        own = lists[by_line[bounds[i] : bounds[i + 1]]]
+        each = length[own]
+        at = np.repeat(start[own] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+        yield i, np.bincount(line[at], minlength=n)
+
+
+def verified(groups: list[dict[int, list]]) -> list[tuple[int, int]]:
+    """A spanning forest of the near pairs of a line that stands apart and any other line of its group;
+    a group holds text and standing by line."""
+    names = [name for g in groups for name in g]
+    rows = [row for g in groups for row in g.values()]
+    sizes = [len(g) for g in groups]
+    group = np.repeat(np.arange(len(groups)), sizes)
+    apart = np.array([alone for _, alone in rows], bool)
+    line, lists = shingle_lists([text for text, _ in rows], group)
+    size = np.bincount(line, minlength=len(names))
+    shared = (np.bincount(lists) > 1)[lists]
+    line, lists = line[shared], lists[shared]
+    lists = np.cumsum(np.append(0, lists[1:] != lists[:-1])) if len(lists) else lists
+    bounds = np.searchsorted(group[line], np.arange(len(groups) + 1)).tolist()
+    found, first = [], 0
+    for g, n in enumerate(sizes):
+        own = slice(bounds[g], bounds[g + 1])
+        of = size[first : first + n]
+        label = np.arange(n)
+        for i, common in common_shingles(line[own] - first, lists[own], n, np.flatnonzero(apart[first : first + n])):
+            near = enough(common, of[i], of) & (label != label[i])
+            for j in np.flatnonzero(near).tolist():
+                if label[j] != label[i]:
+                    found.append((names[first + i], names[first + j]))
+                    label[label == label[j]] = label[i]
+        first += n
     return found
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table, group in whole_groups(batches, 3, 500):
-        lines, normals, apart = (table.column(c).to_pylist() for c in ("line", "normal", "apart"))
-        cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)]
-        found = [
-            p for s, e in zip(cuts[:-1], cuts[1:], strict=True) for p in verified(lines[s:e], normals[s:e], apart[s:e])
-        ]
+        groups: list[dict[int, list]] = []
+        rows = zip(group.tolist(), *(table.column(c).to_pylist() for c in ("line", "normal", "apart")), strict=True)
+        last = None
+        for g, line, normal, apart in rows:
+            if g != last:
+                groups.append({})
+                last = g
+            groups[-1].setdefault(line, [normal, False])[1] |= apart
+        found = []
+        for at, upto in in_parts([sum(len(text) for text, _ in g.values()) for g in groups], SHINGLES_AT_ONCE):
+            found += verified(groups[at:upto])
         a, b = zip(*found, strict=True) if found else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
@@ -234,20 +344,23 @@ def line_components(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     content = docs.select(whole_text(text).alias("text"))
     bands = content.mapInArrow(_sign, "key bigint, line bigint")
-    met = bands.repartition("key").sortWithinPartitions("key", "line")
+    # By one column, which Spark sorts by radix.
+    met = bands.repartition("key").sortWithinPartitions("key")
     met = written(met.mapInArrow(_meet, "leader bigint, line bigint").distinct(), "met")
-    needed = met.select("line").union(met.select("leader")).distinct()
-    normal = content.mapInArrow(_texts, "line bigint, normal string").join(needed, "line")
+    needed = written(met.select("line").union(met.select("leader")).distinct().toDF("mark"), "needed")
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_filter(needed, needed.count()))
+    # Lines that the filter lets through besides meet nothing in the joins.
+    normal = content.mapInArrow(_texts(shared), "line bigint, normal string")
     normal = written(normal.groupBy("line").agg(F.first("normal").alias("normal")), "normal")
     leaders = normal.select(F.col("line").alias("leader"), F.col("normal").alias("other"))
-    # A leader is a member of its own group.
-    met = met.union(met.select("leader", F.col("leader").alias("line")).distinct())
     star = met.join(normal, "line").join(leaders, "leader")
     star = written(star.select("leader", "line", near_column("normal", "other").alias("near")), "star")
     mixed = star.filter(~F.col("near")).select("leader").distinct()
-    dealt = cells(star.join(mixed, "leader"), LINES_A_BLOCK).join(normal, "line").select("leader", "i", "j", "line", "normal", "apart")
+    # A leader is a member of its own group.
+    members = star.join(mixed, "leader").union(mixed.select("leader", F.col("leader").alias("line"), F.lit(True).alias("near")))
+    dealt = cells(members, LINES_A_BLOCK).join(normal, "line").select("leader", "i", "j", "line", "normal", "apart")
     dealt = dealt.repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j")
-    joined = star.filter("near AND leader <> line").select("leader", "line")
+    joined = star.filter("near").select("leader", "line")
     return components(joined.union(dealt.mapInArrow(_verify, "a bigint, b bigint")))
 
 
