@@ -37,6 +37,9 @@ SIMILARITY = 0.8
 LINES_A_BLOCK = 1000
 CHARACTERS_AT_ONCE = 131_072
 SHINGLES_AT_ONCE = 500_000
+KEYS_AT_ONCE = 1_000_000
+# A bucket is a key's first twelve bits: 4096 buckets.
+BUCKET_SHIFT = 52
 LINES_IN_A_MATRIX = 100
 _RANDOM = np.random.default_rng(20_240_131)
 FACTORS = _RANDOM.integers(1, 1 << 32, ROWS * BANDS, dtype=np.uint32) | np.uint32(1)
@@ -116,32 +119,59 @@ def distinct_lines(texts: list[str], seen: set[int]) -> tuple[list[int], list[st
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys and lines as blocks of 64-bit numbers, all keys of a block from one of 4096 ranges: rows of one
+    key each would cost the shuffle more than the hashing."""
+    held: list[np.ndarray] = []
+
+    def blocks() -> Iterator[pa.RecordBatch]:
+        if not held:
+            return
+        rows = np.concatenate(held)
+        held.clear()
+        rows = rows[np.argsort(rows[:, 0])]
+        bucket = rows[:, 0] >> BUCKET_SHIFT
+        first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        block = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(first), [None, pa.py_buffer(np.append(first, len(rows)) * 16), pa.py_buffer(rows)]
+        )
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), block.cast(pa.binary())], ["bucket", "block"])
+
     for batch in batches:
         hashes, lines = distinct_lines(batch.column(0).to_pylist(), set())
-        at = 0
-        while at < len(lines):
-            upto, size = at, 0
-            while upto < len(lines) and (upto == at or size + len(lines[upto]) <= CHARACTERS_AT_ONCE):
-                size += len(lines[upto])
-                upto += 1
+        for at, upto in in_parts([len(line) for line in lines], CHARACTERS_AT_ONCE):
             keys = band_keys(lines[at:upto])
             line = np.repeat(np.array(hashes[at:upto], np.int64), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(line)], ["key", "line"])
-            at = upto
+            held.append(np.stack([keys.ravel(), line], axis=1))
+            if sum(map(len, held)) >= KEYS_AT_ONCE:
+                yield from blocks()
+    yield from blocks()
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by key: each other line under a key with the key's least line."""
-    for table, _ in whole_groups(batches, 1):
-        keys, lines = (c.to_numpy() for c in table.columns)
-        new = np.append(True, keys[1:] != keys[:-1])[: len(keys)]
-        firsts = np.flatnonzero(new)
-        if not len(firsts):
-            continue
-        leaders = np.minimum.reduceat(lines, firsts)[np.cumsum(new) - 1]
+    """From blocks sorted by bucket: each other line under a key with the key's least line."""
+    held: list[bytes] = []
+    last = None
+
+    def pairs() -> Iterator[pa.RecordBatch]:
+        rows = np.frombuffer(b"".join(held), np.int64).reshape(-1, 2)
+        held.clear()
+        if not len(rows):
+            return
+        rows = rows[np.argsort(rows[:, 0])]
+        keys, lines = rows[:, 0], rows[:, 1]
+        new = np.append(True, keys[1:] != keys[:-1])
+        leaders = np.minimum.reduceat(lines, np.flatnonzero(new))[np.cumsum(new) - 1]
         other = lines != leaders
-        pairs = pa.table([pa.array(leaders[other]), pa.array(lines[other])], ["leader", "line"])
-        yield from pairs.group_by(["leader", "line"]).aggregate([]).to_batches()
+        found = pa.table([pa.array(leaders[other]), pa.array(lines[other])], ["leader", "line"])
+        yield from found.group_by(["leader", "line"]).aggregate([]).to_batches()
+
+    for batch in batches:
+        for bucket, block in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if bucket != last:
+                yield from pairs()
+                last = bucket
+            held.append(block.as_py())
+    yield from pairs()
 
 
 def _texts(shared):
@@ -343,22 +373,24 @@ def line_components(docs: DataFrame, text: str = "text") -> DataFrame:
     group of near copies costs as much as it has lines.
     """
     content = docs.select(whole_text(text).alias("text"))
-    bands = content.mapInArrow(_sign, "key bigint, line bigint")
-    # By one column, which Spark sorts by radix.
-    met = bands.repartition("key").sortWithinPartitions("key")
+    bands = content.mapInArrow(_sign, "bucket bigint, block binary")
+    met = bands.repartition("bucket").sortWithinPartitions("bucket")
     met = written(met.mapInArrow(_meet, "leader bigint, line bigint").distinct(), "met")
-    needed = written(met.select("line").union(met.select("leader")).distinct().toDF("mark"), "needed")
-    shared = docs.sparkSession.sparkContext.broadcast(frequent_filter(needed, needed.count()))
-    # Lines that the filter lets through besides meet nothing in the joins.
+    needed = met.select("line", F.lit(False).alias("leads")).union(met.select("leader", F.lit(True)))
+    needed = written(needed.groupBy("line").agg(F.max("leads").alias("leads")), "needed")
+    shared = docs.sparkSession.sparkContext.broadcast(
+        frequent_filter(needed.select(F.col("line").alias("mark")), needed.count())
+    )
     normal = content.mapInArrow(_texts(shared), "line bigint, normal string")
-    normal = written(normal.groupBy("line").agg(F.first("normal").alias("normal")), "normal")
-    leaders = normal.select(F.col("line").alias("leader"), F.col("normal").alias("other"))
+    normal = normal.groupBy("line").agg(F.first("normal").alias("normal")).join(needed, "line")
+    normal = written(normal, "normal")
+    leaders = normal.filter("leads").select(F.col("line").alias("leader"), F.col("normal").alias("other"))
     star = met.join(normal, "line").join(leaders, "leader")
     star = written(star.select("leader", "line", near_column("normal", "other").alias("near")), "star")
     mixed = star.filter(~F.col("near")).select("leader").distinct()
     # A leader is a member of its own group.
     members = star.join(mixed, "leader").union(mixed.select("leader", F.col("leader").alias("line"), F.lit(True).alias("near")))
-    dealt = cells(members, LINES_A_BLOCK).join(normal, "line").select("leader", "i", "j", "line", "normal", "apart")
+    dealt = cells(members, LINES_A_BLOCK).join(normal.drop("leads"), "line").select("leader", "i", "j", "line", "normal", "apart")
     dealt = dealt.repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j")
     joined = star.filter("near").select("leader", "line")
     return components(joined.union(dealt.mapInArrow(_verify, "a bigint, b bigint")))
@@ -386,13 +418,15 @@ def line_decisions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     places = rows.select("doc_id", "content", F.posexplode("lines").alias("nth", "line"))
     places = written(places.filter(F.col("line").isNotNull()), "places")
     joined = line_components(docs, text)
-    rooted = places.join(joined, places["line"] == joined["node"], "left").select(
-        "doc_id", "content", "nth", F.coalesce("root", "line").alias("root")
-    )
     place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "content", "nth")
-    first = rooted.groupBy("root").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    first = first.filter("n > 1").select("root", "first")
-    dropped = rooted.join(first, "root").filter(place != F.col("first"))
+    of_line = places.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    # Only lines that come again or are near to others go on; the rest has nothing to drop.
+    joined = joined.union(joined.select("root", "root").distinct())
+    known = of_line.join(joined, of_line["line"] == joined["node"], "left").filter("n > 1 OR root IS NOT NULL")
+    known = written(known.select("line", F.coalesce("root", "line").alias("root"), "first", "n"), "known")
+    first = known.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("n")).filter("n > 1")
+    first = known.select("line", "root").join(first.select("root", "first"), "root").drop("root")
+    dropped = places.join(first, "line").filter(place != F.col("first"))
     return dropped.groupBy("doc_id", "content").agg(
         F.array_sort(F.collect_set(F.struct("nth", F.col("first.doc_id").alias("by")))).alias("found")
     ).select(
