@@ -265,6 +265,12 @@ def test_verified_on_their_real_shingles(monkeypatch, matrix):
         assert sets_of(len(texts), lines.verified(groups_)) == sets_of(len(texts), want)
 
 
+def test_normal_forms_of_a_text_are_those_of_its_lines():
+    texts = ["", "A b\n C d \n", "ΟΔΟΣ\nΣ\n ΑΣ' \nΣΑ", "a  b\nc", "a\tb\u2003c\n\u00a0x\u00a0", "İ\nI\n\x0b\x00 y", "a \n b"]
+    for text in texts:
+        assert lines.normal_forms(text) == [lines.normal_form(line) for line in text.split("\n")]
+
+
 def test_only_lines_that_met_are_read_out():
     """Texts of other lines aren't sent through the shuffle."""
     texts = [f"line number {i}" for i in range(5000)]

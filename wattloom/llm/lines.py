@@ -53,6 +53,14 @@ def normal_form(line: str) -> str:
     return line if "  " not in line and line.isprintable() else " ".join(line.split())
 
 
+def normal_forms(text: str) -> list[str]:
+    """Of all lines of a text; where no line needs more than to be trimmed, the text is looked at as a whole."""
+    lowered = text.lower()
+    if "  " not in lowered and lowered.replace("\n", "").isprintable():
+        return [line.strip() for line in lowered.split("\n")]
+    return [normal_form(line) for line in text.split("\n")]
+
+
 def line_hash(normal: str) -> int:
     """64 bits, signed, as Spark has them."""
     found = xxhash.xxh3_64_intdigest(normal.encode("utf-8", "surrogatepass"))
@@ -94,11 +102,20 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def band_keys(lines: list[str]) -> np.ndarray:
     """Row i: the band keys of line i."""
     hashes, bounds = shingle_hashes(lines)
+    # Only what belongs to a line, so that a line's end is the next one's first.
+    own = np.zeros(len(hashes) + 1, np.int8)
+    own[bounds[::2]] += 1
+    own[bounds[1::2]] -= 1
+    hashes = hashes[np.cumsum(own[:-1], dtype=np.int8).astype(bool)]
+    size = bounds[1::2] - bounds[::2]
+    first, mixed = np.cumsum(size) - size, np.empty_like(hashes)
     keys = np.empty((len(lines), BANDS), np.uint64)
     for band in range(BANDS):
         key = np.full(len(lines), band + 1, np.uint64)
         for h in range(band * ROWS, (band + 1) * ROWS):
-            least = np.minimum.reduceat((hashes ^ MASKS[h]) * FACTORS[h], bounds)[::2]
+            np.bitwise_xor(hashes, MASKS[h], out=mixed)
+            np.multiply(mixed, FACTORS[h], out=mixed)
+            least = np.minimum.reduceat(mixed, first)
             key = (key ^ least) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(29)
         keys[:, band] = key
@@ -109,8 +126,7 @@ def distinct_lines(texts: list[str], seen: set[int]) -> tuple[list[int], list[st
     """Hashes and normal forms of the lines whose hashes aren't in `seen` yet."""
     hashes, lines = [], []
     for text in texts:
-        for line in text.split("\n"):
-            normal = normal_form(line)
+        for normal in normal_forms(text):
             if normal and (hashed := line_hash(normal)) not in seen:
                 seen.add(hashed)
                 hashes.append(hashed)
@@ -128,7 +144,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return
         rows = np.concatenate(held)
         held.clear()
-        rows = rows[np.argsort(rows[:, 0])]
+        # Numbers of 16 bits are sorted by radix.
+        rows = rows[np.argsort((rows[:, 0] >> BUCKET_SHIFT).astype(np.int16), kind="stable")]
         bucket = rows[:, 0] >> BUCKET_SHIFT
         first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
         block = pa.LargeBinaryArray.from_buffers(
@@ -400,8 +417,7 @@ def line_components(docs: DataFrame, text: str = "text") -> DataFrame:
 def hash_lines(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
         found = [
-            [line_hash(n) if (n := normal_form(line)) else None for line in text.split("\n")]
-            for text in texts.to_pylist()
+            [line_hash(n) if n else None for n in normal_forms(text)] for text in texts.to_pylist()
         ]
         yield pa.array(found, pa.list_(pa.int64()))
 
