@@ -1,10 +1,13 @@
 """Token counts, byte-level BPE and packing against the tokenizers' own libraries."""
 
+import gc
 import hashlib
+import sys
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -151,6 +154,44 @@ def test_packing_odd_texts(spark):
     assert packing.pack(odd_docs(spark).limit(0), WORDS).count() == 0
 
 
+def word_memories(batches):
+    packing_there = sys.modules.get("wattloom.llm.packing")
+    for _ in batches:
+        held = [o for o in gc.get_objects() if packing_there and type(o) is packing_there.WordIds]
+        yield pa.RecordBatch.from_pydict({"n": pa.array([len(held)], pa.int64())})
+
+
+def test_packing_leaves_no_words_in_the_workers(spark):
+    packing.pack(odd_docs(spark).repartition(8), WORDS).count()
+    held = spark.range(0, 64, numPartitions=64).mapInArrow(word_memories, "n bigint").collect()
+    assert len(held) >= 64 and sum(r["n"] for r in held) == 0
+
+
+def remembered(encoder):
+    return [word for held in vars(encoder).values() if isinstance(held, dict) for word in held]
+
+
+def test_packing_remembers_words_within_bounds():
+    encoder = packing.WordIds(WORDS)
+    for i in range(700):
+        encoder.ids(" ".join(f"w{i}x{j}" for j in range(1000)))
+    assert 250_000 <= len(remembered(encoder)) <= 501_000
+    encoder = packing.WordIds(WORDS, characters=10_000)
+    for i in range(300):
+        encoder.ids(f"{i:04}" * 50)
+    assert sum(map(len, remembered(encoder))) <= 20_400
+
+
+def test_packing_forgets_and_goes_on():
+    texts = ["Three cats, two dogs", "naïve café ÀÉÎ three", "two x\x1cy z\x85w 日本語 three", "a b c d e f", "dogs café"]
+    library = Tokenizer.from_file(WORDS)
+    for small in (packing.WordIds(WORDS, 3), packing.WordIds(WORDS, 1000, 12)):
+        for text in texts * 3:
+            ids = library.encode(text, add_special_tokens=False).ids
+            assert small.ids(text) == np.array(ids, "<u4").tobytes()
+        assert len(remembered(small)) < len({w for text in texts for w in text.split(" ")})
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.dictionaries(st.integers(1, 30), st.integers(1, 40), max_size=12))
 def test_plan_uses_every_piece_once(histogram):

@@ -13,9 +13,10 @@ rows the result is empty.
 
 from __future__ import annotations
 
+import os
+import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,53 +29,64 @@ from wattloom.llm.subwords import PlainWords
 
 CAPACITY = 4096
 END = 1
-MEMO = 1_000_000
+# Words and characters of a generation of remembered words.
+MEMO = 250_000
+MEMO_CHARACTERS = 4_000_000
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, _task int, _nth bigint"
 
 
+def as_bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordIds:
     """Token ids (as little-endian 32-bit bytes) of texts, word by word.
 
     The tokenizer drops white space and never looks across it, so the ids of a text are those of
     its words in turn. Words are parted at spaces and newlines only; other white space stays inside
     and is left to the library.
+
+    Words are remembered in two generations: a full one becomes the elder, the elder before it goes,
+    and what is met again moves to the younger. So frequent words stay, and what is held is bounded
+    in words and in characters (but for the words of the text at hand).
     """
 
-    def __init__(self, path: str, memo: int = MEMO):
+    def __init__(self, path: str, memo: int = MEMO, characters: int = MEMO_CHARACTERS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.plain = PlainWords(self.tokenizer, space=False, lower=True)
         self.memo: dict[str, bytes] = {}
-        self.limit = memo
+        self.elder: dict[str, bytes] = {}
+        self.limit, self.most_characters, self.characters = memo, characters, 0
 
     def _learn(self, words: set[str]) -> None:
         others = []
         for word in words:
-            ids = self.plain.ids(word)
-            if ids is None:
-                others.append(word)
-            else:
-                self.memo[word] = np.array(ids, "<u4").tobytes()
-        found = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
-        for word, encoding in zip(others, found, strict=True):
-            self.memo[word] = np.array(encoding.ids, "<u4").tobytes()
+            known = self.elder.get(word)
+            if known is None:
+                ids = self.plain.ids(word)
+                if ids is None:
+                    others.append(word)
+                    continue
+                known = as_bytes(ids)
+            self.memo[word] = known
+        if others:
+            found = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+            for word, encoding in zip(others, found, strict=True):
+                self.memo[word] = as_bytes(encoding.ids)
+        self.characters += sum(map(len, words))
 
     def ids(self, text: str) -> bytes:
-        if len(self.memo) > self.limit:
-            self.memo.clear()
+        if len(self.memo) >= self.limit or self.characters >= self.most_characters:
+            self.elder, self.memo, self.characters = self.memo, {}, 0
         words = text.replace("\n", " ").split(" ")
-        missing = {w for w in words if w not in self.memo}
+        missing = set(words).difference(self.memo)
         if missing:
             self._learn(missing)
         return b"".join(map(self.memo.__getitem__, words))
 
 
-@lru_cache(maxsize=1)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
-
-
 def pieces(
     docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END,
     doc_id: str = "doc_id", text: str = "text",
@@ -83,7 +95,10 @@ def pieces(
     last = np.array([end], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = word_ids(tokenizer), TaskContext.get().partitionId()
+        # A task has one core: threads of the tokenizer's own would only take memory. What is remembered goes
+        # with the task, as an executor's workers live on and would each hold it beside whatever comes next.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        encoder, task = WordIds(tokenizer), TaskContext.get().partitionId()
         seen: dict[int, int] = {}
         for batch in batches:
             rows = []
