@@ -41,6 +41,8 @@ class PlainWords:
         return [t.id for t in self.model.tokenize(piece)]
 
     def ids(self, chunk: str) -> list[int] | None:
+        if chunk.isascii() and chunk.isalpha():
+            return self._ids(self.space + (chunk.lower() if self.lower else chunk))
         found = PLAIN.match(chunk)
         if found is None or "<|" in chunk or not chunk:
             return None
